@@ -25,26 +25,38 @@ def precipitation_band(mm: Column | str, settings: Settings = DEFAULTS) -> Colum
     )
 
 
+def _place(value: Column, names: tuple[str, ...]) -> Column:
+    """0-based place of a text in ``names``, null for none."""
+    place = F.lit(None).cast("int")
+    for i, name in enumerate(names):
+        place = F.when(value == name, F.lit(i)).otherwise(place)
+    return place
+
+
+def _name(place: Column, names: tuple[str, ...]) -> Column:
+    name = F.lit(None).cast("string")
+    for i, text in enumerate(names):
+        name = F.when(place == i, F.lit(text)).otherwise(name)
+    return name
+
+
 def band_severity(band: Column | str) -> Column:
     """0 (dry) to 4 (heavy), null for no band."""
-    position = F.array_position(F.array(*[F.lit(b) for b in BANDS]), as_column(band))
-    return F.when(position > 0, (position - 1).cast("int"))
+    return _place(as_column(band), BANDS)
 
 
 def greatest_band(band: Column | str) -> Column:
     """Aggregate: the greatest band name by text order, not by severity.
 
-    The order's position is an int, which the hash aggregate can hold and text cannot.
+    A place in that order is an int, which the hash aggregate can hold and text cannot.
     """
-    by_name = F.array(*[F.lit(b) for b in sorted(BANDS)])
-    position = F.max(F.nullif(F.array_position(by_name, as_column(band)).cast("int"), F.lit(0)))
-    return F.element_at(by_name, position)
+    by_text = tuple(sorted(BANDS))
+    return _name(F.max(_place(as_column(band), by_text)), by_text)
 
 
 def worst_band(band: Column | str) -> Column:
     """Aggregate: the most severe band."""
-    by_severity = F.array(*[F.lit(b) for b in BANDS])
-    return F.element_at(by_severity, F.max(band_severity(band)) + 1)
+    return _name(F.max(band_severity(band)), BANDS)
 
 
 def is_wet(mm: Column | str, settings: Settings = DEFAULTS) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
-from ..functions.timecols import add_seconds, as_column, hour_floor, iso_minutes, ntz
+from ..functions.timecols import add_seconds, hour_floor, iso_minutes, ntz
 from ..plans import marts, staging
 
 SETTINGS = Settings(
@@ -26,7 +26,7 @@ SETTINGS = Settings(
     min_dry_baseline=0.5,
     min_revenue_trips=100,
 )
-AS_OF = "2024-01-31 00:00:00"
+AS_OF = "2024-01-30 12:00:00"
 WEATHER_EVENT = "error"
 
 
@@ -173,11 +173,45 @@ def fleet_messages(events: DataFrame) -> DataFrame:
         k.alias("speed"),
         F.when(_every(20), cut).otherwise(F.col("props")).alias("payload"),
         F.col("event_id").alias("version"),
-        add_seconds("ts", F.lit(600).cast("bigint")).alias("expires_utc"),
+        add_seconds("ts", F.lit(21_600).cast("bigint")).alias("expires_utc"),
         _every(13).alias("is_nacked"),
     )
 
 
+def fleet_trips(events: DataFrame) -> DataFrame:
+    """Trip ends per vehicle, for fraud features and utilisation."""
+    return events.where(F.col("event_type") != WEATHER_EVENT).select(
+        F.col("event_id").alias("trip_id"),
+        F.col("user_id").alias("vehicle_id"),
+        F.col("ts").alias("started_utc"),
+        F.pmod(F.col("user_id") + props_number(), F.lit(25)).cast("int").alias("zone_id"),
+        F.col("value").alias("fare"),
+        (props_number() / 8.0).alias("miles"),
+        (60 + F.pmod(F.col("event_id") * 37 + F.col("user_id") * 11, F.lit(5400))).alias("seconds"),
+    )
+
+
+def receipt_deliveries(raw: DataFrame) -> DataFrame:
+    """Trips as delivered: a repeated trip has its id again and a later delivery number."""
+    is_copy = F.col("trip_id") < 0
+    return raw.select(
+        F.when(is_copy, -F.col("trip_id") - 1).otherwise(F.col("trip_id")).alias("trip_id"),
+        F.when(is_copy, F.lit(1)).otherwise(F.lit(0)).alias("delivery"),
+        F.col("tpep_pickup_datetime").alias("ended_utc"),
+        F.col("trip_distance").alias("miles"),
+        F.col("total_amount"),
+    )
+
+
+def observations(events: DataFrame, event_type: str, measure: str = "temperature_c") -> DataFrame:
+    """Conditions per zone and hour, as one of several weather sources has them."""
+    return (
+        events.where(F.col("event_type") == event_type)
+        .groupBy(F.pmod(F.col("user_id"), F.lit(25)).cast("int").alias("zone_id"), hour_floor("ts").alias("hour_utc"))
+        .agg(F.round(F.avg("value"), 4).alias(measure), F.count(F.lit(1)).alias("readings"))
+    )
+
+
 @dataclass(frozen=True)
 class Tables:
     """The test tables of one folder and everything derived from them, all lazy."""
@@ -241,6 +275,3 @@ class Tables:
     @property
     def as_of(self) -> Column:
         return ntz(AS_OF)
-
-
-__all__ = ["AS_OF", "SETTINGS", "Tables", "as_column", "fleet_messages", "raw_times", "raw_trips", "raw_weather", "zone_lookup"]
