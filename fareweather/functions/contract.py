@@ -95,6 +95,8 @@ def aware_utc(raw: Column, dtype: T.DataType) -> Column:
 
 def in_gap(wall: Column, utc: Column, tz: str, years: Years | None = None) -> Column:
     """True when the zone never showed this wall clock."""
+    if tz == "UTC":
+        return F.lit(False)
     return wall.isNotNull() & (utc_to_local(utc, tz, years) != wall)
 
 
@@ -104,6 +106,8 @@ def in_overlap(wall: Column, utc: Column, tz: str, years: Years | None = None) -
     The offsets shortly before and after differ, and the wall clock read with the
     lesser one is another instant with the same wall clock.
     """
+    if tz == "UTC":
+        return F.lit(False)
     before = zone_offset(add_seconds(utc, -_PROBE_SECONDS), tz, years)
     after = zone_offset(add_seconds(utc, _PROBE_SECONDS), tz, years)
     second = add_seconds(wall, -F.least(before, after))

@@ -20,7 +20,7 @@ Years = tuple[int, int]  # first and last year, both inside
 
 
 def literal(moment: datetime) -> Column:
-    return F.lit(moment.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return F.expr(f"TIMESTAMP_NTZ '{moment:%Y-%m-%d %H:%M:%S}'")
 
 
 @lru_cache(maxsize=256)

@@ -21,7 +21,7 @@ def as_column(value: Column | str) -> Column:
 
 def ntz(text: str) -> Column:
     """A naive timestamp literal."""
-    return F.lit(text).cast("timestamp_ntz")
+    return F.expr(f"TIMESTAMP_NTZ '{text}'")
 
 
 def local_to_utc(wall: Column | str, tz: str, years: Years | None = None) -> Column:
@@ -32,6 +32,8 @@ def local_to_utc(wall: Column | str, tz: str, years: Years | None = None) -> Col
     look-up; it never changes the result.
     """
     wall = as_column(wall)
+    if tz == "UTC":
+        return wall
     looked_up = F.convert_timezone(F.lit(tz), F.lit("UTC"), wall)
     if years is None:
         return looked_up
@@ -40,6 +42,8 @@ def local_to_utc(wall: Column | str, tz: str, years: Years | None = None) -> Col
 
 def utc_to_local(utc: Column | str, tz: str, years: Years | None = None) -> Column:
     utc = as_column(utc)
+    if tz == "UTC":
+        return utc
     looked_up = F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
     if years is None:
         return looked_up
@@ -122,7 +126,7 @@ def from_instant(instant: Column | str) -> Column:
 
 
 def window_bound(day: str, tz: str = "UTC") -> Column:
-    """Midnight of ``day`` in ``tz`` as UTC."""
+    """Midnight of ``day`` in ``tz`` as UTC, a constant of the plan."""
     return local_to_utc(ntz(f"{day} 00:00:00"), tz)
 
 

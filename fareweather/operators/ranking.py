@@ -20,6 +20,10 @@ from ..sources.shared import estimated_bytes, written
 
 _PROBE_BUCKETS = 65_536
 
+# A range partitioner samples each slice on the driver, so their number is bounded;
+# beyond it slices only grow.
+_MAX_SLICES = 20_000
+
 
 def rank_order(by: str, ties: Sequence[str]) -> list[Column]:
     """Highest first, unknown last, then the tie-breakers."""
@@ -37,7 +41,7 @@ def plain_rank(df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str],
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Hashes (``_group``) of groups with more than ``hot_rows`` rows, or None.
+    """Hashes (``_group``) and sizes (``n``) of groups with more than ``hot_rows`` rows, or None.
 
     First counts per hash bucket, at most 65,536 numbers. Only if a bucket stands
     out are its groups counted one by one; there are at most rows / hot_rows of them.
@@ -53,12 +57,20 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame |
         return None
     suspects = hashed if len(heavy) > 1000 else hashed.where(F.col("_bucket").isin(heavy))
     found = written(
-        suspects.groupBy("_group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).select("_group")
+        suspects.groupBy("_group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
     )
     return None if found.isEmpty() else found
 
 
-def split_rank(df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str], name: str) -> DataFrame:
+def slices_for(hot: DataFrame, hot_rows: int) -> int:
+    """How many slices hold about ``hot_rows`` rows each."""
+    rows = hot.agg(F.sum("n")).collect()[0][0]
+    return int(min(_MAX_SLICES, max(2, rows // max(hot_rows, 1))))
+
+
+def split_rank(
+    df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str], name: str, slices: int
+) -> DataFrame:
     """Ranks where one group may span many tasks.
 
     Rows are range-partitioned by (group, order), so a hot group spreads over
@@ -67,7 +79,7 @@ def split_rank(df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str],
     The last tie-breaker must be unique for slices to be even.
     """
     sliced = written(
-        df.repartitionByRange(*keys, *rank_order(by, ties)).withColumn("_slice", F.spark_partition_id())
+        df.repartitionByRange(slices, *keys, *rank_order(by, ties)).withColumn("_slice", F.spark_partition_id())
     )
     within = Window.partitionBy("_group", *keys, "_slice").orderBy(*rank_order(by, ties))
     earlier = (
@@ -105,8 +117,9 @@ def duplicate_rank(
     if hot is None:
         return plain_rank(df, keys, by, ties, name)
     grouped = df.withColumn("_group", F.xxhash64(*keys))
+    slices = slices_for(hot, settings.hot_group_rows)
     usual = plain_rank(grouped.join(hot, "_group", "left_anti").drop("_group"), keys, by, ties, name)
-    split = split_rank(grouped.join(hot, "_group", "left_semi"), keys, by, ties, name)
+    split = split_rank(grouped.join(hot, "_group", "left_semi"), keys, by, ties, name, slices)
     return usual.unionByName(split)
 
 
