@@ -40,11 +40,15 @@ def _typed(raw: str, kind: str) -> Column:
     return F.col(raw).try_cast("double") if kind == "double" else F.col(raw)
 
 
-def conform_trips(raw: DataFrame, id_column: str | None = "trip_id") -> DataFrame:
-    """Cast and rename. ``id_column`` is kept as ``trip_id`` to break ties."""
+# Columns that identify a raw row and so settle the order of equal duplicates: an id,
+# or the file and row it was read from.
+IDENTITY = ("trip_id", "_ingested_from", "_ingested_row")
+
+
+def conform_trips(raw: DataFrame) -> DataFrame:
+    """Cast and rename; identity columns that exist are kept."""
     columns = [_typed(source, kind).alias(name) for source, name, kind in TRIP_COLUMNS]
-    identity = [F.col(id_column).alias("trip_id")] if id_column else []
-    return raw.select(*identity, *columns)
+    return raw.select(*_ties(raw), *columns)
 
 
 def add_utc(trips: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -75,7 +79,7 @@ def flag_ranked(ranked: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 
 def _ties(trips: DataFrame) -> list[str]:
-    return [c for c in ("trip_id",) if c in trips.columns]
+    return [c for c in IDENTITY if c in trips.columns]
 
 
 def stage_trips(conformed: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -126,6 +130,6 @@ def stage_weather(bronze: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
 
 
 __all__ = [
-    "DUPLICATE_KEY", "TRIP_COLUMNS", "add_derived", "add_utc", "bronze_weather", "conform_trips",
+    "DUPLICATE_KEY", "IDENTITY", "TRIP_COLUMNS", "add_derived", "add_utc", "bronze_weather", "conform_trips",
     "flag_ranked", "stage_trips", "stage_weather", "valid_trips",
 ]

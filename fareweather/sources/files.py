@@ -69,19 +69,23 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, aligned)
 
 
-def scan_union_by_name(spark: SparkSession, paths: Iterable[str], lineage: str = "_ingested_from") -> DataFrame:
+def scan_union_by_name(
+    spark: SparkSession, paths: Iterable[str], lineage: str = "_ingested_from", row: str | None = None
+) -> DataFrame:
     """Parquet files of drifting schemas as one table, each row with its file's path.
 
-    Files are grouped by schema first (their footers are all that is read), so a
-    thousand files of three schemas make three scans.
+    ``row`` names a further column with the row's number in its file; path and
+    number together identify a row for good. Files are grouped by schema first
+    (their footers are all that is read), so a thousand files of three schemas
+    make three scans.
     """
     by_schema: dict[str, list[str]] = {}
     for path in paths:
         by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-    frames = [
-        spark.read.parquet(*group).select("*", F.col("_metadata.file_path").alias(lineage))
-        for group in by_schema.values()
-    ]
+    origin = [F.col("_metadata.file_path").alias(lineage)]
+    if row:
+        origin.append(F.col("_metadata.row_index").alias(row))
+    frames = [spark.read.parquet(*group).select("*", *origin) for group in by_schema.values()]
     return union_by_name(frames)
 
 

@@ -115,7 +115,7 @@ def test_text_times_and_odd_numbers(spark):
         "trip_distance string, PULocationID string, DOLocationID string, fare_amount string, tip_amount string, "
         "total_amount string, payment_type string",
     )
-    r = staging.stage_trips(staging.conform_trips(df, id_column=None)).collect()[0]
+    r = staging.stage_trips(staging.conform_trips(df)).collect()[0]
     assert (r.vendor_id, r.passenger_count, r.trip_distance_miles, r.duration_seconds) == (2, 2, None, 1800)
 
 
