@@ -78,6 +78,15 @@ def percent_of(part: Column, total: Column, digits: int = 2) -> Column:
     return F.round(F.coalesce(F.try_divide(F.lit(100.0) * part, total), F.lit(0.0)), digits)
 
 
+def mean_amount(amount: Column | str, digits: int = 2) -> Column:
+    """Aggregate: rounded mean of an amount.
+
+    Added up as decimals, so that a mean on the edge of two roundings does not
+    depend on the order in which tasks finish.
+    """
+    return F.round(F.avg(as_column(amount).cast("decimal(18,4)")), digits).cast("double")
+
+
 def short_label(text: Column | str, length: int = 20) -> Column:
     return F.substring(as_column(text), 1, length)
 

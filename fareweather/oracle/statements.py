@@ -18,6 +18,11 @@ GAP = (
 OFF = f"abs({GAP}) > 0.01 AND total_amount > 0"
 
 
+# Mean of a two-digit amount, rounded half away from zero, in whole cents.
+MEAN_FARE = """sign(sum(CAST(round(total_amount * 100) AS BIGINT)))
+  * ((2 * abs(sum(CAST(round(total_amount * 100) AS BIGINT))) + count(*)) // (2 * count(*))) / 100::DOUBLE"""
+
+
 def sql(name: str, needs: tuple[str, ...], text: str) -> None:
     SQL[name] = (with_(*needs) if needs else "") + text.strip()
 
@@ -159,11 +164,11 @@ SELECT event_id, utc, ts AS local, date_trunc('hour', utc) AS hour_utc, CAST(hou
 FROM (SELECT *, (ts AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS utc FROM events)""")
 
 # -- insights
-sql("demand_by_band", ("facts",), """
-SELECT precipitation_band, count(*) AS trips, round(avg(total_amount), 2) AS avg_fare FROM facts
+sql("demand_by_band", ("facts",), f"""
+SELECT precipitation_band, count(*) AS trips, {MEAN_FARE} AS avg_fare FROM facts
 GROUP BY 1 ORDER BY 2 DESC""")
-sql("demand_heatmap_long", ("facts",), """
-SELECT pickup_day_of_week, pickup_hour_of_day, count(*) AS trips, round(avg(total_amount), 2) AS avg_fare
+sql("demand_heatmap_long", ("facts",), f"""
+SELECT pickup_day_of_week, pickup_hour_of_day, count(*) AS trips, {MEAN_FARE} AS avg_fare
 FROM facts GROUP BY 1, 2 ORDER BY 1, 2""")
 sql("demand_heatmap", ("facts",), "SELECT pickup_hour_of_day, " + ", ".join(
     f"CAST(nullif(count(*) FILTER (pickup_day_of_week = {d}), 0) AS DOUBLE) AS dow_{d}" for d in range(7)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Settings
-from ..functions.conditions import short_label
+from ..functions.conditions import mean_amount, short_label
 from ..operators.profile import matrix
 
 
@@ -14,7 +14,7 @@ def demand_by_band(facts: DataFrame) -> DataFrame:
     """Trips and mean total per precipitation band, busiest first; hours without a band count too."""
     return (
         facts.groupBy("precipitation_band")
-        .agg(F.count(F.lit(1)).alias("trips"), F.round(F.avg("total_amount"), 2).alias("avg_fare"))
+        .agg(F.count(F.lit(1)).alias("trips"), mean_amount("total_amount").alias("avg_fare"))
         .orderBy(F.desc("trips"), F.asc_nulls_last("precipitation_band"))
     )
 
@@ -22,7 +22,7 @@ def demand_by_band(facts: DataFrame) -> DataFrame:
 def demand_by_hour_of_week(facts: DataFrame) -> DataFrame:
     return (
         facts.groupBy("pickup_day_of_week", "pickup_hour_of_day")
-        .agg(F.count(F.lit(1)).alias("trips"), F.round(F.avg("total_amount"), 2).alias("avg_fare"))
+        .agg(F.count(F.lit(1)).alias("trips"), mean_amount("total_amount").alias("avg_fare"))
         .orderBy(F.asc_nulls_last("pickup_day_of_week"), F.asc_nulls_last("pickup_hour_of_day"))
     )
 
