@@ -41,56 +41,65 @@ _CLOCK = r"\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
 _ISO_NAIVE = rf"^\d{{4}}[-/]\d{{1,2}}[-/]\d{{1,2}}([ T]{_CLOCK})?$"
 _ISO_AWARE = rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}[ T]{_CLOCK} ?(Z|UTC|[+-]\d{{2}}(:?\d{{2}})?)$"
 _SLASHED = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?: (\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?))?(?: ?([AaPp][Mm]))?)?$"
+_SLASHED_SPLIT = r"[/: ]+|(?<=\d)(?=[AP]M$)"
 
 # How far on either side of an instant its zone's offset is looked at. Changes are
 # months apart, so three hours sees the one change and no other.
 _PROBE_SECONDS = 3 * 3600
 
 
-def _slashed_to_iso(text: Column) -> Column:
+def _slashed_parts(text: Column) -> Column:
+    """Month, day, year and what follows of ``MM/DD/YYYY hh:mm:ss AM``, else null."""
+    return F.when(text.rlike(_SLASHED), F.split(F.upper(text), _SLASHED_SPLIT))
+
+
+def _slashed_wall(parts: Column) -> Column:
+    half = F.element_at(parts, -1)
+    has_half = half.isin("AM", "PM")
+
     def part(i: int) -> Column:
-        return F.regexp_extract(text, _SLASHED, i)
-
-    first, second = part(1).try_cast("int"), part(2).try_cast("int")
-    day_first = (first > 12) & (second <= 12)
-    month = F.when(day_first, second).otherwise(first)
-    day = F.when(day_first, first).otherwise(second)
-    hour = F.coalesce(part(4).try_cast("int"), F.lit(0))
-    half = F.upper(part(7))
-    hour24 = (
-        F.when(half == "", hour)
-        .when(hour.between(1, 12), hour % 12 + F.when(half == "PM", 12).otherwise(0))
+        at = F.get(parts, F.lit(i))
+        return F.when(~at.isin("AM", "PM"), at)
+
+    # A first number that can be no month is the day.
+    swapped = (part(0).cast("int") > 12) & (part(1).cast("int") <= 12)
+    month = F.when(swapped, part(1)).otherwise(part(0))
+    day = F.when(swapped, part(0)).otherwise(part(1))
+    hour = F.coalesce(part(3), F.lit("0")).cast("int")
+    hour24 = F.when(~has_half, hour).when(
+        hour.between(1, 12), hour % 12 + F.when(half == "PM", 12).otherwise(0)
     )
-    two = lambda c: F.lpad(c.cast("string"), 2, "0")
-    blank = lambda c: F.when(c == "", F.lit("00")).otherwise(c)
-    return F.concat(
-        part(3), F.lit("-"), two(month), F.lit("-"), two(day), F.lit(" "),
-        two(hour24), F.lit(":"), blank(part(5)), F.lit(":"), blank(part(6)),
+    iso = F.concat(
+        part(2), F.lit("-"), month, F.lit("-"), day, F.lit(" "),
+        hour24.cast("string"), F.lit(":"), F.coalesce(part(4), F.lit("00")), F.lit(":"), F.coalesce(part(5), F.lit("00")),
     )
+    return iso.try_cast("timestamp_ntz")
 
 
-def wall_clock(raw: Column, dtype: T.DataType) -> Column:
-    """The naive reading of ``raw``, null when it has an offset or cannot be read."""
-    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
-        return raw.cast("timestamp_ntz")
-    if isinstance(dtype, T.TimestampType):
-        return F.lit(None).cast("timestamp_ntz")
-    text = F.trim(raw.cast("string"))
-    return (
-        F.when(text.rlike(_ISO_NAIVE), F.replace(text, F.lit("/"), F.lit("-")).try_cast("timestamp_ntz"))
-        .when(text.rlike(_SLASHED), _slashed_to_iso(text).try_cast("timestamp_ntz"))
-    )
+def _text(raw: Column) -> Column:
+    return F.trim(raw.cast("string"))
 
 
-def aware_utc(raw: Column, dtype: T.DataType) -> Column:
-    """UTC of an instant or of text with an offset, else null."""
-    if isinstance(dtype, T.TimestampType):
-        return from_instant(raw)
+def _read(df: DataFrame, column: str, wall: str, aware: str) -> DataFrame:
+    """Attach the naive reading of a column and, for what has an offset, its UTC; one of them at most."""
+    raw, dtype = F.col(column), df.schema[column].dataType
+    nothing = F.lit(None).cast("timestamp_ntz")
     if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
-        return F.lit(None).cast("timestamp_ntz")
-    text = F.trim(raw.cast("string"))
+        return df.withColumns({wall: raw.cast("timestamp_ntz"), aware: nothing})
+    if isinstance(dtype, T.TimestampType):
+        return df.withColumns({wall: nothing, aware: from_instant(raw)})
+    text = _text(raw)
+    naive = F.when(text.rlike(_ISO_NAIVE), F.replace(text, F.lit("/"), F.lit("-")).try_cast("timestamp_ntz"))
     colon = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    return F.when(text.rlike(_ISO_AWARE), from_instant(colon.try_cast("timestamp")))
+    with_offset = F.when(text.rlike(_ISO_AWARE), from_instant(colon.try_cast("timestamp")))
+    parts = f"{wall}_parts"
+    read = df.withColumn(wall, naive).withColumn(parts, F.when(F.col(wall).isNull(), _slashed_parts(text)))
+    return read.withColumns(
+        {
+            aware: F.when(F.col(wall).isNull() & F.col(parts).isNull(), with_offset),
+            wall: F.coalesce(F.col(wall), _slashed_wall(F.col(parts))),
+        }
+    ).drop(parts)
 
 
 def in_gap(wall: Column, utc: Column, tz: str, years: Years | None = None) -> Column:
@@ -139,21 +148,25 @@ def add_normalised(
 ) -> DataFrame:
     """Attach ``{prefix}_utc``, ``_local``, ``_is_valid`` and ``_reason``.
 
-    Existing columns stay. The prefix defaults to the column's name. The steps
-    are separate projections so that none is written out twice in the next.
+    Existing columns stay. The prefix defaults to the column's name.
     """
     name = prefix or column
-    dtype = df.schema[column].dataType
-    raw = F.col(column)
-    tmp = {k: f"__{name}_{k}" for k in ("wall", "aware", "u", "gap", "overlap")}
+    tmp = {k: f"__{name}_{k}" for k in ("wall", "aware", "u", "inside", "gap", "overlap")}
     wall, aware, u = F.col(tmp["wall"]), F.col(tmp["aware"]), F.col(tmp["u"])
 
-    out = df.withColumns({tmp["wall"]: wall_clock(raw, dtype), tmp["aware"]: aware_utc(raw, dtype)})
+    out = _read(df, column, tmp["wall"], tmp["aware"])
     out = out.withColumn(tmp["u"], F.coalesce(aware, local_to_utc(wall, source_tz, years)))
+    # Columns of their own: one big expression would be too long for the JIT compiler.
+    # An overlap matters for an instant in range only; the look-ups of others see null.
+    low, high = ntz(min_ts), ntz(max_ts)
+    out = out.withColumn(tmp["inside"], F.when((u >= low) & (u < high), u))
     out = out.withColumns(
-        {tmp["gap"]: in_gap(wall, u, source_tz, years), tmp["overlap"]: in_overlap(wall, u, source_tz, years)}
+        {
+            tmp["gap"]: in_gap(wall, u, source_tz, years),
+            tmp["overlap"]: in_overlap(wall, F.col(tmp["inside"]), source_tz, years),
+        }
     )
-    reason = reason_code(raw, u, F.col(tmp["gap"]), F.col(tmp["overlap"]), ntz(min_ts), ntz(max_ts))
+    reason = reason_code(F.col(column), u, F.col(tmp["gap"]), F.col(tmp["overlap"]), low, high)
     out = computed_once(out, {tmp["u"]: u, f"{name}_reason": reason})
     valid = F.col(f"{name}_reason").isin(OK, OK_AMBIGUOUS)
     out = out.withColumns(
@@ -189,10 +202,8 @@ def add_utc(
 
     Equal to the full contract without its plausibility window, at less work.
     """
-    dtype = df.schema[column].dataType
     wall, aware, u = F.col("_wall"), F.col("_aware"), F.col("_u")
-    read = df.withColumns({"_wall": wall_clock(F.col(column), dtype), "_aware": aware_utc(F.col(column), dtype)})
-    shifted = read.withColumn("_u", local_to_utc(wall, source_tz, years))
+    shifted = _read(df, column, "_wall", "_aware").withColumn("_u", local_to_utc(wall, source_tz, years))
     exact = F.coalesce(aware, F.when(utc_to_local(u, source_tz, years) == wall, u))
     return shifted.withColumn(name, exact).drop("_wall", "_aware", "_u")
 

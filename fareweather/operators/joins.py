@@ -41,14 +41,20 @@ def salted_join(facts: DataFrame, dim: DataFrame, on: list[str], how: str, salts
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def _join_sized(
+    facts: DataFrame, dim: DataFrame, small: bool, on: list[str], settings: Settings, how: str
+) -> DataFrame:
+    if small:
+        return facts.join(F.broadcast(dim), on, how)
+    return salted_join(facts, dim, on, how, settings.salts)
+
+
 def attach(
     facts: DataFrame, dim: DataFrame, on: list[str], settings: Settings = DEFAULTS, how: str = "left"
 ) -> DataFrame:
     """Join ``facts`` to ``dim`` on equally named columns."""
     dim, small = sized_for_broadcast(dim, settings)
-    if small:
-        return facts.join(F.broadcast(dim), on, how)
-    return salted_join(facts, dim, on, how, settings.salts)
+    return _join_sized(facts, dim, small, on, settings, how)
 
 
 def attach_hour_conditions(trips: DataFrame, weather: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -57,22 +63,22 @@ def attach_hour_conditions(trips: DataFrame, weather: DataFrame, settings: Setti
     return attach(trips, dim, ["pickup_hour_utc"], settings)
 
 
-def attach_zone(
-    trips: DataFrame, zones: DataFrame, key: str, role: str, settings: Settings = DEFAULTS
+def attach_zone_roles(
+    trips: DataFrame, zones: DataFrame, settings: Settings = DEFAULTS, roles: tuple[str, ...] = ("pickup", "dropoff")
 ) -> DataFrame:
-    """One role of the zone dimension: ``{role}_zone`` and ``{role}_borough``."""
-    dim = zones.where("LocationID IS NOT NULL").select(
-        F.col("LocationID").cast("int").alias(key),
-        F.col("Zone").alias(f"{role}_zone"),
-        F.col("Borough").alias(f"{role}_borough"),
+    """The zone dimension once per role: ``{role}_zone`` and ``{role}_borough`` for ``{role}_zone_id``."""
+    dim, small = sized_for_broadcast(
+        zones.where("LocationID IS NOT NULL").select(F.col("LocationID").cast("int").alias("_id"), "Zone", "Borough"),
+        settings,
     )
-    return attach(trips, dim, [key], settings)
-
-
-def attach_zone_roles(trips: DataFrame, zones: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """The zone dimension joined twice, for pickup and for dropoff."""
-    picked = attach_zone(trips, zones, "pickup_zone_id", "pickup", settings)
-    return attach_zone(picked, zones, "dropoff_zone_id", "dropoff", settings)
+    for role in roles:
+        named = dim.select(
+            F.col("_id").alias(f"{role}_zone_id"),
+            F.col("Zone").alias(f"{role}_zone"),
+            F.col("Borough").alias(f"{role}_borough"),
+        )
+        trips = _join_sized(trips, named, small, [f"{role}_zone_id"], settings, "left")
+    return trips
 
 
 def primary_with_backfill(

@@ -212,6 +212,20 @@ def observations(events: DataFrame, event_type: str, measure: str = "temperature
     )
 
 
+# Schemas of the test tables that jobs read, so that no job runs to infer them.
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+}
+
+
 @dataclass(frozen=True)
 class Tables:
     """The test tables of one folder and everything derived from them, all lazy."""
@@ -221,7 +235,7 @@ class Tables:
     settings: Settings = SETTINGS
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder.rstrip('/')}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder.rstrip('/')}/{name}.parquet")
 
     @cached_property
     def events(self) -> DataFrame:

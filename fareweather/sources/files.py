@@ -75,16 +75,23 @@ def scan_union_by_name(
     """Parquet files of drifting schemas as one table, each row with its file's path.
 
     ``row`` names a further column with the row's number in its file; path and
-    number together identify a row for good. Files are grouped by schema first
-    (their footers are all that is read), so a thousand files of three schemas
-    make three scans.
+    number together identify a row for good. Where all types agree Spark merges the
+    schemas itself, reading the footers in parallel, and one scan is enough. Where a
+    type drifted, as from whole numbers to fractions, the paths (one per landing,
+    not per file) are grouped by schema, one scan each, and widened.
     """
-    by_schema: dict[str, list[str]] = {}
-    for path in paths:
-        by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    paths = list(paths)
     origin = [F.col("_metadata.file_path").alias(lineage)]
     if row:
         origin.append(F.col("_metadata.row_index").alias(row))
+    try:
+        return spark.read.option("mergeSchema", True).parquet(*paths).select("*", *origin)
+    except Exception as error:  # noqa: BLE001 - Spark raises this one unconverted
+        if "CANNOT_MERGE" not in str(error):
+            raise
+    by_schema: dict[str, list[str]] = {}
+    for path in paths:
+        by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
     frames = [spark.read.parquet(*group).select("*", *origin) for group in by_schema.values()]
     return union_by_name(frames)
 

@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 import compare
+from fareweather import registry
+from fareweather.sources import bindings
 from fareweather.sources.bindings import Tables
 
 NAMES = sorted(entry_points.queries())
@@ -33,6 +35,21 @@ def test_session_zone_does_not_matter(spark, zone, con, small, name):
     assert compare.difference(spark, con, small, name) is None
 
 
+# With nothing known to be small: dimensions are written, measured and joined by
+# salt, duplicate groups are looked at and ranked in slices.
+LARGE = bindings.SETTINGS.with_(broadcast_bytes=0, task_bytes=0, hot_group_rows=1, salts=3)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["dedupe_rank", "trips_flagged", "trip_facts", "zone_hour_demand", "join_zone_roles", "check_unmatched_weather",
+     "hotspot_candidates", "erase_tokens"],
+)
+def test_large_input_ways_give_the_same(spark, con, small, name):
+    wide = Tables(spark, small, LARGE)
+    assert compare.difference(spark, con, small, name, registry.JOBS[name](wide)) is None
+
+
 def test_entry_has_rows(spark, small):
     assert entry_points.entry(spark).count() > 0
 
