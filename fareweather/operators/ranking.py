@@ -132,12 +132,13 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The row with the least ``order`` per key, by an aggregate instead of a window.
 
-    ``min`` of a struct combines before the shuffle, so a key repeated very often
-    costs no more than any other.
+    ``order`` must be unique within a key, or its equals must be the same row. The
+    aggregate combines before the shuffle, so a key repeated very often costs no
+    more than any other.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_first"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
+    rest = [c for c in df.columns if c not in keys and c != order]
+    picked = df.groupBy(*keys).agg(F.min(order).alias(order), *[F.min_by(c, order).alias(c) for c in rest])
+    return picked.select(*df.columns)

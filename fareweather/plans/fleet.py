@@ -6,7 +6,7 @@ messages is one partial row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Settings
@@ -81,8 +81,11 @@ def with_lane(df: DataFrame, event: str = "event_utc", ingest: str = "ingest_utc
 
 
 def downsample(df: DataFrame, time: str = "event_utc", seconds: int = 60, slot: Column | None = None) -> DataFrame:
-    """Batch. Per vehicle and slot: first and mean reading, and how many."""
-    first = F.min_by("reading", F.struct(time, "message_id"))
+    """Batch. Per vehicle and slot: first and mean reading, and how many.
+
+    ``message_id`` is the vehicle's running number and so gives the order.
+    """
+    first = F.min_by("reading", "message_id")
     return df.groupBy("vehicle_id", (slot if slot is not None else floor_to(time, seconds)).alias("slot_utc")).agg(
         first.alias("first_reading"), F.avg("reading").alias("avg_reading"), F.count(F.lit(1)).alias("readings")
     )
@@ -153,16 +156,17 @@ def current_commands(commands: DataFrame, as_of: Column | None = None) -> DataFr
     live = commands.where(~F.col("is_nacked"))
     if as_of is not None:
         live = live.where((F.col("event_utc") <= as_of) & (F.col("expires_utc") > as_of))
-    latest = F.max_by(F.struct("version", "zone_id", "event_utc", "expires_utc"), "version")
-    return live.groupBy("vehicle_id").agg(latest.alias("_c")).select(
-        "vehicle_id", F.col("_c.version"), F.col("_c.zone_id"),
-        F.col("_c.event_utc").alias("issued_utc"), F.col("_c.expires_utc"),
+    return live.groupBy("vehicle_id").agg(
+        F.max("version").alias("version"),
+        F.max_by("zone_id", "version").alias("zone_id"),
+        F.max_by("event_utc", "version").alias("issued_utc"),
+        F.max_by("expires_utc", "version").alias("expires_utc"),
     )
 
 
 def receipts_once(deliveries: DataFrame) -> DataFrame:
     """Batch. One receipt per trip, the first delivery, however often it repeats."""
-    return first_per_key(deliveries, ["trip_id"], ["delivery"])
+    return first_per_key(deliveries, ["trip_id"], "delivery")
 
 
 # -- placement -----------------------------------------------------------------
@@ -179,10 +183,9 @@ def hot_zones(mart: DataFrame, settings: Settings = DEFAULTS, min_lift: float =
 
 
 def last_positions(messages: DataFrame) -> DataFrame:
-    """Batch or stream. Last zone per vehicle."""
-    latest = F.max_by(F.struct("zone_id", "event_utc"), F.struct("event_utc", "message_id"))
-    return messages.groupBy("vehicle_id").agg(latest.alias("_p")).select(
-        "vehicle_id", F.col("_p.zone_id"), F.col("_p.event_utc").alias("at_utc")
+    """Batch or stream. Zone and time of each vehicle's last message, by its running number."""
+    return messages.groupBy("vehicle_id").agg(
+        F.max_by("zone_id", "message_id").alias("zone_id"), F.max_by("event_utc", "message_id").alias("at_utc")
     )
 
 
@@ -249,10 +252,13 @@ def city_metrics(facts: DataFrame) -> DataFrame:
 
 
 def trip_length_distribution(facts: DataFrame, bin_miles: float = 1.0) -> DataFrame:
-    """Batch. Trips per mile bin, with the share of all."""
+    """Batch. Trips per mile bin, with the share of all.
+
+    The total is taken over the bins, of which a valid distance allows a few hundred.
+    """
     low = F.floor(F.col("trip_distance_miles") / bin_miles) * bin_miles
     binned = facts.groupBy(low.cast("double").alias("from_miles")).agg(F.count(F.lit(1)).alias("trips"))
-    total = facts.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = F.sum("trips").over(Window.partitionBy())
     return binned.withColumn("share_pct", percent_of(F.col("trips"), total, 4))
 
 

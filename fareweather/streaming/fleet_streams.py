@@ -44,7 +44,7 @@ def fraud_rule_hits(trips: DataFrame, watermark: str = WATERMARK, **rules) -> Da
 def downsample(messages: DataFrame, seconds: int = 60, watermark: str = WATERMARK) -> DataFrame:
     """Tumbling slots per vehicle, with the columns of the batch job."""
     timed = with_event_time(messages, "event_utc", watermark)
-    first = F.min_by("reading", F.struct("event_utc", "message_id"))
+    first = F.min_by("reading", "message_id")
     slots = timed.groupBy(F.window("event_ts", f"{seconds} seconds"), "vehicle_id").agg(
         first.alias("first_reading"), F.avg("reading").alias("avg_reading"), F.count(F.lit(1)).alias("readings")
     )

@@ -88,7 +88,7 @@ def test_duplicate_count_equals_ranks(spark):
 
 def test_first_per_key(spark):
     rows = make(500)
-    first = ranking.first_per_key(frame(spark, [(r[0] or "none", r[1], r[2], r[3]) for r in rows]), ["a"], ["id"])
+    first = ranking.first_per_key(frame(spark, [(r[0] or "none", r[1], r[2], r[3]) for r in rows]), ["a"], "id")
     want = {}
     for a, _, _, i in rows:
         want[a or "none"] = min(i, want.get(a or "none", i))
