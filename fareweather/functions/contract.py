@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from ..config import DEFAULTS
 from .offsets import Years
-from .timecols import add_seconds, computed_once, from_instant, local_to_utc, ntz, utc_to_local, zone_offset
+from .timecols import add_seconds, computed_once, from_instant, local_to_utc, ntz, utc_to_local
 
 # Reason codes.
 OK = "ok"
@@ -37,49 +37,19 @@ PARTS = ("utc", "local", "is_valid", "reason")
 
 REASONS = (OK, OK_AMBIGUOUS, UNPARSEABLE, NONEXISTENT, OUT_OF_RANGE, NULL_INPUT)
 
+# Accepted text, in upper case. A slashed date is month first unless its first
+# number can be no month.
 _CLOCK = r"\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
-_ISO_NAIVE = rf"^\d{{4}}[-/]\d{{1,2}}[-/]\d{{1,2}}([ T]{_CLOCK})?$"
-_ISO_AWARE = rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}[ T]{_CLOCK} ?(Z|UTC|[+-]\d{{2}}(:?\d{{2}})?)$"
-_SLASHED = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?: (\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?))?(?: ?([AaPp][Mm]))?)?$"
-_SLASHED_SPLIT = r"[/: ]+|(?<=\d)(?=[AP]M$)"
+_NAIVE = rf"^\d{{4}}([-/])\d{{1,2}}\1\d{{1,2}}([ T]{_CLOCK}( ?[AP]M)?)?$"
+_AWARE = rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}[ T]{_CLOCK} ?(Z|UTC|[+-]\d{{2}}(:?\d{{2}})?)$"
+_DAY_FIRST = r"^(1[3-9]|2\d|3[01])/(0?[1-9]|1[0-2])/"
+_YEAR_LAST = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
 
 # How far on either side of an instant its zone's offset is looked at. Changes are
 # months apart, so three hours sees the one change and no other.
 _PROBE_SECONDS = 3 * 3600
 
 
-def _slashed_parts(text: Column) -> Column:
-    """Month, day, year and what follows of ``MM/DD/YYYY hh:mm:ss AM``, else null."""
-    return F.when(text.rlike(_SLASHED), F.split(F.upper(text), _SLASHED_SPLIT))
-
-
-def _slashed_wall(parts: Column) -> Column:
-    half = F.element_at(parts, -1)
-    has_half = half.isin("AM", "PM")
-
-    def part(i: int) -> Column:
-        at = F.get(parts, F.lit(i))
-        return F.when(~at.isin("AM", "PM"), at)
-
-    # A first number that can be no month is the day.
-    swapped = (part(0).cast("int") > 12) & (part(1).cast("int") <= 12)
-    month = F.when(swapped, part(1)).otherwise(part(0))
-    day = F.when(swapped, part(0)).otherwise(part(1))
-    hour = F.coalesce(part(3), F.lit("0")).cast("int")
-    hour24 = F.when(~has_half, hour).when(
-        hour.between(1, 12), hour % 12 + F.when(half == "PM", 12).otherwise(0)
-    )
-    iso = F.concat(
-        part(2), F.lit("-"), month, F.lit("-"), day, F.lit(" "),
-        hour24.cast("string"), F.lit(":"), F.coalesce(part(4), F.lit("00")), F.lit(":"), F.coalesce(part(5), F.lit("00")),
-    )
-    return iso.try_cast("timestamp_ntz")
-
-
-def _text(raw: Column) -> Column:
-    return F.trim(raw.cast("string"))
-
-
 def _read(df: DataFrame, column: str, wall: str, aware: str) -> DataFrame:
     """Attach the naive reading of a column and, for what has an offset, its UTC; one of them at most."""
     raw, dtype = F.col(column), df.schema[column].dataType
@@ -88,18 +58,25 @@ def _read(df: DataFrame, column: str, wall: str, aware: str) -> DataFrame:
         return df.withColumns({wall: raw.cast("timestamp_ntz"), aware: nothing})
     if isinstance(dtype, T.TimestampType):
         return df.withColumns({wall: nothing, aware: from_instant(raw)})
-    text = _text(raw)
-    naive = F.when(text.rlike(_ISO_NAIVE), F.replace(text, F.lit("/"), F.lit("-")).try_cast("timestamp_ntz"))
+
+    text, half = F.col(f"{wall}_text"), F.col(f"{wall}_half")
+    upper = F.upper(F.trim(raw.cast("string")))
+    year_first = F.regexp_replace(F.regexp_replace(upper, _DAY_FIRST, "$2/$1/"), _YEAR_LAST, "$3-$1-$2")
+    out = df.withColumn(f"{wall}_text", F.when(F.contains(upper, F.lit("/")), year_first).otherwise(upper))
+
+    ending = F.right(text, F.lit(2))
+    out = out.withColumn(f"{wall}_half", F.when(ending.isin("AM", "PM"), ending))
+    clock = F.when(half.isNull(), text).otherwise(F.rtrim(F.substr(text, F.lit(1), F.length(text) - 2)))
+    naive = F.when(text.rlike(_NAIVE), F.replace(clock, F.lit("/"), F.lit("-")).try_cast("timestamp_ntz"))
     colon = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    with_offset = F.when(text.rlike(_ISO_AWARE), from_instant(colon.try_cast("timestamp")))
-    parts = f"{wall}_parts"
-    read = df.withColumn(wall, naive).withColumn(parts, F.when(F.col(wall).isNull(), _slashed_parts(text)))
-    return read.withColumns(
-        {
-            aware: F.when(F.col(wall).isNull() & F.col(parts).isNull(), with_offset),
-            wall: F.coalesce(F.col(wall), _slashed_wall(F.col(parts))),
-        }
-    ).drop(parts)
+    out = out.withColumns({wall: naive, aware: F.when(text.rlike(_AWARE), from_instant(colon.try_cast("timestamp")))})
+
+    # Twelve-hour clocks: 12 AM is midnight, 1 PM is thirteen, and 13 PM is nothing.
+    hour = F.hour(wall)
+    shift = F.when(half.isNull(), F.lit(0)).when(
+        hour.between(1, 12), F.when(half == "PM", F.lit(12)).otherwise(F.lit(0)) - F.when(hour == 12, 12).otherwise(0)
+    )
+    return out.withColumn(wall, F.timestamp_add("HOUR", shift, F.col(wall))).drop(f"{wall}_text", f"{wall}_half")
 
 
 def in_gap(wall: Column, utc: Column, tz: str, years: Years | None = None) -> Column:
@@ -112,17 +89,15 @@ def in_gap(wall: Column, utc: Column, tz: str, years: Years | None = None) -> Co
 def in_overlap(wall: Column, utc: Column, tz: str, years: Years | None = None) -> Column:
     """True when the zone showed this wall clock twice.
 
-    The offsets shortly before and after differ, and the wall clock read with the
-    lesser one is another instant with the same wall clock.
+    Local time then runs less than six hours between three hours before and three
+    hours after, and the instant later by what is missing has the same wall clock.
     """
     if tz == "UTC":
         return F.lit(False)
-    before = zone_offset(add_seconds(utc, -_PROBE_SECONDS), tz, years)
-    after = zone_offset(add_seconds(utc, _PROBE_SECONDS), tz, years)
-    second = add_seconds(wall, -F.least(before, after))
-    return (
-        wall.isNotNull() & (before != after) & (second != utc) & (utc_to_local(second, tz, years) == wall)
-    )
+    expected = add_seconds(utc_to_local(add_seconds(utc, -_PROBE_SECONDS), tz, years), 2 * _PROBE_SECONDS)
+    later = utc_to_local(add_seconds(utc, _PROBE_SECONDS), tz, years)
+    second = utc + (expected - later)
+    return wall.isNotNull() & (later < expected) & (utc_to_local(second, tz, years) == wall)
 
 
 def reason_code(raw: Column, utc: Column, gap: Column, overlap: Column, low: Column, high: Column) -> Column:

@@ -50,15 +50,6 @@ def utc_to_local(utc: Column | str, tz: str, years: Years | None = None) -> Colu
     return F.when(within(utc, years), add_seconds(utc, offset_at_utc(utc, tz, years))).otherwise(looked_up)
 
 
-def zone_offset(utc: Column | str, tz: str, years: Years | None = None) -> Column:
-    """Local minus UTC in seconds."""
-    utc = as_column(utc)
-    looked_up = epoch_seconds(F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)) - epoch_seconds(utc)
-    if years is None:
-        return looked_up
-    return F.when(within(utc, years), offset_at_utc(utc, tz, years).cast("bigint")).otherwise(looked_up)
-
-
 def epoch_seconds(ts: Column | str) -> Column:
     """Whole seconds since 1970, rounded down; built from parts, which no session zone moves."""
     ts = as_column(ts)
