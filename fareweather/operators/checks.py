@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Settings
-from .joins import attach, sized_for_broadcast
+from .joins import sized_for_broadcast
 
 
 def _scoped(df: DataFrame, where: Column | str | None) -> DataFrame:
@@ -110,6 +110,6 @@ def require_unique_hour(weather: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "accepted_range", "attach", "freshness", "join_fanout", "no_future", "not_null",
+    "accepted_range", "freshness", "join_fanout", "no_future", "not_null",
     "require_unique_hour", "unique", "unmatched_hours", "violation_count",
 ]

@@ -89,7 +89,6 @@ def primary_with_backfill(
     ``filled_from`` says where a row came from: ``primary``, ``backfill`` or
     ``both``. Keys are matched null-safely so that no unmatched row is lost.
     """
-    p, b = primary.alias("p"), backfill.alias("b")
     same = None
     for k in keys:
         term = F.col(f"p.{k}").eqNullSafe(F.col(f"b.{k}"))

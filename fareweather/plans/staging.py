@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULTS, Settings
 from ..functions.conditions import is_snowing, is_wet, precipitation_band, rounded_int
@@ -34,10 +35,14 @@ DUPLICATE_KEY = (
 )
 
 
-def _typed(raw: str, kind: str) -> Column:
-    if kind == "int":
-        return rounded_int(raw)
-    return F.col(raw).try_cast("double") if kind == "double" else F.col(raw)
+def _typed(raw: str, name: str, kind: str) -> str:
+    """Whole numbers are rounded half to even; what is no number becomes null."""
+    cast = {
+        "int": f"try_cast(rint(try_cast(`{raw}` AS DOUBLE)) AS INT)",
+        "double": f"try_cast(`{raw}` AS DOUBLE)",
+        "time": f"`{raw}`",
+    }
+    return f"{cast[kind]} AS {name}"
 
 
 # Columns that identify a raw row and so settle the order of equal duplicates: an id,
@@ -47,8 +52,7 @@ IDENTITY = ("trip_id", "_ingested_from", "_ingested_row")
 
 def conform_trips(raw: DataFrame) -> DataFrame:
     """Cast and rename; identity columns that exist are kept."""
-    columns = [_typed(source, kind).alias(name) for source, name, kind in TRIP_COLUMNS]
-    return raw.select(*_ties(raw), *columns)
+    return raw.selectExpr(*_ties(raw), *[_typed(*column) for column in TRIP_COLUMNS])
 
 
 def add_utc(trips: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -94,13 +98,15 @@ def valid_trips(conformed: DataFrame, settings: Settings = DEFAULTS) -> DataFram
 
     The filter keeps rank 1 only, so Spark cuts each duplicate group to one row
     before the shuffle and a hot group needs no other care. The valid window,
-    padded by a day against any zone's offset, is stated on the raw column as
+    padded by a day against any zone's offset, is stated on a raw wall clock as
     well, where the file scan can use it.
     """
-    raw = F.col("pickup_local_raw")
-    low = F.date_sub(F.lit(settings.min_valid_ts).cast("date"), 1).cast("timestamp_ntz")
-    high = F.date_add(F.lit(settings.max_valid_ts).cast("date"), 1).cast("timestamp_ntz")
-    timed = add_utc(conformed.where((raw >= low) & (raw < high)), settings)
+    if isinstance(conformed.schema["pickup_local_raw"].dataType, T.TimestampNTZType):
+        conformed = conformed.where(
+            f"pickup_local_raw >= timestamp_ntz'{settings.min_valid_ts} 00:00:00' - INTERVAL 1 DAY "
+            f"AND pickup_local_raw < timestamp_ntz'{settings.max_valid_ts} 00:00:00' + INTERVAL 1 DAY"
+        )
+    timed = add_utc(conformed, settings)
     ranked = plain_rank(timed, DUPLICATE_KEY, "trip_distance_miles", _ties(timed), "_dupe_rank")
     return flag_ranked(ranked, settings).where("is_valid")
 

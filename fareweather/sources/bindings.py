@@ -41,52 +41,46 @@ def _every(n: int, id_column: str = "event_id") -> Column:
 
 def raw_trips(events: DataFrame) -> DataFrame:
     """Trip records in the publisher's schema, with defects and duplicates."""
-    k = F.col("_k")
-    lasting = 60 + F.pmod(F.col("event_id") * 37 + F.col("user_id") * 11, F.lit(5400))
-    seconds = (
-        F.when(_every(97), F.lit(-60)).when(_every(89), F.lit(0)).when(_every(61), F.lit(90_000)).otherwise(lasting)
+    parts = events.where(F.col("event_type") != WEATHER_EVENT).select(
+        "event_id", "ts", "user_id", "value", props_number().alias("k")
     )
-    distance = F.when(_every(101), None).when(_every(103), k + 500.5).otherwise(k / 8.0)
-    sign = F.when(_every(19), F.lit(-1.0)).otherwise(F.lit(1.0))
-    fare = sign * F.col("value") + F.when(_every(401), F.lit(1000.0)).otherwise(F.lit(0.0))
-    # The congestion charge is in the column and not in the total for one vehicle
-    # in four, and the other way round for one in sixteen.
-    charged = F.when(F.col("user_id") % 4 == 0, F.lit(0.0)).otherwise(F.lit(2.5))
-    listed = F.when(F.col("user_id") % 16 == 1, None).otherwise(F.lit(2.5))
-    tip, tolls = k * 0.25, F.when(k > 90, F.lit(6.5)).otherwise(F.lit(0.0))
-    airport = F.when(F.col("user_id") % 13 == 0, F.lit(1.75))
-
-    trips = events.where(F.col("event_type") != WEATHER_EVENT).withColumn("_k", props_number())
-    one = trips.select(
-        F.col("event_id").alias("trip_id"),
-        (F.col("user_id") % 2 + 1).alias("VendorID"),
-        F.col("ts").alias("tpep_pickup_datetime"),
-        F.when(~_every(53), add_seconds("ts", seconds.cast("bigint"))).alias("tpep_dropoff_datetime"),
-        F.when(~_every(31), (F.col("user_id") % 8).cast("double")).alias("passenger_count"),
-        distance.cast("double").alias("trip_distance"),
-        (F.col("user_id") % 26).alias("PULocationID"),
-        F.pmod(F.col("user_id") * 7 + F.col("event_id"), F.lit(26)).alias("DOLocationID"),
-        fare.alias("fare_amount"),
-        F.lit(0.5).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        tip.alias("tip_amount"),
-        tolls.alias("tolls_amount"),
-        F.lit(0.25).alias("improvement_surcharge"),
-        (fare + 1.25 + tip + tolls + charged + F.coalesce(airport, F.lit(0.0))).alias("total_amount"),
-        listed.alias("congestion_surcharge"),
-        airport.alias("Airport_fee"),
-        (F.col("user_id") % 4 + 1).alias("payment_type"),
+    computed = parts.selectExpr(
+        "event_id", "ts", "user_id", "k",
+        "CASE WHEN event_id % 19 = 0 THEN -value ELSE value END"
+        " + CASE WHEN event_id % 401 = 0 THEN 1000D ELSE 0D END AS fare",
+        "CASE WHEN event_id % 97 = 0 THEN -60L WHEN event_id % 89 = 0 THEN 0L WHEN event_id % 61 = 0 THEN 90000L"
+        " ELSE 60 + (event_id * 37 + user_id * 11) % 5400 END AS seconds",
+        "CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 103 = 0 THEN k + 500.5D ELSE k / 8D END AS miles",
+        "k * 0.25D AS tip",
+        "CASE WHEN k > 90 THEN 6.5D ELSE 0D END AS tolls",
+        # The congestion charge is in the column and not in the total for one vehicle
+        # in four, and the other way round for one in sixteen.
+        "CASE WHEN user_id % 4 = 0 THEN 0D ELSE 2.5D END AS charged",
+        "CASE WHEN user_id % 16 <> 1 THEN 2.5D END AS listed",
+        "CASE WHEN user_id % 13 = 0 THEN 1.75D END AS airport",
     )
     # One row in fifty is delivered twice, the copy with a shorter distance.
-    copies = F.when(_every(50, "trip_id"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    copied = one.withColumn("_copy", F.explode(copies))
-    is_copy = F.col("_copy") == 1
-    return copied.withColumns(
-        {
-            "trip_id": F.when(is_copy, -F.col("trip_id") - 1).otherwise(F.col("trip_id")),
-            "trip_distance": F.col("trip_distance") - F.col("_copy"),
-        }
-    ).drop("_copy")
+    copied = computed.selectExpr("*", "explode(CASE WHEN event_id % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS copy")
+    return copied.selectExpr(
+        "CASE WHEN copy = 1 THEN -event_id - 1 ELSE event_id END AS trip_id",
+        "user_id % 2 + 1 AS VendorID",
+        "ts AS tpep_pickup_datetime",
+        "CASE WHEN event_id % 53 <> 0 THEN timestampadd(SECOND, seconds, ts) END AS tpep_dropoff_datetime",
+        "CASE WHEN event_id % 31 <> 0 THEN CAST(user_id % 8 AS DOUBLE) END AS passenger_count",
+        "miles - copy AS trip_distance",
+        "user_id % 26 AS PULocationID",
+        "(user_id * 7 + event_id) % 26 AS DOLocationID",
+        "fare AS fare_amount",
+        "0.5D AS extra",
+        "0.5D AS mta_tax",
+        "tip AS tip_amount",
+        "tolls AS tolls_amount",
+        "0.25D AS improvement_surcharge",
+        "fare + 1.25D + tip + tolls + charged + coalesce(airport, 0D) AS total_amount",
+        "listed AS congestion_surcharge",
+        "airport AS Airport_fee",
+        "user_id % 4 + 1 AS payment_type",
+    )
 
 
 def raw_weather(events: DataFrame) -> DataFrame:

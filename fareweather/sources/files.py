@@ -125,7 +125,11 @@ def with_lineage(df: DataFrame, origin: Column | str, name: str = "_ingested_fro
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh. Spark commits files at the end, so a failed job leaves no half table."""
+    """Full refresh. Files show when the job commits, so a failed job leaves no half table.
+
+    Without partitions the table before is removed first; run the job again, as each
+    layer derives from the one before.
+    """
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 

@@ -117,6 +117,12 @@ def test_text_times_and_odd_numbers(spark):
     )
     r = staging.stage_trips(staging.conform_trips(df)).collect()[0]
     assert (r.vendor_id, r.passenger_count, r.trip_distance_miles, r.duration_seconds) == (2, 2, None, 1800)
+    assert r.is_valid is None, "a distance that is no number leaves validity open"
+    broken = df.withColumns({"tpep_pickup_datetime": F.lit("not a date"), "trip_distance": F.lit("1")}).unionByName(
+        df.withColumn("trip_distance", F.lit("1"))
+    )
+    valid = staging.valid_trips(staging.conform_trips(broken)).collect()
+    assert [v.duration_seconds for v in valid] == [1800]
 
 
 def test_fourteen_findings(spark):
