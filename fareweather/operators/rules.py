@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Settings
@@ -94,6 +94,19 @@ def rule_counts(df: DataFrame, rules: Sequence[Rule] = TRIP_RULES) -> DataFrame:
     return long_form(one_row, list(counters), "rule", "rows")
 
 
+def run_metrics(df: DataFrame, run_id: str, rules: Sequence[Rule] = TRIP_RULES) -> DataFrame:
+    """(run_id, metric, rows) of one run: rows in, passed, quarantined, and rows per rule; one pass."""
+    passed = F.count_if("is_valid")
+    counters = {
+        "rows_in": F.count(F.lit(1)),
+        "rows_passed": passed,
+        "rows_quarantined": F.count(F.lit(1)) - passed,
+        **{r.name: F.count_if(F.col(r.name)) for r in rules},
+    }
+    one_row = df.agg(*[c.alias(n) for n, c in counters.items()])
+    return long_form(one_row, list(counters), "metric", "rows").select(F.lit(run_id).alias("run_id"), "*")
+
+
 def revenue_by_reason(df: DataFrame, amount: str = "total_amount") -> DataFrame:
     """Rows and amount per failure reason; ``valid`` and the reasons add up to all rows."""
     reason = F.coalesce(failure_reason(), F.lit("valid"))
@@ -108,8 +121,6 @@ def run_drift(runs: DataFrame, threshold: float = 0.2) -> DataFrame:
     ``runs`` has ``layer``, ``run_date`` and ``rows_in``, one small row per run. An
     alert is a drop of at least ``threshold``.
     """
-    from pyspark.sql import Window
-
     before = F.lag("rows_in").over(Window.partitionBy("layer").orderBy("run_date"))
     change = F.try_divide(F.col("rows_in") - F.col("rows_before"), F.col("rows_before"))
     return (

@@ -43,6 +43,10 @@ sql("dq_rule_counts", ("staged",), " UNION ALL ".join(
     [f"SELECT '{f}' AS rule, count(*) FILTER ({f}) AS rows FROM staged" for f in FLAGS]
     + ["SELECT 'is_valid', count(*) FILTER (is_valid) FROM staged",
        "SELECT 'dq_undetermined', count(*) FILTER (is_valid IS NULL) FROM staged"]))
+sql("dq_run_metrics", ("staged",), " UNION ALL ".join(
+    f"SELECT '2024-01' AS run_id, '{m}' AS metric, count(*) FILTER ({w}) AS rows FROM staged"
+    for m, w in (("rows_in", "true"), ("rows_passed", "is_valid"), ("rows_quarantined", "is_valid IS DISTINCT FROM true"),
+                 *((f, f) for f in FLAGS))))
 sql("revenue_accounting", ("reasons",), """
 SELECT ifnull(failure_reason, 'valid') AS failure_reason, count(*) AS rows, round(sum(total_amount), 2) AS revenue
 FROM reasons GROUP BY 1""")

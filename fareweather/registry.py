@@ -507,6 +507,11 @@ def fleet_utilisation(t: Tables) -> DataFrame:
     return fleet.utilisation(bindings.fleet_trips(t.events))
 
 
+@job
+def dq_run_metrics(t: Tables) -> DataFrame:
+    return rules.run_metrics(t.staged, "2024-01")
+
+
 @job
 def dq_run_drift(t: Tables) -> DataFrame:
     return rules.run_drift(fleet.daily_runs(t.staged), threshold=0.05)
