@@ -1,0 +1,20 @@
+"""Operations of a training-data pipeline, each over whole tables.
+
+Functions of this package are sent to Python workers by value, so executors need no copy of it.
+"""
+
+from pyspark import cloudpickle
+
+from . import common, components, mixing, packing, quality_fm, secret_scan, toxicity
+
+cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["common"]))
+
+_MODULES = (secret_scan, mixing, quality_fm, packing, toxicity)
+
+
+def queries() -> dict:
+    return {name: query for m in _MODULES for name, query in m.QUERIES.items()}
+
+
+def oracle_sql() -> dict:
+    return {name: sql for m in _MODULES for name, sql in getattr(m, "ORACLES", {}).items()}

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,3 +49,11 @@ def held_out(doc_id: Column) -> Column:
 
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
+
+
+def once(key: tuple, make: Callable):
+    """What ``make`` returns, made once in a Python worker and kept for its later tasks."""
+    kept = sys.modules.setdefault("llm_worker_values", types.ModuleType("llm_worker_values")).__dict__.setdefault("values", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
