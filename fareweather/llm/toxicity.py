@@ -24,16 +24,19 @@ from .words import Words, blocks, labelled_sample, sparse_sums
 SAMPLE_ROWS = 8000
 #: A score from here on predicts label 1.
 CUT = 0.5
-BUCKETS = 1 << 18
 #: Lengths of word beginnings that are looked at.
 BEGINNINGS = (4, 5, 6)
 #: Least rows of the sample in which a voter votes or a feature stands.
 LEAST_ROWS = 4
+#: Correlation within a class from which voters count as dependent.
+DEPENDENT = 0.25
 #: Voters of the lexicon at most.
 VOTERS = 400
-#: A voter's rows are toxic at least so much oftener than others'.
-LIFT = 4.0
-EPOCHS = 12
+#: The share of toxic rows among those of a term of the lexicon, at the lower end of its interval.
+SURE = 0.8
+#: Standard deviations from chance of a feature of the classifier.
+BEYOND = 5.0
+EPOCHS = 20
 RATE = 0.5
 PENALTY = 1e-3
 SEED = 5
@@ -69,54 +72,56 @@ def patterns(text: str, words: int, shouted: float) -> list[int]:
 PATTERNS = 5
 
 
+def _logit(x):
+    return np.log(x / (1 - x))
+
+
 @dataclass
 class Labeller:
-    """A generative model of votes: the share of toxic texts, and for each voter how likely
-    it votes in toxic and in other texts, weighed down by the voters that repeat it."""
+    """A generative model of votes: the share of toxic texts, for each voter how often a text that
+    it votes on is toxic, and the correlations of voters within a class. Abstaining tells nothing."""
 
     share: float
-    rates: np.ndarray  # voter x (other, toxic): chance of a vote
-    weights: np.ndarray
+    accuracy: np.ndarray
+    correlation: np.ndarray
 
     def posterior(self, voted: np.ndarray) -> np.ndarray:
-        """Chance of toxic of each row of ``voted`` (row x voter, 0 or 1)."""
-        on = np.log(self.rates[:, 1] / self.rates[:, 0]) * self.weights
-        off = np.log((1 - self.rates[:, 1]) / (1 - self.rates[:, 0])) * self.weights
-        odds = np.log(self.share / (1 - self.share)) + voted @ (on - off) + off.sum()
+        """Chance of toxic of each row of ``voted`` (row x voter, 0 or 1). Votes that depend on
+        each other share one voice: each counts one over those it goes with in its row."""
+        voices = voted / np.maximum(1.0, voted @ self.correlation)
+        odds = _logit(self.share) + voices @ (_logit(self.accuracy) - _logit(self.share))
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def label_model(voted: np.ndarray, sides: np.ndarray, share: float, steps: int = 25) -> Labeller:
-    """Estimated by expectation and maximisation from the votes alone; ``sides`` (1 or -1) is for
-    what a voter speaks and sets where it begins, ``share`` the share of toxic rows.
-
-    After a first estimate, what voters still have in common within a class is their
-    correlation; each voter's weight is one over the number of voters it stands for.
+def label_model(voted: np.ndarray, lexicon: int, share: float, steps: int = 20) -> Labeller:
+    """Estimated by expectation and maximisation from the votes alone. The first ``lexicon`` voters
+    begin as right in nine of ten rows, the others as they agree with those; ``share`` is
+    the share of toxic rows, which is held. What voters have in common within a class after a
+    first estimate is their correlation; the estimate is then made again with it.
     """
     n, voters = voted.shape
-    far = np.clip(voted.mean(axis=0) if n else np.full(voters, 0.01), 1e-3, 0.5) if voters else np.empty(0)
-    rates = np.stack((np.where(sides > 0, far * 0.1, np.minimum(0.9, far * 1.2)), np.where(sides > 0, np.minimum(0.9, far / max(share, 1e-3) * 0.8), far * 0.5)), axis=1) if voters else np.empty((0, 2))
-    model = Labeller(share, np.clip(rates, 1e-4, 1 - 1e-4), np.ones(voters))
-    if not n or not voters:
-        return model
+    votes = voted.sum(axis=0)
+    start = np.full(voters, 0.9)
+    any_term = voted[:, :lexicon].any(axis=1).astype(float)
+    start[lexicon:] = (voted[:, lexicon:].T @ any_term + share) / (votes[lexicon:] + 1)
+    start = np.clip(start, 0.01, 0.98)
+    model = Labeller(share, start.copy(), np.eye(voters))
     for turn in range(2):
         for _ in range(steps):
             p = model.posterior(voted)
-            each = np.stack((1 - p, p), axis=1)
-            # The prior counts keep a rare voter near where it begins.
-            model.rates = np.clip((voted.T @ each + 2 * rates) / (each.sum(axis=0) + 2), 1e-4, 1 - 1e-4)
-            model.share = float(np.clip((p.sum() + share * 50) / (n + 50), 1e-3, 1 - 1e-3))
-        if turn == 0:
+            # The beginning counts as much as the rows seen, which keeps the classes' meaning.
+            model.accuracy = np.clip((voted.T @ p + (votes + 3) * start) / (2 * votes + 3), 0.01, 0.98)
+        if turn == 0 and n:
             p = model.posterior(voted)
             common = np.zeros((voters, voters))
-            for k, part in enumerate((1 - p, p)):
-                left = (voted - model.rates[:, k]) * np.sqrt(part)[:, None]
+            for part in (1 - p, p):
+                left = (voted - (voted.T @ part) / max(part.sum(), 1e-9)) * np.sqrt(part)[:, None]
                 common += left.T @ left
             spread = np.sqrt(np.clip(np.diag(common), 1e-9, None))
             correlation = np.clip(common / spread[:, None] / spread[None, :], 0, 1)
-            correlation[correlation < 0.1] = 0
+            correlation[correlation < DEPENDENT] = 0
             np.fill_diagonal(correlation, 1)
-            model.weights = 1 / correlation.sum(axis=1)
+            model.correlation = correlation
     return model
 
 
@@ -158,14 +163,35 @@ def _lexicon(per: list[np.ndarray], names: list[str], y: np.ndarray) -> np.ndarr
     toxic, other = np.zeros(len(names)), np.zeros(len(names))
     for found, label in zip(per, y):
         (toxic if label else other)[found] += 1
-    rate = (toxic + 0.5) / (y.sum() + 1) / ((other + 0.5) / (len(y) - y.sum() + 1))
-    good = np.flatnonzero((toxic >= LEAST_ROWS) & (rate >= LIFT))
-    return good[np.argsort(-toxic[good] * np.log(rate[good]), kind="stable")][:VOTERS]
+    seen = np.maximum(1, toxic + other)
+    sure = toxic / seen
+    # The lower end of what the share of toxic rows may be.
+    z = 1.64
+    low = (sure + z * z / (2 * seen) - z * np.sqrt(sure * (1 - sure) / seen + z * z / (4 * seen**2))) / (1 + z * z / seen)
+    good = np.flatnonzero((toxic >= LEAST_ROWS) & (low >= SURE))
+    good = good[np.argsort(-toxic[good] * low[good], kind="stable")]
+    # A word and its beginnings that stand in the same rows are one voter.
+    sign = np.random.default_rng(SEED).integers(1, 1 << 62, len(per), dtype=np.uint64)
+    rows_of = np.zeros(len(names), np.uint64)
+    for found, x in zip(per, sign):
+        rows_of[found] ^= x
+    first = np.sort(np.unique(rows_of[good], return_index=True)[1])
+    return good[first][:VOTERS]
+
+
+def _families(rows: pd.DataFrame) -> pd.DataFrame:
+    """One row of each group of copies and near copies, told by the least hashes of its terms, so
+    that the words of a much copied text don't look like marks of its label."""
+    def least(terms: str) -> str:
+        return ",".join(map(str, sorted(zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in terms.split("\n"))[:3]))
+
+    return rows.loc[~rows["terms"].map(least).duplicated()].reset_index(drop=True)
 
 
 def fit(rows: pd.DataFrame) -> Classifier:
     """From rows of terms, votes and labels. Labels choose the lexicon's terms and the share of toxic
     rows; the classifier itself sees posterior labels. Without a toxic row none is found."""
+    rows = _families(rows)
     y = rows["y"].to_numpy(dtype=np.int64)
     if not len(rows) or not y.sum() or y.all():
         return Classifier(bias=float(np.log((y.sum() + 0.1) / (len(y) - y.sum() + 1))) if len(rows) else -3.0)
@@ -177,9 +203,19 @@ def fit(rows: pd.DataFrame) -> Classifier:
     for i, found in enumerate(per):
         voted[i, where[found][where[found] >= 0]] = 1
     voted[:, len(lexicon):] = votes != 0
-    sides = np.concatenate((np.ones(len(lexicon)), [1, 1, 1, 1, -1]))
-    model = label_model(voted, sides, float(np.clip(y.mean(), 0.005, 0.5)))
+    model = label_model(voted, len(lexicon), float(np.clip(y.mean(), 0.005, 0.5)))
     p = model.posterior(voted)
+    # Features of the classifier: terms that go with the posterior beyond chance.
+    seen, toxic = np.zeros(len(names)), np.zeros(len(names))
+    for found, chance in zip(per, p):
+        seen[found] += 1
+        toxic[found] += chance
+    mean = p.mean()
+    z = (toxic - seen * mean) / np.sqrt(np.maximum(seen, 1) * max(mean * (1 - mean), 1e-9))
+    kept = np.abs(z) >= BEYOND
+    new = np.cumsum(kept) - 1
+    per = [new[found[kept[found]]] for found in per]
+    names = [t for t, k in zip(names, kept) if k]
     # The linear classifier: log loss against the posterior, adaptive steps.
     random = np.random.default_rng(SEED)
     weights, shape, bias = np.zeros(len(names)), np.zeros(PATTERNS), float(np.log(y.mean() / (1 - y.mean())))
@@ -201,8 +237,7 @@ def fit(rows: pd.DataFrame) -> Classifier:
             weights[used] -= RATE * grad / np.sqrt(square_w[used])
             shape -= RATE * 0.2 * grad_s / np.sqrt(square_s)
             bias -= RATE * error.sum() / np.sqrt(square_b)
-    small = np.abs(weights) < 0.05
-    return Classifier(float(bias), {t: float(w) for t, w, s in zip(names, weights, small) if not s}, tuple(map(float, shape)))
+    return Classifier(float(bias), {t: float(w) for t, w in zip(names, weights)}, tuple(map(float, shape)))
 
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", most: int = SAMPLE_ROWS, doc_id: str = "doc_id", text: str = "text") -> Classifier:
