@@ -33,7 +33,9 @@ DEPENDENT = 0.25
 #: Voters of the lexicon at most.
 VOTERS = 400
 #: The share of toxic rows among those of a term of the lexicon, at the lower end of its interval.
-SURE = 0.8
+SURE = 0.5
+#: Other rows of such a term at most, by its toxic ones.
+STRAY = 0.03
 #: Standard deviations from chance of a feature of the classifier.
 BEYOND = 5.0
 EPOCHS = 20
@@ -168,7 +170,7 @@ def _lexicon(per: list[np.ndarray], names: list[str], y: np.ndarray) -> np.ndarr
     # The lower end of what the share of toxic rows may be.
     z = 1.64
     low = (sure + z * z / (2 * seen) - z * np.sqrt(sure * (1 - sure) / seen + z * z / (4 * seen**2))) / (1 + z * z / seen)
-    good = np.flatnonzero((toxic >= LEAST_ROWS) & (low >= SURE))
+    good = np.flatnonzero((toxic >= LEAST_ROWS) & (low >= SURE) & (other <= STRAY * toxic))
     good = good[np.argsort(-toxic[good] * low[good], kind="stable")]
     # A word and its beginnings that stand in the same rows are one voter.
     sign = np.random.default_rng(SEED).integers(1, 1 << 62, len(per), dtype=np.uint64)
