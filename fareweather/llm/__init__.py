@@ -5,11 +5,11 @@ Functions of this package are sent to Python workers by value, so executors need
 
 from pyspark import cloudpickle
 
-from . import common, components, mixing, packing, quality_fm, secret_scan, toxicity
+from . import chat, common, components, html_text, jaccard_join, mixing, multi_index, packing, quality_fm, secret_scan, toxicity, vector_dedup, vectors, words
 
 cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["common"]))
 
-_MODULES = (secret_scan, mixing, quality_fm, packing, toxicity)
+_MODULES = (secret_scan, chat, html_text, multi_index, mixing, vector_dedup, jaccard_join, quality_fm, packing, toxicity)
 
 
 def queries() -> dict:

@@ -18,16 +18,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the session's checkpoint folder, so that nothing below is computed again.
-
-    The folder is the one in spark.checkpoint.dir. Only a session without one, as in
-    tests on one machine, gets a temporary folder.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir, which all executors share. Only a session without
+    one, as in tests on one machine, gets a temporary folder."""
+    context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written to the checkpoint folder, so that nothing below is computed again and no
+    lost executor takes them along."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
