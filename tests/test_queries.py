@@ -6,11 +6,11 @@ import pytest
 
 import __spark_entry__ as entry_points
 import compare
-from fareweather import registry
+from fareweather import oracle, registry
 from fareweather.sources import bindings
 from fareweather.sources.bindings import Tables
 
-NAMES = sorted(entry_points.queries())
+NAMES = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -19,12 +19,12 @@ def con(small):
 
 
 def test_registry():
-    rows_only = set(entry_points.queries()) - set(entry_points.oracle_sql())
+    rows_only = set(registry.queries()) - set(oracle.oracle_sql())
     assert rows_only == {"profile_table_approximate"}
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query_equals_sql(spark, con, small, name):
     assert compare.difference(spark, con, small, name) is None
 
