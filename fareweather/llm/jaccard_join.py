@@ -1,10 +1,11 @@
 """N-gram Jaccard join by T-occurrence search over inverted lists.
 
 Two texts link when their sets of word shingles share enough. With a threshold t, a set
-of n shingles must share T = t * n with any partner. Each set's shingles are put in one
-order for all, the rarest first. The lists of its first n - T + K shingles are its short
-lists, the others its long ones, T - K in number: a partner occurs in at least K of the short
-lists (DivideSkip). Short lists are merged by id and counted: the merge is the
+of n shingles must share T = t * n with any partner, and 2t / (1 + t) * n with one that isn't
+smaller. Each set's shingles are put in one order for all, the rarest first. The lists of
+its first n - T + K shingles are its short lists, the others its long ones: a partner
+occurs in at least K of the short lists (DivideSkip), of the larger set by the first T and
+of the smaller one by the second. Short lists are merged by id and counted: the merge is the
 external sort of the shuffle, a heap over sorted runs, so that a list may have any length.
 What is left is looked up in the sets of the candidates, and a pair is kept
 if its overlap reaches what both sizes require. The result is exact.
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, table, text_or_empty
@@ -72,6 +73,12 @@ def short_lists(n, percent: int):
     return n - need + np.minimum(OCCURRENCES, need)
 
 
+def first_lists(n: Column, percent: int) -> Column:
+    """Number of a set's short lists towards partners that aren't smaller."""
+    need = F.ceil(n * (2 * percent) / (100 + percent))
+    return n - need + F.least(F.lit(OCCURRENCES), F.ceil(n * percent / 100))
+
+
 def _counts(rows: DataFrame, width: int) -> np.ndarray:
     """How often shingles of each counter occur, over all texts. Tasks add up before the shuffle."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,6 +122,11 @@ def _may_link(n: Column, m: Column, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
 
 
+def _needed(n: Column, percent: int) -> Column:
+    """Short lists that a set of n shingles shares with any partner at least."""
+    return F.least(F.lit(OCCURRENCES), F.ceil(n * percent / 100))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets share enough."""
     a = sets.select(F.col("id").alias("u"), F.col("s").alias("a"))
@@ -135,20 +147,22 @@ def joined(documents: DataFrame, width: int = 4, percent: int = 85, doc_id: str
     rows = documents.select(F.col(doc_id).cast("long").alias("id"), text_or_empty(F.col(text)).alias("t"))
     counts = _counts(rows, width)
     nodes = cut(_digests(rows, width, percent, counts))
-    classes = nodes.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("short").alias("short"))
-    lists = cut(classes.select("id", "n", F.explode("short").alias("s")))
-    # Lists of one text lead nowhere. The others' first text stands for its list.
-    first = lists.groupBy("s").agg(F.min(F.struct("id", "n")).alias("f"), F.max("id").alias("last")).where("f.id < last").select("s", F.col("f.id").alias("lead"), F.col("f.n").alias("lead_n"))
-    shared = cut(lists.join(first, "s"))
-    # The sets of all texts on such lists, made anew from the texts rather than carried through the sorts above.
-    wanted = shared.select("id").distinct()
+    classes = cut(nodes.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("short").alias("short")))
+    lists = classes.select("id", "n", F.posexplode("short").alias("at", "s")).select("id", "n", "s", "at", (F.col("at") < first_lists(F.col("n"), percent)).alias("early"))
+    # Lists of one text, and those that are early ones of none, lead nowhere. The others' first text stands for its list.
+    first = lists.groupBy("s").agg(F.min(F.struct("id", "n")).alias("f"), F.max("id").alias("last"), F.max("early").alias("any")).where("f.id < last and any")
+    shared = cut(lists.join(first.select("s", F.col("f.id").alias("lead"), F.col("f.n").alias("lead_n")), "s"))
+    # The sets of all texts on enough such lists, made anew from the texts rather than carried through the sorts above.
+    wanted = shared.groupBy("id").agg(F.count("*").alias("occurs"), F.max("n").alias("n")).where(F.col("occurs") >= _needed(F.col("n"), percent)).select("id")
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"id": batch["id"], "s": list(shingle_sets(batch["t"].tolist(), width))})
 
     sets = cut(rows.join(wanted, "id", "left_semi").mapInPandas(whole, "id bigint, s array<bigint>"))
-    stars = shared.where(F.col("id") != F.col("lead")).where(_may_link(F.col("n"), F.col("lead_n"), percent)).select(F.col("id").alias("u"), F.col("lead").alias("v")).distinct()
+    stars = shared.where(F.col("id") != F.col("lead")).where(_may_link(F.col("n"), F.col("lead_n"), percent))
+    stars = stars.groupBy(F.col("id").alias("u"), F.col("lead").alias("v")).agg(F.count("*").alias("occurs"), F.max("n").alias("n"), F.max("lead_n").alias("m"))
+    stars = stars.where(F.col("occurs") >= _needed(F.least("n", "m"), percent)).select("u", "v")
     near = cut(_verified(stars, sets, percent))
     groups = components(near)
     rest = _unlike(shared, groups, percent)
@@ -162,14 +176,22 @@ def joined(documents: DataFrame, width: int = 4, percent: int = 85, doc_id: str
 
 def _unlike(shared: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of texts not yet in one group that occur together in enough short lists."""
-    placed = shared.select("s", "id", "n").join(groups, "id", "left").select("s", "id", "n", F.coalesce("component", "id").alias("g"))
+    placed = shared.select("s", "id", "n", "at", "early").join(groups, "id", "left").select("s", "id", "n", "at", "early", F.coalesce("component", "id").alias("g"))
     mixed = placed.groupBy("s").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("s")
-    open_ = cut(placed.join(mixed, "s", "left_semi"))
-    other = open_.select("s", F.col("id").alias("v"), F.col("n").alias("m"), F.col("g").alias("h"))
-    together = open_.join(other, "s").where((F.col("id") > F.col("v")) & (F.col("g") != F.col("h")) & _may_link(F.col("n"), F.col("m"), percent))
-    merged = together.groupBy(F.col("id").alias("u"), "v").agg(F.count("*").alias("occurs"), F.first("n").alias("n"), F.first("m").alias("m"))
-    need = F.ceil(F.least("n", "m") * percent / 100)
-    return merged.where(F.col("occurs") >= F.least(F.lit(OCCURRENCES), need)).select("u", "v")
+    # A text's shingles on no such list are in no text of another group that shares a later one of its
+    # short lists. So of a text's shingles up to a shared one only ``rank`` + 1 can be shared.
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("at")) - 1
+    open_ = cut(placed.join(mixed, "s", "left_semi").withColumn("rank", rank).withColumn("left", F.col("n") - F.col("at") - 1))
+    smaller = open_.where("early").select("s", F.col("id").alias("v"), F.col("n").alias("m"), F.col("g").alias("h"), F.col("rank").alias("rank_v"), F.col("left").alias("left_v"))
+    after = (F.col("n") > F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("id") > F.col("v")))
+    overlap = F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent))
+    reach = F.least("rank", "rank_v") + 1 + F.least("left", "left_v") >= overlap
+    together = open_.join(smaller, "s").where(after & (F.col("g") != F.col("h")) & _may_link(F.col("n"), F.col("m"), percent) & reach)
+    merged = together.groupBy(F.col("id").alias("u"), "v").agg(
+        F.count("*").alias("occurs"), F.first("n").alias("n"), F.first("m").alias("m"), F.min("left").alias("left"), F.min("left_v").alias("left_v"))
+    # What may still follow the last shared short list.
+    whole = F.col("occurs") + F.least("left", "left_v") >= overlap
+    return merged.where((F.col("occurs") >= _needed(F.col("m"), percent)) & whole).select("u", "v")
 
 
 def _same_id(nodes: DataFrame) -> DataFrame:
