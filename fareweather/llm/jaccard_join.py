@@ -32,7 +32,9 @@ from .words import Words, blocks
 #: Least number of short lists that partners share, K.
 OCCURRENCES = 3
 #: Counters of the shingles' frequencies; a shingle's order goes by its counter and then its hash.
-COUNTERS = 1 << 16
+COUNTERS = 1 << 14
+#: Bits of the map of texts whose whole sets are looked at.
+MARKS = 1 << 23
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -79,42 +81,56 @@ def first_lists(n: Column, percent: int) -> Column:
     return n - need + F.least(F.lit(OCCURRENCES), F.ceil(n * percent / 100))
 
 
-def _counts(rows: DataFrame, width: int) -> np.ndarray:
-    """How often shingles of each counter occur, over all texts. Tasks add up before the shuffle."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _digests(rows: DataFrame, width: int) -> DataFrame:
+    """Per row: id, n and two halves of a digest of its set (c is null); and how often shingles of
+    each counter c occur, n, over the rows of a task."""
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from hashlib import blake2b
+
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
+            n, halves = [], []
             for s in shingle_sets(batch["t"].tolist(), width):
-                np.add(total, np.bincount(s & (COUNTERS - 1), minlength=COUNTERS) if len(s) > COUNTERS // 8 else 0, out=total)
-                if len(s) <= COUNTERS // 8:
-                    np.add.at(total, s & (COUNTERS - 1), 1)
+                n.append(len(s))
+                halves.append(np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64))
+                np.add.at(total, s & (COUNTERS - 1), 1)
+            d = np.array(halves).reshape(-1, 2)
+            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "n": n, "d1": d[:, 0], "d2": d[:, 1], "c": pd.array([None] * len(n), "Int32")})
         used = np.flatnonzero(total)
-        yield pd.DataFrame({"c": used.astype(np.int32), "n": total[used]})
+        none = pd.array([None] * len(used), "Int64")
+        yield pd.DataFrame({"id": none, "n": total[used], "d1": none, "d2": none, "c": pd.array(used, "Int32")})
 
-    found = rows.select("t").mapInPandas(count, "c int, n bigint").groupBy("c").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(COUNTERS, np.int64)
-    out[found["c"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=np.int64)
-    return out
+    return rows.mapInPandas(digest, "id bigint, n bigint, d1 bigint, d2 bigint, c int")
 
 
-def _digests(rows: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """Per row: id, n, two halves of a digest of its set, and the shingles of its short lists."""
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _short(rows: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
+    """Per row with an id and a shingle: id, n, its digest, and the shingles of its short lists."""
+    def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from hashlib import blake2b
 
         for batch in batches:
-            n, d1, d2, short = [], [], [], []
+            n, halves, short = [], [], []
             for s in shingle_sets(batch["t"].tolist(), width):
-                h = np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
-                take = int(short_lists(len(s), percent))
-                order = np.lexsort((s, counts[s & (COUNTERS - 1)]))[:take]
+                order = np.lexsort((s, counts[s & (COUNTERS - 1)]))[:int(short_lists(len(s), percent))]
                 n.append(len(s))
-                d1.append(h[0])
-                d2.append(h[1])
+                halves.append(np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64))
                 short.append(s[order])
-            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "n": n, "d1": d1, "d2": d2, "short": short})
+            d = np.array(halves).reshape(-1, 2)
+            out = pd.DataFrame({"id": batch["id"], "n": n, "d1": d[:, 0], "d2": d[:, 1], "short": short})
+            yield out[out["n"] > 0]
+
+    return rows.where("id is not null").mapInPandas(chosen, "id bigint, n bigint, d1 bigint, d2 bigint, short array<bigint>")
 
-    return rows.mapInPandas(digest, "id bigint, n bigint, d1 bigint, d2 bigint, short array<bigint>")
+
+def _marked(ids: DataFrame) -> np.ndarray:
+    """A bitmap of hashed ids: MARKS bits at most, whatever the number of ids. An id without its bit
+    isn't among them."""
+    bit = F.pmod(F.xxhash64("id"), F.lit(MARKS))
+    words = ids.select(F.floor(bit / 64).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {MARKS}) % 64 as int))").alias("m"))
+    found = words.groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
+    out = np.zeros(MARKS // 64, np.int64)
+    out[found["w"].to_numpy(dtype=np.int64)] = found["m"].to_numpy(dtype=np.int64)
+    return out.view(np.uint64)
 
 
 def _may_link(n: Column, m: Column, percent: int) -> Column:
@@ -145,30 +161,39 @@ def joined(documents: DataFrame, width: int = 4, percent: int = 85, doc_id: str
     empty result.
     """
     rows = documents.select(F.col(doc_id).cast("long").alias("id"), text_or_empty(F.col(text)).alias("t"))
-    counts = _counts(rows, width)
-    nodes = cut(_digests(rows, width, percent, counts))
-    classes = cut(nodes.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("short").alias("short")))
-    lists = classes.select("id", "n", F.posexplode("short").alias("at", "s")).select("id", "n", "s", "at", (F.col("at") < first_lists(F.col("n"), percent)).alias("early"))
+    passed = cut(_digests(rows, width))
+    nodes = passed.where("c is null").drop("c")
+    counts = np.zeros(COUNTERS, np.int64)
+    for c, n in passed.where("c is not null").groupBy("c").agg(F.sum("n")).collect():
+        counts[c] = n
+    classes = cut(_short(rows, width, percent, counts).groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("short").alias("short")))
+    # Rows of few and small columns: n, the place and if the list is an early one are one number.
+    packed = F.shiftleft("n", 32) + F.shiftleft("at", 1) + F.when(F.col("at") < first_lists(F.col("n"), percent), 1).otherwise(0)
+    lists = classes.select("id", "n", F.posexplode("short").alias("at", "s")).select("s", "id", packed.alias("packed"))
     # Lists of one text, and those that are early ones of none, lead nowhere. The others' first text stands for its list.
-    first = lists.groupBy("s").agg(F.min(F.struct("id", "n")).alias("f"), F.max("id").alias("last"), F.max("early").alias("any")).where("f.id < last and any")
-    shared = cut(lists.join(first.select("s", F.col("f.id").alias("lead"), F.col("f.n").alias("lead_n")), "s"))
+    first = lists.groupBy("s").agg(F.min("id").alias("lead"), F.max("id").alias("last"), F.max(F.col("packed") % 2).alias("any")).where("lead < last and any = 1")
+    shared = cut(lists.join(first.select("s", "lead"), "s")).select(
+        "s", "id", "lead", F.shiftright("packed", 32).alias("n"), (F.shiftright("packed", 1) % (1 << 31)).cast("int").alias("at"), (F.col("packed") % 2 == 1).alias("early"))
     # The sets of all texts on enough such lists, made anew from the texts rather than carried through the sorts above.
     wanted = shared.groupBy("id").agg(F.count("*").alias("occurs"), F.max("n").alias("n")).where(F.col("occurs") >= _needed(F.col("n"), percent)).select("id")
+    marked = _marked(wanted)
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "s": list(shingle_sets(batch["t"].tolist(), width))})
-
-    sets = cut(rows.join(wanted, "id", "left_semi").mapInPandas(whole, "id bigint, s array<bigint>"))
-    stars = shared.where(F.col("id") != F.col("lead")).where(_may_link(F.col("n"), F.col("lead_n"), percent))
-    stars = stars.groupBy(F.col("id").alias("u"), F.col("lead").alias("v")).agg(F.count("*").alias("occurs"), F.max("n").alias("n"), F.max("lead_n").alias("m"))
-    stars = stars.where(F.col("occurs") >= _needed(F.least("n", "m"), percent)).select("u", "v")
+            bit = batch["bit"].to_numpy()
+            some = batch[(marked[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1]
+            yield pd.DataFrame({"id": some["id"], "s": list(shingle_sets(some["t"].tolist(), width))})
+
+    asked = rows.where("id is not null").withColumn("bit", F.pmod(F.xxhash64("id"), F.lit(MARKS)))
+    sets = cut(asked.mapInPandas(whole, "id bigint, s array<bigint>").where(F.size("s") > 0))
+    stars = shared.where(F.col("id") != F.col("lead")).groupBy(F.col("id").alias("u"), F.col("lead").alias("v")).agg(F.count("*").alias("occurs"), F.max("n").alias("n"))
+    stars = stars.where(F.col("occurs") >= _needed(F.col("n"), percent)).select("u", "v")
     near = cut(_verified(stars, sets, percent))
     groups = components(near)
     rest = _unlike(shared, groups, percent)
     links = cut(near.unionAll(_verified(rest, sets, percent)).unionAll(_same_id(nodes)))
     done = components(links)
-    of_class = classes.select("d1", "d2", F.col("id").alias("class_id"))
+    of_class = nodes.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("class_id"))
     out = nodes.select("id", "n", "d1", "d2").join(of_class, ["d1", "d2"], "left").join(done.withColumnRenamed("id", "class_id"), "class_id", "left")
     linked = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("component", "class_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), linked.alias("component_id"))
