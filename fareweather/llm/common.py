@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import types
@@ -30,9 +31,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """The rows written to the checkpoint folder, so that nothing below is computed again and no
-    lost executor takes them along."""
+    lost executor takes them along. Shuffle files of earlier steps are let go: Spark removes
+    them once the driver has collected the plans that nothing refers to any more."""
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    done = df.checkpoint()
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return done
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
