@@ -7,7 +7,9 @@ space, and closes the fullest when it needs a new one.
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ TASK_PIECES = 100_000
 #: The id that ends a document.
 END_ID = 0
 #: Distinct words whose ids a worker remembers at most.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 VOCABULARY = "word_bpe_49k.json"
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -42,60 +44,67 @@ class WordTokens:
     """Ids of words between white space, each distinct word encoded once.
 
     No token of the vocabulary spans white space, so ids of a text are those of its words
-    in a row. A word of letters and a tail of punctuation are remembered apart.
+    in a row; and none spans letters and marks, so a word of letters and the marks after it are
+    remembered apart. Ids are kept as bytes, four each, the lowest first.
     """
 
-    TAIL = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
+    MARKS = b"!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def _encode(self, parts: list[str]) -> None:
-        if len(self.known) + len(parts) > REMEMBERED:
-            self.known.clear()
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
-            self.known[part] = np.array(found.ids, dtype="<u4")
-
-    @staticmethod
-    def _split(word: str) -> tuple[str, str]:
-        core = word.rstrip(WordTokens.TAIL)
-        if not core or not core.isalpha():
-            return word, ""
-        low = core.lower()
-        # Lower case changes nothing for the tokenizer, save where it depends on the place in the word.
-        return (low if len(low) == len(core) and "ς" not in low else core), word[len(core):]
-
-    def ids(self, words: list[str]) -> list[np.ndarray]:
+        #: By word: the letters in lower case (A-Z), or any whole word that isn't letters and marks.
+        self.known: dict[bytes, bytes] = {b"": b""}
+
+    def _learn(self, words: set[bytes]) -> None:
+        parts = sorted(words)
+        texts = [w.decode("utf-8", "surrogatepass") for w in parts]
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            self.known[part] = array("I", found.ids).tobytes()
+
+    def ids(self, words: list[bytes]) -> list[bytes]:
         """Ids of each of the distinct ``words``."""
-        out: list[np.ndarray] = []
-        for at in range(0, len(words), REMEMBERED // 4):
-            parts = [self._split(w) for w in words[at:at + REMEMBERED // 4]]
-            new = {p for pair in parts for p in pair if p and p not in self.known}
-            if new:
-                # Clearing what is known must not lose a part of this block.
-                if len(self.known) + len(new) > REMEMBERED:
-                    self.known.clear()
-                    new = {p for pair in parts for p in pair if p}
-                self._encode(sorted(new))
-            out += [self.known[a] if not b else (self.known[b] if not a else np.concatenate((self.known[a], self.known[b]))) for a, b in parts]
+        if len(self.known) > REMEMBERED:
+            self.known = {b"": b""}
+        known, marks, out, missing = self.known, self.MARKS, [], []
+        for i, word in enumerate(words):
+            core = word.rstrip(marks)
+            a, b = known.get(core.lower()), known.get(word[len(core):])
+            if a is None or b is None or not core:
+                missing.append(i)
+                out.append(known.get(word))
+            else:
+                out.append(a + b)
+        new, split = set(), {}
+        for i in missing:
+            word = words[i]
+            core = word.rstrip(marks)
+            if core and core.decode("utf-8", "surrogatepass").isalpha():
+                split[i] = (core.lower(), word[len(core):])
+                new.update(split[i])
+            else:
+                new.add(word)
+        self._learn({w for w in new if w not in known})
+        for i in missing:
+            out[i] = b"".join(known[w] for w in split[i]) if i in split else known[words[i]]
         return out
 
     def documents(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, in order."""
         words = Words(texts)
-        per = self.ids([w.decode("utf-8", "surrogatepass") for w in words.distinct])
-        lengths = np.array([len(p) for p in per], dtype=np.int64)
-        flat = np.concatenate([*per, np.empty(0, "<u4")]).astype("<u4")
+        per = self.ids(words.distinct)
+        lengths = np.fromiter(map(len, per), np.int64, len(per)) // 4
+        flat = np.frombuffer(b"".join(per), "<u4")
         begins = np.cumsum(lengths) - lengths
+        n = lengths[words.codes] if len(per) else np.empty(0, np.int64)
+        upto = np.concatenate(([0], np.cumsum(n)))
+        # Place of each id: its word's begin plus its place in the word.
+        every = flat[np.repeat(begins[words.codes] - upto[:-1], n) + np.arange(upto[-1])] if len(n) else flat
+        ends = upto[words.bounds]
         for i in range(len(texts)):
-            c = words.of(i)
-            n = lengths[c]
-            total = int(n.sum())
-            # Place of each id: its word's begin plus its place in the word.
-            yield flat[np.repeat(begins[c] - (np.cumsum(n) - n), n) + np.arange(total)]
+            yield every[ends[i]:ends[i + 1]]
 
 
 def _tokens(path: str) -> WordTokens:
