@@ -18,7 +18,9 @@ texts of several groups.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -138,6 +140,20 @@ def _may_link(n: Column, m: Column, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
 
 
+@contextmanager
+def _bucketed(rows: DataFrame, key: str) -> Iterator[DataFrame]:
+    """The rows as a table in the warehouse, bucketed and sorted by ``key`` while it is needed, so that
+    joins on it move the other side only."""
+    spark = rows.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"jaccard_sets_{uuid.uuid4().hex}"
+    try:
+        rows.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).saveAsTable(name, format="parquet")
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def _needed(n: Column, percent: int) -> Column:
     """Short lists that a set of n shingles shares with any partner at least."""
     return F.least(F.lit(OCCURRENCES), F.ceil(n * percent / 100))
@@ -170,6 +186,9 @@ def joined(documents: DataFrame, width: int = 4, percent: int = 85, doc_id: str
     # Rows of few and small columns: n, the place and if the list is an early one are one number.
     packed = F.shiftleft("n", 32) + F.shiftleft("at", 1) + F.when(F.col("at") < first_lists(F.col("n"), percent), 1).otherwise(0)
     lists = classes.select("id", "n", F.posexplode("short").alias("at", "s")).select("s", "id", packed.alias("packed"))
+    # One shuffle serves the sums and the join. A text has many shingles on its lists and each but
+    # once, so even a list of all texts is a small part of the rows.
+    lists = lists.repartition("s")
     # Lists of one text, and those that are early ones of none, lead nowhere. The others' first text stands for its list.
     first = lists.groupBy("s").agg(F.min("id").alias("lead"), F.max("id").alias("last"), F.max(F.col("packed") % 2).alias("any")).where("lead < last and any = 1")
     shared = cut(lists.join(first.select("s", "lead"), "s")).select(
@@ -185,13 +204,12 @@ def joined(documents: DataFrame, width: int = 4, percent: int = 85, doc_id: str
             yield pd.DataFrame({"id": some["id"], "s": list(shingle_sets(some["t"].tolist(), width))})
 
     asked = rows.where("id is not null").withColumn("bit", F.pmod(F.xxhash64("id"), F.lit(MARKS)))
-    sets = cut(asked.mapInPandas(whole, "id bigint, s array<bigint>").where(F.size("s") > 0))
-    stars = shared.where(F.col("id") != F.col("lead")).groupBy(F.col("id").alias("u"), F.col("lead").alias("v")).agg(F.count("*").alias("occurs"), F.max("n").alias("n"))
-    stars = stars.where(F.col("occurs") >= _needed(F.col("n"), percent)).select("u", "v")
-    near = cut(_verified(stars, sets, percent))
-    groups = components(near)
-    rest = _unlike(shared, groups, percent)
-    links = cut(near.unionAll(_verified(rest, sets, percent)).unionAll(_same_id(nodes)))
+    with _bucketed(asked.mapInPandas(whole, "id bigint, s array<bigint>").where(F.size("s") > 0), "id") as sets:
+        stars = shared.where(F.col("id") != F.col("lead")).groupBy(F.col("id").alias("u"), F.col("lead").alias("v")).agg(F.count("*").alias("occurs"), F.max("n").alias("n"))
+        stars = stars.where(F.col("occurs") >= _needed(F.col("n"), percent)).select("u", "v")
+        near = cut(_verified(stars, sets, percent))
+        rest = _unlike(shared, components(near), percent)
+        links = cut(near.unionAll(_verified(rest, sets, percent)).unionAll(_same_id(nodes)))
     done = components(links)
     of_class = nodes.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("class_id"))
     out = nodes.select("id", "n", "d1", "d2").join(of_class, ["d1", "d2"], "left").join(done.withColumnRenamed("id", "class_id"), "class_id", "left")
