@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, table, text_or_empty
 from .components import components
-from .words import Words, blocks
+from .words import Words, blocks, in_blocks
 
 #: Least number of short lists that partners share, K.
 OCCURRENCES = 3
@@ -90,14 +90,14 @@ def _digests(rows: DataFrame, width: int) -> DataFrame:
         from hashlib import blake2b
 
         total = np.zeros(COUNTERS, np.int64)
-        for batch in batches:
+        for batch in in_blocks(batches, "t"):
             n, halves = [], []
             for s in shingle_sets(batch["t"].tolist(), width):
                 n.append(len(s))
                 halves.append(np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64))
                 np.add.at(total, s & (COUNTERS - 1), 1)
             d = np.array(halves).reshape(-1, 2)
-            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "n": n, "d1": d[:, 0], "d2": d[:, 1], "c": pd.array([None] * len(n), "Int32")})
+            yield pd.DataFrame({"id": batch["id"].astype("Int64").array, "n": n, "d1": d[:, 0], "d2": d[:, 1], "c": pd.array([None] * len(n), "Int32")})
         used = np.flatnonzero(total)
         none = pd.array([None] * len(used), "Int64")
         yield pd.DataFrame({"id": none, "n": total[used], "d1": none, "d2": none, "c": pd.array(used, "Int32")})
@@ -110,7 +110,7 @@ def _short(rows: DataFrame, width: int, percent: int, counts: np.ndarray) -> Dat
     def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from hashlib import blake2b
 
-        for batch in batches:
+        for batch in in_blocks(batches, "t"):
             n, halves, short = [], [], []
             for s in shingle_sets(batch["t"].tolist(), width):
                 order = np.lexsort((s, counts[s & (COUNTERS - 1)]))[:int(short_lists(len(s), percent))]
@@ -118,7 +118,7 @@ def _short(rows: DataFrame, width: int, percent: int, counts: np.ndarray) -> Dat
                 halves.append(np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64))
                 short.append(s[order])
             d = np.array(halves).reshape(-1, 2)
-            out = pd.DataFrame({"id": batch["id"], "n": n, "d1": d[:, 0], "d2": d[:, 1], "short": short})
+            out = pd.DataFrame({"id": batch["id"].array, "n": n, "d1": d[:, 0], "d2": d[:, 1], "short": short})
             yield out[out["n"] > 0]
 
     return rows.where("id is not null").mapInPandas(chosen, "id bigint, n bigint, d1 bigint, d2 bigint, short array<bigint>")
@@ -198,10 +198,10 @@ def joined(documents: DataFrame, width: int = 4, percent: int = 85, doc_id: str
     marked = _marked(wanted)
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in in_blocks(batches, "t"):
             bit = batch["bit"].to_numpy()
             some = batch[(marked[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1]
-            yield pd.DataFrame({"id": some["id"], "s": list(shingle_sets(some["t"].tolist(), width))})
+            yield pd.DataFrame({"id": some["id"].array, "s": list(shingle_sets(some["t"].tolist(), width))})
 
     asked = rows.where("id is not null").withColumn("bit", F.pmod(F.xxhash64("id"), F.lit(MARKS)))
     with _bucketed(asked.mapInPandas(whole, "id bigint, s array<bigint>").where(F.size("s") > 0), "id") as sets:

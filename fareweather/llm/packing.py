@@ -28,7 +28,7 @@ TASK_PIECES = 100_000
 #: The id that ends a document.
 END_ID = 0
 #: Distinct words whose ids a worker remembers at most.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 VOCABULARY = "word_bpe_49k.json"
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .common import held_out, text_or_empty
 
 #: Texts of a block of about so many characters are read together.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_500_000
 
 
 def blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -27,6 +27,14 @@ def blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def in_blocks(batches: Iterator[pd.DataFrame], text: str) -> Iterator[pd.DataFrame]:
+    """The rows of batches in smaller ones, each a block of texts, so that what a task makes of one
+    stays small."""
+    for batch in batches:
+        for a, b in blocks(batch[text].tolist()):
+            yield batch.iloc[a:b]
+
+
 class Words:
     """Words between white space of several texts: ``distinct`` ones, and for text i their
     numbers in order, ``codes[bounds[i]:bounds[i + 1]]``."""
