@@ -118,7 +118,7 @@ def _short(rows: DataFrame, width: int, percent: int, counts: np.ndarray) -> Dat
                 halves.append(np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64))
                 short.append(s[order])
             d = np.array(halves).reshape(-1, 2)
-            out = pd.DataFrame({"id": batch["id"].array, "n": n, "d1": d[:, 0], "d2": d[:, 1], "short": short})
+            out = pd.DataFrame({"id": batch["id"].array, "n": n, "d1": d[:, 0], "d2": d[:, 1], "short": pd.Series(short, dtype=object)})
             yield out[out["n"] > 0]
 
     return rows.where("id is not null").mapInPandas(chosen, "id bigint, n bigint, d1 bigint, d2 bigint, short array<bigint>")
@@ -201,7 +201,7 @@ def joined(documents: DataFrame, width: int = 4, percent: int = 85, doc_id: str
         for batch in in_blocks(batches, "t"):
             bit = batch["bit"].to_numpy()
             some = batch[(marked[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1]
-            yield pd.DataFrame({"id": some["id"].array, "s": list(shingle_sets(some["t"].tolist(), width))})
+            yield pd.DataFrame({"id": some["id"].array, "s": pd.Series(list(shingle_sets(some["t"].tolist(), width)), dtype=object)})
 
     asked = rows.where("id is not null").withColumn("bit", F.pmod(F.xxhash64("id"), F.lit(MARKS)))
     with _bucketed(asked.mapInPandas(whole, "id bigint, s array<bigint>").where(F.size("s") > 0), "id") as sets:

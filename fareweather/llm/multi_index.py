@@ -90,6 +90,8 @@ def distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def _best(queries: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
     """The nearest entries in a part for each query in it, from the cells that the query walks."""
+    if not len(queries) or not len(entries):
+        return pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
     ids, x, cell = entries["id"].to_numpy(), matrix(entries["v"]), entries["cell"].to_numpy()
     own, q = queries["id"].to_numpy(), matrix(queries["v"])
     walked = [frozenset(c) for c in queries["cells"]]

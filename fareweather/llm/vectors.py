@@ -21,4 +21,5 @@ def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def matrix(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.float64).reshape(len(column), -1)
+    """Vectors of one length as rows; no vector gives no row and one column."""
+    return np.array(column.tolist(), dtype=np.float64).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
