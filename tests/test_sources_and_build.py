@@ -17,40 +17,36 @@ RAW_TRIP = (
 
 
 def synthetic_trips():
-    start = datetime(2024, 1, 15, 8)
-    values = {
-        "pc": [1, 2, 3, 1, 2], "miles": [1.5, 3.2, 0.8, 5.1, 2.0], "pu": [161, 237, 236, 132, 48],
-        "do": [237, 161, 48, 236, 132], "fare": [8.0, 15.5, 5.0, 22.0, 10.0], "tip": [2.0, 3.0, 1.0, 4.0, 2.0],
-        "total": [11.3, 19.8, 6.8, 27.3, 13.3], "pay": [1, 1, 2, 1, 1],
-    }
+    """Eighteen trips of our own, every 40 minutes, each total the sum of its parts."""
+    start = datetime(2024, 1, 15, 9)
+    zones = (4, 79, 107, 140, 138)
     rows = []
-    for i in range(20):
-        v = {k: x[i % 5] for k, x in values.items()}
-        at = start + timedelta(minutes=30 * i)
+    for i in range(18):
+        at, fare, tip = start + timedelta(minutes=40 * i), 6.0 + i, 0.25 * (i % 4)
         rows.append((
-            i % 2 + 1, at, at + timedelta(minutes=15), v["pc"], v["miles"], v["pu"], v["do"], v["fare"], 0.5, 0.5,
-            v["tip"], 0.0, 0.3, v["total"], 2.5, 0.0, v["pay"],
+            i % 2 + 1, at, at + timedelta(minutes=12), i % 4 + 1, 0.75 + 0.5 * i, zones[i % 5], zones[(i + 2) % 5], fare, 0.5, 0.5,
+            tip, 0.0, 0.3, fare + tip + 1.3, 2.5, 0.0, i % 2 + 1,
         ))
     return rows
 
 
 ZONES = """LocationID,Borough,Zone,service_zone
-161,Manhattan,Midtown Center,Yellow Zone
-237,Manhattan,Upper East Side South,Yellow Zone
-236,Manhattan,Upper East Side North,Yellow Zone
-132,Queens,JFK Airport,Airports
-48,Manhattan,Clinton East,Yellow Zone
+4,Manhattan,East Park,Yellow Zone
+79,Manhattan,East Hill,Yellow Zone
+107,Manhattan,Grove,Yellow Zone
+140,Manhattan,East Bank,Yellow Zone
+138,Queens,North Field,Airports
 264,Unknown,Unknown,N/A
-265,Unknown,N/A,N/A
 """
 
 
 def synthetic_weather():
+    """Thirty hours, the last three wet."""
     first = datetime(2024, 1, 15)
     return [
-        ((first + timedelta(hours=i)).strftime("%Y-%m-%dT%H:%M"), 2.0 + i % 10 * 0.5, i % 10 * 0.4,
-         0.0 if i < 24 else 1.5, 0.0 if i < 24 else 1.2, 0.0, 10.0 + i * 0.2, 0 if i < 24 else 61, "fixture", 40.7128, -74.006)
-        for i in range(48)
+        ((first + timedelta(hours=i)).strftime("%Y-%m-%dT%H:%M"), 4.0 - 0.1 * i, 1.0, 0.0 if i < 27 else 2.25,
+         0.0 if i < 27 else 2.0, 0.0, 7.5, 3 if i < 27 else 63, "own", 40.7, -74.0)
+        for i in range(30)
     ]
 
 
@@ -83,20 +79,20 @@ def test_build_on_synthetic_data(spark, landed):
     tables = run_build(spark, landed)
     assert set(tables) == {name for names in build.TABLES.values() for name in names}
     assert {n: df.count() for n, df in tables.items()} == {
-        "trips": 20, "weather": 48, "taxi_zones": 7, "stg_trips": 20, "stg_weather": 48, "fct_trips": 20,
-        "agg_zone_hour_demand": 20,
+        "trips": 18, "weather": 30, "taxi_zones": 6, "stg_trips": 18, "stg_weather": 30, "fct_trips": 18,
+        "agg_zone_hour_demand": 18,
     }
     assert {r.violations for r in build.layer_checks(tables).collect()} == {0}
     facts = tables["fct_trips"]
     first = facts.orderBy("pickup_utc").first()
-    assert first.pickup_utc == datetime(2024, 1, 15, 13) and first.pickup_zone == "Midtown Center"
-    assert (first.pickup_hour_of_day, first.pickup_day_of_week, first.duration_seconds) == (8, 1, 900)
+    assert first.pickup_utc == datetime(2024, 1, 15, 14) and first.pickup_zone == "East Park"
+    assert (first.pickup_hour_of_day, first.pickup_day_of_week, first.duration_seconds) == (9, 1, 720)
     assert facts.where("precipitation_band is null").count() == 0
-    # Eight in the morning to half past five in New York is 13:00 to 22:30 UTC: all dry.
-    assert [tuple(r)[:2] for r in insights.demand_by_band(facts).collect()] == [("dry", 20)]
+    # Nine in the morning to 20:20 in New York is 14:00 to 01:20 UTC: all dry.
+    assert [tuple(r)[:2] for r in insights.demand_by_band(facts).collect()] == [("dry", 18)]
     build.register_views(tables)
-    assert spark.sql("SELECT count(*) FROM agg_zone_hour_demand WHERE NOT is_wet_hour").first()[0] == 20
-    assert run_build(spark, landed)["fct_trips"].count() == 20, "a second run replaces, it does not add"
+    assert spark.sql("SELECT count(*) FROM agg_zone_hour_demand WHERE NOT is_wet_hour").first()[0] == 18
+    assert run_build(spark, landed)["fct_trips"].count() == 18, "a second run replaces, it does not add"
 
 
 def test_build_stops_on_a_repeated_hour(spark, landed):
@@ -115,7 +111,7 @@ def test_scan_widens_and_fills(spark, landed):
     df = files.scan_union_by_name(spark, [str(landed / "raw" / n) for n in "ab"], row="_ingested_row")
     assert df.schema["passenger_count"].dataType.simpleString() == "double"
     assert [c for c in df.columns if c.lower() == "airport_fee"] == ["Airport_fee"]
-    assert df.select("_ingested_from", "_ingested_row").distinct().count() == 20
+    assert df.select("_ingested_from", "_ingested_row").distinct().count() == 18
     a = spark.createDataFrame([(1, "x")], "k int, only_a string")
     b = spark.createDataFrame([(2**40, 1.5)], "K long, v float")
     both = files.union_by_name([a, b])
