@@ -55,8 +55,8 @@ class Settings:
     def zone_years(self) -> tuple[int, int]:
         """Years that the valid window, padded for any zone, can touch."""
         return (
-            (date.fromisoformat(self.min_valid_ts) - timedelta(days=1)).year,
-            (date.fromisoformat(self.max_valid_ts) + timedelta(days=1)).year,
+            (date.fromisoformat(self.min_valid_ts) - timedelta(days=2)).year,
+            (date.fromisoformat(self.max_valid_ts) + timedelta(days=2)).year,
         )
 
     def with_(self, **changes) -> "Settings":

@@ -82,9 +82,13 @@ def mean_amount(amount: Column | str, digits: int = 2) -> Column:
     """Aggregate: rounded mean of an amount.
 
     Added up as decimals, so that a mean on the edge of two roundings does not
-    depend on the order in which tasks finish.
+    depend on the order in which tasks finish. A group with an amount that is not
+    finite or has over twelve digits before the point gets the mean of its doubles.
     """
-    return F.round(F.avg(as_column(amount).cast("decimal(18,4)")), digits).cast("double")
+    value = as_column(amount).cast("double")
+    fits = F.abs(value) < F.lit(1e12)
+    exact = F.round(F.avg(F.when(fits, value).cast("decimal(24,8)")), digits).cast("double")
+    return F.when(F.bool_or(~fits), F.round(F.avg(value), digits)).otherwise(exact)
 
 
 def short_label(text: Column | str, length: int = 20) -> Column:

@@ -18,25 +18,25 @@ from ..sources.shared import estimated_bytes, written
 def sized_for_broadcast(dim: DataFrame, settings: Settings = DEFAULTS) -> tuple[DataFrame, bool]:
     """The dimension and whether it is known to be small.
 
-    A small estimate is enough. A large one says nothing (a grouped table is
-    estimated like its input), so the dimension is then written once, which
-    gives its real size and row count.
+    Estimates are of compressed files, so the rows are counted in any case, up to
+    the limit. A large estimate says nothing (a grouped table is estimated like its
+    input), so the dimension is then written once, which gives its real size.
     """
-    if estimated_bytes(dim) <= settings.broadcast_bytes:
-        return dim, True
-    stored = written(dim)
-    if estimated_bytes(stored) > settings.broadcast_bytes:
-        return stored, False
-    return stored, stored.limit(settings.broadcast_rows + 1).count() <= settings.broadcast_rows
+    if estimated_bytes(dim) > settings.broadcast_bytes:
+        dim = written(dim)
+        if estimated_bytes(dim) > settings.broadcast_bytes:
+            return dim, False
+    return dim, dim.limit(settings.broadcast_rows + 1).count() <= settings.broadcast_rows
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, on: list[str], how: str, salts: int) -> DataFrame:
     """Equi-join with each dimension row repeated per salt and each fact on one salt.
 
-    The salt is a hash of the fact's own values, so a task that runs again gives
-    the same rows. ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``.
+    The salt is a hash of the fact's own values (but maps, which have no hash), so a
+    task that runs again gives the same rows. ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``.
     """
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
+    hashed = [F.col(f"`{f.name}`") for f in facts.schema.fields if '"map"' not in f.dataType.json()]
+    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
     repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 

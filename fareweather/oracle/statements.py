@@ -122,7 +122,7 @@ SELECT event_id, ['dry', 'trace', 'light', 'moderate', 'heavy'][severity + 1] AS
 FROM b""")
 sql("weather_json_flatten", ("raw_weather",), f"""
 SELECT observed_at_raw, {r6(*WEATHER_NUMBERS)}, weather_code, 'landed-json' AS source, latitude, longitude
-FROM raw_weather WHERE observed_at_raw <> 'not a date'""")
+FROM raw_weather""")
 sql("weather_coalesce", (), """
 WITH o AS (SELECT event_type, CAST(user_id % 25 AS INTEGER) AS zone_id, date_trunc('hour', ts) AS hour_utc,
                   round(avg(value), 4) AS temperature_c, count(*) AS readings
@@ -265,7 +265,7 @@ SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month,
 FROM orders""")
 sql("hour_spine", (), """
 SELECT hour_utc, strftime(hour_utc, '%Y-%m-%dT%H:%M') AS observed_at_raw,
-       (SELECT count(*) FROM events WHERE event_type = 'error' AND date_trunc('hour', ts) = hour_utc) AS observations
+       (SELECT count(*) FROM events WHERE date_trunc('hour', ts) = hour_utc) AS observations
 FROM (SELECT unnest(generate_series(date_trunc('hour', min(ts)), date_trunc('hour', max(ts)), INTERVAL 1 HOUR)) AS hour_utc
       FROM events)""")
 _LINEITEM = (
@@ -314,9 +314,10 @@ sql("dead_letter_split", ("messages",), """
 SELECT message_id, vehicle_id, payload, CASE WHEN json_valid(payload) THEN k END AS k,
        CASE WHEN json_valid(payload) THEN 'accepted' ELSE 'dead_letter' END AS lane FROM messages""")
 sql("current_commands", ("messages",), """
-SELECT vehicle_id, version, zone_id, event_utc AS issued_utc, expires_utc FROM messages
-WHERE NOT is_nacked AND event_utc <= TIMESTAMP '2024-01-30 12:00:00' AND expires_utc > TIMESTAMP '2024-01-30 12:00:00'
-QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY version DESC) = 1""")
+SELECT vehicle_id, version, zone_id, issued_utc, expires_utc FROM (
+  SELECT *, event_utc AS issued_utc FROM messages WHERE event_utc <= TIMESTAMP '2024-01-30 12:00:00'
+  QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY version DESC, message_id DESC) = 1)
+WHERE NOT is_nacked AND expires_utc > TIMESTAMP '2024-01-30 12:00:00'""")
 sql("receipts_once", ("raw_trips",), """
 SELECT trip_id, 0 AS delivery, tpep_pickup_datetime AS ended_utc, trip_distance AS miles, total_amount
 FROM raw_trips WHERE trip_id >= 0""")

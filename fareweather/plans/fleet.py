@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULTS, Settings
 from ..functions.conditions import percent_of
@@ -135,15 +136,17 @@ def outages(df: DataFrame, as_of: Column, after_seconds: int = 6 * 3600) -> Data
 
 def with_parse_lane(df: DataFrame, payload: str = "payload", schema: str = "k INT") -> DataFrame:
     """Batch or stream. Parsed payload and ``lane``: accepted or dead_letter."""
+    struct = T.StructType.fromDDL(schema)
+    fields = struct.fieldNames()
     parsed = F.from_json(
-        F.col(payload), f"{schema}, _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+        F.col(payload), T.StructType([*struct.fields, T.StructField("_corrupt", T.StringType())]),
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
     bad = F.col("_parsed").isNull() | F.col("_parsed._corrupt").isNotNull()
-    fields = [f.split()[0] for f in schema.split(",")]
     return (
         df.withColumn("_parsed", parsed)
         .withColumn("lane", F.when(bad, F.lit("dead_letter")).otherwise(F.lit("accepted")))
-        .withColumns({f: F.when(~bad, F.col(f"_parsed.{f}")) for f in fields})
+        .withColumns({f: F.when(~bad, F.col(f"_parsed.`{f}`")) for f in fields})
         .drop("_parsed")
     )
 
@@ -152,15 +155,20 @@ def with_parse_lane(df: DataFrame, payload: str = "payload", schema: str = "k IN
 
 
 def current_commands(commands: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Batch or stream. Per vehicle the highest version that is not nacked, and, at ``as_of``, not expired."""
-    live = commands.where(~F.col("is_nacked"))
+    """Batch or stream. Per vehicle its highest version, unless that is nacked or, at ``as_of``, expired.
+
+    A superseded command never comes back. Of rows with one version the one with the
+    greatest ``message_id``, where there is one, and then the greatest values counts.
+    """
+    if as_of is not None:
+        commands = commands.where(F.col("event_utc") <= as_of)
+    order = [c for c in ("version", "message_id", "event_utc", "expires_utc", "zone_id", "is_nacked") if c in commands.columns]
+    last = commands.groupBy("vehicle_id").agg(F.max(F.struct(*order)).alias("_last"))
+    live = last.where(~F.col("_last.is_nacked"))
     if as_of is not None:
-        live = live.where((F.col("event_utc") <= as_of) & (F.col("expires_utc") > as_of))
-    return live.groupBy("vehicle_id").agg(
-        F.max("version").alias("version"),
-        F.max_by("zone_id", "version").alias("zone_id"),
-        F.max_by("event_utc", "version").alias("issued_utc"),
-        F.max_by("expires_utc", "version").alias("expires_utc"),
+        live = live.where(F.col("_last.expires_utc") > as_of)
+    return live.select(
+        "vehicle_id", "_last.version", "_last.zone_id", F.col("_last.event_utc").alias("issued_utc"), "_last.expires_utc"
     )
 
 

@@ -98,13 +98,13 @@ def valid_trips(conformed: DataFrame, settings: Settings = DEFAULTS) -> DataFram
 
     The filter keeps rank 1 only, so Spark cuts each duplicate group to one row
     before the shuffle and a hot group needs no other care. The valid window,
-    padded by a day against any zone's offset, is stated on a raw wall clock as
+    padded by two days as zones lie up to 26 hours apart, is stated on a raw wall clock as
     well, where the file scan can use it.
     """
     if isinstance(conformed.schema["pickup_local_raw"].dataType, T.TimestampNTZType):
         conformed = conformed.where(
-            f"pickup_local_raw >= timestamp_ntz'{settings.min_valid_ts} 00:00:00' - INTERVAL 1 DAY "
-            f"AND pickup_local_raw < timestamp_ntz'{settings.max_valid_ts} 00:00:00' + INTERVAL 1 DAY"
+            f"pickup_local_raw >= timestamp_ntz'{settings.min_valid_ts} 00:00:00' - INTERVAL 2 DAY "
+            f"AND pickup_local_raw < timestamp_ntz'{settings.max_valid_ts} 00:00:00' + INTERVAL 2 DAY"
         )
     timed = add_utc(conformed, settings)
     ranked = plain_rank(timed, DUPLICATE_KEY, "trip_distance_miles", _ties(timed), "_dupe_rank")

@@ -155,10 +155,11 @@ def scalar_bands(t: Tables) -> DataFrame:
 def weather_json_flatten(t: Tables) -> DataFrame:
     """Hours to one payload per day, as the service serves them, and back."""
     columns = [n for n, _ in files.HOURLY_VARIABLES]
-    hourly = t.raw_weather.where(F.col("observed_at_raw") != "not a date")
     hour = F.struct(F.col("observed_at_raw").alias("time"), *columns)
-    # At most 24 hours a day: the hours are grouped already.
-    days = hourly.groupBy(F.substring("observed_at_raw", 1, 10).alias("_day"), "latitude", "longitude").agg(
+    # At most 24 hours a day: the hours are grouped already. An hour whose text is no date is a payload with its like.
+    dated = F.to_date(F.try_to_timestamp(F.substring("observed_at_raw", 1, 10), F.lit("yyyy-MM-dd"))).isNotNull()
+    alike = F.when(~dated, F.xxhash64("observed_at_raw", *columns))
+    days = t.raw_weather.groupBy(F.substring("observed_at_raw", 1, 10).alias("_day"), alike.alias("_alike"), "latitude", "longitude").agg(
         F.array_sort(F.collect_list(hour)).alias("_h")
     )
     hourly_arrays = F.struct(*[F.col(f"_h.{c}").alias(c) for c in ("time", *columns)]).alias("hourly")
@@ -398,11 +399,9 @@ def padded_month_window(t: Tables) -> DataFrame:
 
 @job
 def hour_spine(t: Tables) -> DataFrame:
-    """Events per hour, with the hours that have none."""
+    """Events of all types per hour, with the hours that have none."""
     bounds = t.events.agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
-    counted = t.events.where(F.col("event_type") == bindings.WEATHER_EVENT).groupBy(
-        timecols.hour_floor("ts").alias("hour")
-    ).agg(F.count(F.lit(1)).alias("observations"))
+    counted = t.events.groupBy(timecols.hour_floor("ts").alias("hour")).agg(F.count(F.lit(1)).alias("observations"))
     return months.fill_hours(months.hour_spine(bounds, "low", "high"), counted, "hour", "observations")
 
 

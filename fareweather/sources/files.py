@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,6 +72,35 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, aligned)
 
 
+def _merged_scan(spark: SparkSession, paths: Sequence[str], **options: str) -> DataFrame | None:
+    """One scan whose schema Spark merges from all footers, in parallel; None where types drifted
+    or some paths are partitioned in another way than others."""
+    try:
+        return spark.read.options(mergeSchema=True, **options).parquet(*paths)
+    except Py4JJavaError as error:  # Spark raises this one unconverted
+        condition = getattr(error.java_exception, "getCondition", None)
+        if condition is None or condition() != "CANNOT_MERGE_SCHEMAS":
+            raise
+    except PySparkException as error:
+        if error.getCondition() != "CONFLICTING_DIRECTORY_STRUCTURES" or len(paths) < 2:
+            raise
+    return None
+
+
+def _split_scans(spark: SparkSession, paths: Sequence[str], **options: str) -> list[DataFrame]:
+    """As few halvings of the paths as give scans whose schemas merge; each keeps every column of its files."""
+    scan = _merged_scan(spark, paths, **options)
+    if scan is not None:
+        return [scan]
+    if len(paths) > 1:
+        half = len(paths) // 2
+        return _split_scans(spark, paths[:half], **options) + _split_scans(spark, paths[half:], **options)
+    # One folder whose own files drifted: its files, with the folder's partition columns kept.
+    listed = spark.read.format("binaryFile").options(pathGlobFilter="*.parquet").load(paths[0]).select("path")
+    files = sorted(r["path"] for r in listed.toLocalIterator())
+    return _split_scans(spark, files, basePath=paths[0])
+
+
 def scan_union_by_name(
     spark: SparkSession, paths: Iterable[str], lineage: str = "_ingested_from", row: str | None = None
 ) -> DataFrame:
@@ -77,23 +109,15 @@ def scan_union_by_name(
     ``row`` names a further column with the row's number in its file; path and
     number together identify a row for good. Where all types agree Spark merges the
     schemas itself, reading the footers in parallel, and one scan is enough. Where a
-    type drifted, as from whole numbers to fractions, the paths (one per landing,
-    not per file) are grouped by schema, one scan each, and widened.
+    type drifted, as from whole numbers to fractions, the paths, and within a drifted
+    folder its files, are halved until each part merges, and the parts are widened.
     """
     paths = list(paths)
     origin = [F.col("_metadata.file_path").alias(lineage)]
     if row:
         origin.append(F.col("_metadata.row_index").alias(row))
-    try:
-        return spark.read.option("mergeSchema", True).parquet(*paths).select("*", *origin)
-    except Exception as error:  # noqa: BLE001 - Spark raises this one unconverted
-        if "CANNOT_MERGE" not in str(error):
-            raise
-    by_schema: dict[str, list[str]] = {}
-    for path in paths:
-        by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-    frames = [spark.read.parquet(*group).select("*", *origin) for group in by_schema.values()]
-    return union_by_name(frames)
+    frames = [scan.select("*", *origin) for scan in _split_scans(spark, paths)]
+    return frames[0] if len(frames) == 1 else union_by_name(frames)
 
 
 def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -125,13 +149,35 @@ def with_lineage(df: DataFrame, origin: Column | str, name: str = "_ingested_fro
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh. Files show when the job commits, so a failed job leaves no half table.
+    """Full refresh: written beside the table, swapped in after success.
 
-    Without partitions the table before is removed first; run the job again, as each
-    layer derives from the one before.
+    A write that fails leaves the table before as it was. Between the two renames of the
+    swap the table is under ``<path>.old-...``; nothing is removed before the new one is in place.
     """
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    path = path.rstrip("/")
+    mark = uuid.uuid4().hex
+    fresh, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
+    fs, at = _file_system(df.sparkSession, path)
+    try:
+        (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(fresh)
+    except Exception:
+        fs.delete(at(fresh), True)
+        raise
+    had = fs.exists(at(path))
+    if had and not fs.rename(at(path), at(old)):
+        raise OSError(f"{path} could not be set aside; the new table is in {fresh}")
+    if not fs.rename(at(fresh), at(path)):
+        if had:
+            fs.rename(at(old), at(path))
+        raise OSError(f"{fresh} could not be moved to {path}")
+    if had:
+        fs.delete(at(old), True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system that holds a path, as Spark sees it, and how it names paths."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
 
 
 def append_by_region_and_day(df: DataFrame, path: str, region: str, ts: str) -> None:
@@ -140,12 +186,20 @@ def append_by_region_and_day(df: DataFrame, path: str, region: str, ts: str) ->
     parted = df.withColumns(
         {"region": F.col(region), "year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)}
     )
-    parted.write.mode("append").partitionBy("region", "year", "month", "day").parquet(path)
+    keys = ("region", "year", "month", "day")
+    # Even files per day; a hot day is split over several tasks.
+    parted.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).parquet(path)
 
 
 def land_month(df: DataFrame, path: str, month: str, force: bool = False) -> None:
-    """One month into its folder: an existing month is kept unless forced."""
-    df.write.mode("overwrite" if force else "ignore").parquet(f"{path.rstrip('/')}/month={month}")
+    """One month into its folder: a month that landed whole is kept unless forced.
+
+    A folder without ``_SUCCESS`` is what a crash left, and is landed again.
+    """
+    folder = f"{path.rstrip('/')}/month={month}"
+    fs, at = _file_system(df.sparkSession, folder)
+    if force or not fs.exists(at(f"{folder}/_SUCCESS")):
+        df.write.mode("overwrite").parquet(folder)
 
 
 def named_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[str, DataFrame]:

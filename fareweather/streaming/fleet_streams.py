@@ -53,12 +53,14 @@ def downsample(messages: DataFrame, seconds: int = 60, watermark: str = WATERMAR
     )
 
 
-def receipts_once(deliveries: DataFrame, time: str, watermark: str = WATERMARK) -> DataFrame:
-    """First delivery of each trip; a repeat within the watermark is dropped.
+def receipts_once(deliveries: DataFrame) -> DataFrame:
+    """First delivery of each trip, however late it comes and however often it repeats.
 
-    State holds a trip for the watermark only, so it stays bounded.
+    No watermark, as one would drop a first delivery behind it. State is a trip's id for
+    good and so grows with the trips: run it with the RocksDB state store, which keeps it
+    on disk and in checkpoints.
     """
-    return with_event_time(deliveries, time, watermark).dropDuplicatesWithinWatermark(["trip_id"]).drop("event_ts")
+    return deliveries.dropDuplicates(["trip_id"])
 
 
 def current_commands(commands: DataFrame) -> DataFrame:

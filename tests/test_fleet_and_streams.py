@@ -79,7 +79,7 @@ def test_stream_times_ignore_the_session(spark, zone, tmp_path, as_stream, sessi
 
 def test_receipts_exactly_once(spark, small, tmp_path, as_stream):
     deliveries = bindings.receipt_deliveries(Tables(spark, small).raw_trips)
-    out = collect_stream(spark, streams.receipts_once(as_stream(deliveries, parts=1), "ended_utc"), tmp_path, "append", "receipts")
+    out = collect_stream(spark, streams.receipts_once(as_stream(deliveries, parts=1)), tmp_path, "append", "receipts")
     ids = [r.trip_id for r in out.collect()]
     once = fleet.receipts_once(deliveries)
     assert len(ids) == len(set(ids)) == once.count() < deliveries.count()
@@ -93,13 +93,13 @@ def test_current_commands(spark, tmp_path, as_stream):
         v, ver, zone, t0 - timedelta(minutes=ago), t0 - timedelta(minutes=ago) + timedelta(minutes=ttl), nack)
     df = spark.createDataFrame(
         [make(1, 1, 5), make(1, 3, 7, nack=True), make(1, 2, 6), make(1, 2, 6), make(2, 9, 1, ago=11), make(2, 8, 2),
-         make(3, 1, 1, ago=10), make(4, 1, 1, ago=-1)],
+         make(3, 1, 1, ago=10), make(4, 1, 1, ago=-1), make(5, 1, 3), make(5, 2, 4)],
         "vehicle_id int, version int, zone_id int, event_utc timestamp_ntz, expires_utc timestamp_ntz, is_nacked boolean",
     )
     as_of = ntz("2024-01-01 12:00:00")
-    assert {r.vehicle_id: r.version for r in fleet.current_commands(df, as_of).collect()} == {1: 2, 2: 8}
+    assert {r.vehicle_id: r.version for r in fleet.current_commands(df, as_of).collect()} == {5: 2}, "a nacked or expired version brings none back"
     out = collect_stream(spark, streams.current_commands(as_stream(df)), tmp_path, "complete", "commands")
-    assert {r.vehicle_id: r.version for r in out.collect()} == {1: 2, 2: 9, 3: 1, 4: 1}
+    assert {r.vehicle_id: r.version for r in out.collect()} == {2: 9, 3: 1, 4: 1, 5: 2}
 
 
 def test_lanes_keep_every_row(spark, small, tmp_path, as_stream):
@@ -173,3 +173,12 @@ def test_utilisation_and_lengths(spark):
     miles = spark.createDataFrame([(0.4,), (0.6,), (1.0,), (2.5,)], "trip_distance_miles double")
     bins = {r.from_miles: (r.trips, r.share_pct) for r in fleet.trip_length_distribution(miles).collect()}
     assert bins == {0.0: (2, 50.0), 1.0: (1, 25.0), 2.0: (1, 25.0)}
+
+
+def test_a_late_first_delivery_is_kept(spark, tmp_path, as_stream):
+    at = datetime(2024, 1, 1, 12)
+    rows = [(1, at), (2, at.replace(hour=15)), (2, at.replace(hour=15)), (3, at.replace(hour=9)), (1, at)]
+    df = spark.createDataFrame(rows, "trip_id int, ended_utc timestamp_ntz")
+    query = streams.write_memory(streams.receipts_once(as_stream(df, parts=5)), "late_receipts", "append", str(tmp_path / "c"))
+    query.awaitTermination()
+    assert sorted(r.trip_id for r in spark.table("late_receipts").collect()) == [1, 2, 3]
