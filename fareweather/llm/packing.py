@@ -1,8 +1,8 @@
 """Best-fit packing: documents as token ids, cut into pieces and packed into sequences.
 
 Tokenising and packing are separate: only ids' lengths and checksums reach the packer.
-A packing task holds a fixed number of open bins, found by a bitset keyed by free
-space, and closes the fullest when it needs a new one.
+A packing task holds a bounded number of open bins, found by a bitset keyed by free
+space: more than it has pieces, unless one row repeats that often.
 """
 
 from __future__ import annotations
@@ -21,10 +21,11 @@ from .common import cut, once, table, text_or_empty
 from .words import Words, blocks
 
 CAPACITY = 2048
-#: Open bins of a packing task.
-OPEN_BINS = 4096
-#: Pieces of a packing task, about.
+#: Pieces of a packing task, about; up to half as many again where there are few tasks.
 TASK_PIECES = 100_000
+#: Open bins of a packing task: as many as it may have pieces, so that none closes before the
+#: short pieces have come.
+OPEN_BINS = 2 * TASK_PIECES
 #: The id that ends a document.
 END_ID = 0
 #: Distinct words whose ids a worker remembers at most.
@@ -174,8 +175,10 @@ def pack(cut_up: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
 
     Whole pieces of the capacity are sequences of their own. The rest is dealt over tasks
     by a hash of the row, and each task places its pieces from the longest to the
-    shortest, so that what closes is full. A task's memory is its open bins. Only the
-    last bins of each task stay partly filled.
+    shortest. A task's memory is its open bins. With ``open_bins`` for all of a task's
+    pieces no bin closes with places free, and little more than the last bins of each
+    task stays partly filled. Equal rows are in one task: only where they make it longer
+    than ``open_bins`` does the fullest close early, its free places lost.
     """
     tasks = max(1, round(cut_up.count() / task_pieces))
 

@@ -323,6 +323,17 @@ def test_open_bins():
         assert [f for f, b in enumerate(bins.bins) for _ in b] == sorted(before + [left] * bool(left))
 
 
+def test_full_task_is_packed_tight(spark):
+    r = random.Random(3)
+    lengths = [r.randrange(1030, 1600) if i % 3 == 0 else r.randrange(1, 700) for i in range(20_000)]
+    rows = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(lengths)], packing.PIECES)
+    out = packing.pack(rows).toPandas()
+    assert sorted(out["length"]) == sorted(lengths)
+    used = out.groupby("sequence_id")["length"].sum()
+    assert used.max() <= packing.CAPACITY
+    assert len(used) <= 1.002 * max(-(-sum(lengths) // packing.CAPACITY), sum(n > packing.CAPACITY // 2 for n in lengths))
+
+
 def test_machine_identity():
     r = np.random.default_rng(1)
     machine = quality_fm.Machine(0.1, r.normal(size=quality_fm.WIDTH), r.normal(size=(quality_fm.WIDTH, 4)) * 0.1)
