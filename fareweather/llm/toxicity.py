@@ -8,7 +8,6 @@ which also judges texts on which no voter votes.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -38,6 +37,10 @@ SURE = 0.5
 STRAY = 0.03
 #: Standard deviations from chance of a feature of the classifier.
 BEYOND = 5.0
+#: Share of the union of their terms that copies and near copies have in common.
+COPY = 0.8
+#: Seeded minima of a row's terms; rows that agree in under half of them aren't compared.
+MINIMA = 32
 EPOCHS = 20
 RATE = 0.5
 PENALTY = 1e-3
@@ -149,15 +152,21 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(np.array(out), -30, 30)))
 
 
+def _numbered(rows: pd.DataFrame) -> tuple[list[np.ndarray], list[str]]:
+    """The terms of each row by number, and the terms."""
+    known: dict[str, int] = {}
+    per = [np.array([known.setdefault(t, len(known)) for t in x.split("\n")], dtype=np.int32) for x in rows["terms"]]
+    return per, list(known)
+
+
 def _gathered(rows: pd.DataFrame) -> tuple[list[np.ndarray], list[str], np.ndarray]:
     """The terms of the sample by number, those of enough rows only, and the patterns' votes."""
-    names, place = pd.factorize(np.concatenate([np.array(x.split("\n"), dtype=object) for x in rows["terms"]]))[::-1]
-    bounds = np.concatenate(([0], np.cumsum([x.count("\n") + 1 for x in rows["terms"]])))
-    enough = np.bincount(place, minlength=len(names)) >= LEAST_ROWS
+    per, names = _numbered(rows)
+    enough = np.bincount(np.concatenate(per), minlength=len(names)) >= LEAST_ROWS
     enough &= np.array([bool(x) for x in names])
     new = np.cumsum(enough) - 1
-    per = [new[place[a:b]][enough[place[a:b]]] for a, b in zip(bounds[:-1], bounds[1:])]
-    return per, list(np.asarray(names)[enough]), np.array([list(map(int, v.split(","))) for v in rows["votes"]])
+    per = [new[found[enough[found]]] for found in per]
+    return per, [t for t, k in zip(names, enough) if k], np.array([list(map(int, v.split(","))) for v in rows["votes"]])
 
 
 def _lexicon(per: list[np.ndarray], names: list[str], y: np.ndarray) -> np.ndarray:
@@ -182,12 +191,29 @@ def _lexicon(per: list[np.ndarray], names: list[str], y: np.ndarray) -> np.ndarr
 
 
 def _families(rows: pd.DataFrame) -> pd.DataFrame:
-    """One row of each group of copies and near copies, told by the least hashes of its terms, so
-    that the words of a much copied text don't look like marks of its label."""
-    def least(terms: str) -> str:
-        return ",".join(map(str, sorted(zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in terms.split("\n"))[:3]))
-
-    return rows.loc[~rows["terms"].map(least).duplicated()].reset_index(drop=True)
+    """One row of each group of copies and near copies of one label, so that the words of a much copied
+    text don't look like marks of its label. Seeded minima of the terms find rows that may share
+    COPY of them with one kept before; the terms themselves decide."""
+    if not len(rows):
+        return rows
+    per, names = _numbered(rows)
+    flat, starts = np.concatenate(per), np.concatenate(([0], np.cumsum([len(x) for x in per])))[:-1]
+    random = np.random.default_rng(SEED)
+    minima = np.stack([np.minimum.reduceat(random.integers(0, 1 << 32, len(names), dtype=np.uint32)[flat], starts) for _ in range(MINIMA)], axis=1)
+    labels, kept, of_row = rows["y"].to_numpy(), np.zeros(len(rows), dtype=bool), np.zeros(len(names), dtype=bool)
+    for label in np.unique(labels):
+        of_label = np.flatnonzero(labels == label)
+        first, n = np.empty(len(of_label), np.int64), 0
+        seen = np.empty((len(of_label), MINIMA), np.uint32)
+        for i in of_label:
+            maybe = first[:n][(seen[:n] == minima[i]).sum(axis=1) * 2 >= MINIMA]
+            of_row[per[i]] = True
+            shared = [(np.count_nonzero(of_row[per[k]]), len(per[i]) + len(per[k])) for k in maybe]
+            of_row[per[i]] = False
+            if not any(both >= COPY * (total - both) for both, total in shared):
+                first[n], seen[n], n = i, minima[i], n + 1
+        kept[first[:n]] = True
+    return rows.loc[kept].reset_index(drop=True)
 
 
 def fit(rows: pd.DataFrame) -> Classifier:

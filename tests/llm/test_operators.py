@@ -334,6 +334,20 @@ def test_full_task_is_packed_tight(spark):
     assert len(used) <= 1.002 * max(-(-sum(lengths) // packing.CAPACITY), sum(n > packing.CAPACITY // 2 for n in lengths))
 
 
+def test_families_are_copies():
+    import pandas as pd
+
+    # Terms that many texts share, with the least crc32 values of all: none of these rows copies another.
+    everywhere = sorted((f"=w{i}" for i in range(20_000)), key=lambda t: zlib.crc32(t.encode()))[:3]
+    own = [[f"=own{i}x{k}" for k in range(40)] for i in range(8)]
+    rows = pd.DataFrame([(i, i % 2, "\n".join(sorted(everywhere + x)), "0") for i, x in enumerate(own)], columns=["d", "y", "terms", "votes"])
+    near = "\n".join(sorted(everywhere + own[0][:-1] + ["=edit"]))
+    more = pd.DataFrame([(8, 0, near, "0"), (9, 0, rows["terms"][0], "0"), (10, 1, rows["terms"][0], "0"), (11, 0, "", "0"), (12, 0, "", "0")], columns=rows.columns)
+    left = toxicity._families(pd.concat([rows, more], ignore_index=True))
+    assert list(left["d"]) == [*range(8), 10, 11]
+    assert len(toxicity._families(rows.iloc[:0])) == 0
+
+
 def test_machine_identity():
     r = np.random.default_rng(1)
     machine = quality_fm.Machine(0.1, r.normal(size=quality_fm.WIDTH), r.normal(size=(quality_fm.WIDTH, 4)) * 0.1)
