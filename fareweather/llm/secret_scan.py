@@ -2,8 +2,8 @@
 
 Two first-order character models are trained from labelled samples, one of random
 strings and one of ordinary identifiers. A candidate string is a secret if the log
-of the ratio of its likelihoods reaches a threshold. Everything is built-in
-functions: the trained table of log ratios is a scalar subquery of one row.
+of the ratio of the likelihoods of any long enough stretch in it reaches a threshold.
+Everything is built-in functions: the trained table of log ratios is a scalar subquery of one row.
 """
 
 from __future__ import annotations
@@ -22,8 +22,10 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 #: The symbols a candidate is made of; any other character is class 0.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-="
 CLASSES = len(ALPHABET) + 1
-#: Shortest candidate of the model.
-CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+#: Symbols of the shortest candidate of the model, and of the shortest stretch of one. A few symbols
+#: tell too little: four ordinary letters that the samples happen to lack can reach THRESHOLD.
+SHORTEST = 20
+CANDIDATE = rf"[A-Za-z0-9+/_-]{{{SHORTEST},}}={{0,2}}"
 #: Natural log of the least likelihood ratio of a secret. Random strings of 20 symbols
 #: reach more than twice this; each ordinary symbol pair takes about two from it.
 THRESHOLD = 12.0
@@ -145,27 +147,56 @@ def train(labelled: DataFrame) -> DataFrame:
     return cut(scored.agg(F.transform(F.array_sort(F.collect_list(F.struct("pair", "ratio"))), lambda x: x["ratio"]).alias("ratios")))
 
 
-def log_ratio(symbols: Column, ratios: Column) -> Column:
-    """Sum of the log ratios of a string's symbol pairs."""
+def best_stretch(symbols: Column, ratios: Column) -> Column:
+    """The largest sum of the log ratios of the symbol pairs of any stretch of SHORTEST symbols or more,
+    so that what is ordinary beside a random stretch takes nothing from it; null for a shorter string."""
     classes = _classes(symbols)
-    return F.aggregate(
-        F.zip_with(classes, F.slice(classes, 2, 1 << 30), lambda a, b: F.coalesce(F.get(ratios, a * CLASSES + b), F.lit(0.0))),
-        F.lit(0.0), lambda acc, x: acc + x,
+    each = F.zip_with(classes, F.slice(classes, 2, 1 << 30), lambda a, b: F.coalesce(F.get(ratios, a * CLASSES + b), F.lit(0.0)))
+    each = F.slice(each, 1, F.greatest(F.length(symbols) - 1, F.lit(0)))
+    # Of the sum up to a pair goes the least sum up to SHORTEST - 1 pairs before it, or further back.
+    none = F.lit(None).cast("double")
+    before = F.concat(F.array_repeat(none, SHORTEST - 2), F.array(F.lit(0.0)), each)
+    start = F.struct(F.lit(0.0).alias("upto"), F.lit(0.0).alias("before"), F.lit(0.0).alias("least"), none.alias("best"))
+
+    def step(acc: Column, x: Column) -> Column:
+        upto, past = acc["upto"] + x["one"], acc["before"] + F.coalesce(x["past"], F.lit(0.0))
+        least = F.least(acc["least"], past)
+        best = F.when(x["past"].isNotNull() & x["one"].isNotNull(), F.greatest(acc["best"], upto - least)).otherwise(acc["best"])
+        return F.struct(upto.alias("upto"), past.alias("before"), least.alias("least"), best.alias("best"))
+
+    return F.aggregate(F.zip_with(each, before, lambda a, b: F.struct(a.alias("one"), b.alias("past"))), start, step, lambda acc: acc["best"])
+
+
+def _outside(s: Column, base: Column) -> Column:
+    """The parts of a span that no base span covers. Base spans are in order of their starts."""
+    part = lambda a, b: F.struct(a.alias("start"), b.alias("end"), s["kind"].alias("kind"), F.substr(s["hit"], a - s["start"] + 1, b - a).alias("hit"))
+    touching = F.filter(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    last = F.array(F.struct(s["end"].alias("start"), s["end"].alias("end")))
+    parts = F.aggregate(
+        F.concat(F.transform(touching, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))), last),
+        F.struct(s["start"].alias("at"), F.array().cast("array<struct<start:int,end:int,kind:string,hit:string>>").alias("parts")),
+        lambda acc, b: F.struct(
+            F.greatest(acc["at"], b["end"]).alias("at"),
+            F.when(b["start"] > acc["at"], F.concat(acc["parts"], F.array(part(acc["at"], b["start"])))).otherwise(acc["parts"]).alias("parts"),
+        ),
     )
+    return F.when(F.size(touching) > 0, parts["parts"]).otherwise(F.array(s))
 
 
 def scanned(rows: DataFrame, model: DataFrame, text: str, to: str) -> DataFrame:
     """The rows with a column ``to`` of all spans, (start, kind, end) in order: the base ones,
-    and candidates whose log ratio reaches THRESHOLD and that touch no base span, as kind
-    "markov". A null text is an empty one and has no span.
+    and candidates with a stretch whose log ratio reaches THRESHOLD, as kind "markov". Such
+    a candidate is one span as a whole, as several random parts may lie in it; of one that
+    base spans touch, each part outside of them that is long enough is a candidate of its
+    own. A null text is an empty one and has no span.
     """
     base, found, ratios = fresh(rows.withColumn(to, F.lit(0)), "base", "found", "ratios")
     t = text_or_empty(F.col(text))
     # Columns of their own: what stands inside a lambda is computed for every element.
     steps = rows.withColumn(base, base_spans(t)).withColumn(found, _if_any(t, CANDIDATE, _pieces(t, CANDIDATE, "3markov", lambda s: F.lit(True))))
-    free = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    steps = steps.withColumn(found, F.filter(found, free)).withColumn(ratios, model.scalar())
-    random = F.when(F.size(found) > 0, F.filter(found, lambda s: log_ratio(s["hit"], F.col(ratios)) >= THRESHOLD)).otherwise(F.col(found))
+    parts = F.when((F.size(base) > 0) & (F.size(found) > 0), F.flatten(F.transform(found, lambda s: _outside(s, F.col(base))))).otherwise(F.col(found))
+    steps = steps.withColumn(found, parts).withColumn(ratios, model.scalar())
+    random = F.when(F.size(found) > 0, F.filter(found, lambda s: best_stretch(s["hit"], F.col(ratios)) >= THRESHOLD)).otherwise(F.col(found))
     all_spans = F.array_sort(F.concat(base, F.transform(random, lambda s: F.struct(s["start"], s["kind"], s["end"]))))
     return steps.withColumn(to, all_spans).drop(base, found, ratios)
 

@@ -83,6 +83,26 @@ def test_secrets(spark, small, awkward, none):
     assert secret_scan.report(none, model).count() == 0
 
 
+def test_secrets_in_long_runs(spark, small):
+    model = secret_scan.train(secret_scan.samples(spark.read.parquet(f"{small}/documents.parquet")))
+    r = random.Random(4)
+    path = "/services/hooks/incoming/messages/channel/general/"
+    hidden = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(20)) for _ in range(200)]
+    ordinary = [path, path * 5, path.replace("/", "_"), "_".join(WORDS)]
+    # A run that holds a base span: what lies before and after it is looked at by itself.
+    beside = f"{hidden[0]}_token=abcdefgh {hidden[1]}/" + "0a" * 16 + f"/{hidden[2]}"
+    texts = hidden + [path + h for h in hidden] + [h + path for h in hidden] + ordinary + [beside]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {x.doc_id: x.spans for x in secret_scan.report(rows, model).collect()}
+    alone = {i for i in range(200) if found[i]}
+    assert len(alone) >= 198
+    assert all(found[i + 200] == f"markov:0:{len(path) + 20}" and found[i + 400] for i in alone)
+    assert [found[600 + i] for i in range(len(ordinary))] == [""] * len(ordinary)
+    masked = secret_scan.masked(rows.where(f"doc_id = {len(texts) - 1}"), model).first().text
+    assert not any(h in masked for h in hidden[:3]) and found[len(texts) - 1].count("markov") == 3
+    assert not {x.split(":")[0] for x in found[len(texts) - 1].split(",")} - {"markov", "assign", "hex"}
+
+
 def test_snapshots(spark):
     r = random.Random(5)
     logs = {}
