@@ -210,6 +210,28 @@ def test_recall(spark, small):
     assert hits >= 0.9 * 10 * len(found)
 
 
+def test_recall_with_cells_left_out(spark, small):
+    frame = spark.read.parquet(f"{small.replace('sf0.001', 'sf0.1')}/embeddings.parquet")
+    rows = {r.vec_id: np.array(r.embedding, dtype=float) for r in frame.select("vec_id", "embedding").collect()}
+    ids = np.array(sorted(rows))
+    v = np.array([rows[i] for i in ids])
+
+    def recall(**limits):
+        found = defaultdict(set)
+        for x in multi_index.search(frame, lambda i: i % 100 == 0, **limits).collect():
+            found[x.query_id].add(x.vec_id)
+        hits = 0
+        for k in np.flatnonzero(ids % 100 == 0):
+            d = ((v - v[k]) ** 2).sum(axis=1)
+            d[k] = np.inf
+            hits += len(found[ids[k]] & set(ids[np.argsort(d)[:10]]))
+        return hits / (10 * (ids % 100 == 0).sum())
+
+    half, few = recall(least=0), recall(least=0, share=0.02)
+    print("recall", half, few)
+    assert half >= 0.9 and few < half  # a walk that stops early does miss some
+
+
 def test_mix(awkward, none):
     rows = mixing.plan(awkward).collect()
     assert len(rows) == awkward.count()
