@@ -294,6 +294,41 @@ def test_jaccard_join(spark, width, percent):
     assert out == {i: (n[i], label[i]) for i in range(len(texts))}
 
 
+def test_jaccard_equals_sql(spark, tmp_path):
+    r = random.Random(9)
+    texts = ["", None, "a b", "A  b", "a b c d e"]
+    for k in range(8):
+        base = prose(100 + k, r.choice([9, 40])).split()
+        for _ in range(4):
+            copy = list(base)
+            copy[r.randrange(len(copy))] = f"edit{r.randrange(3)}"
+            texts.append(" ".join(copy))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    expected = con.execute(llm.oracle_sql()["op7_occurrence_join"]).fetchall()
+    assert sorted(map(tuple, llm.queries()["op7_occurrence_join"](spark, str(tmp_path)).collect())) == sorted(expected)
+    assert len({c for _, _, c in expected}) < len(texts)
+
+
+def test_near_duplicates_stage(spark, small):
+    texts = ["", None, prose(1), prose(1), prose(1).upper() + " more", prose(2), prose(3) + " x", prose(3)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCUMENTS)
+    _, label = brute_groups(texts, 5, 80)
+    kept = corpus_pipeline.near_duplicates(spark, docs, small).collect()
+    assert sorted(map(str, kept)) == sorted(str(x) for x in docs.collect() if label[x.doc_id] == x.doc_id)
+    assert len(kept) < len(texts)
+
+
+def test_quality_stage(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    machine = quality_fm.train(docs, spark.read.parquet(f"{small}/labels.parquet"))
+    good = {r.doc_id for r in quality_fm.scored(docs, machine).where("predicted = 1").collect()}
+    kept = corpus_pipeline.quality(spark, docs, small).collect()
+    assert sorted(map(str, kept)) == sorted(str(x) for x in docs.collect() if x.doc_id in good)
+    assert 0 < len(kept) < docs.count()
+
+
 def test_jaccard_awkward(awkward, none):
     out = jaccard_join.joined(awkward)
     assert out.count() == awkward.count()
