@@ -5,11 +5,11 @@ Functions of this package are sent to Python workers by value, so executors need
 
 from pyspark import cloudpickle
 
-from . import chat, common, components, html_text, jaccard_join, merkle, mixing, multi_index, packing, quality_fm, repair, secret_scan, toxicity, vector_dedup, vectors, words
+from . import chat, common, components, html_text, jaccard_join, merkle, mixing, multi_index, packing, quality_fm, repair, repeats, secret_scan, toxicity, vector_dedup, vectors, words
 
 cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["common"]))
 
-_MODULES = (secret_scan, chat, html_text, multi_index, mixing, vector_dedup, jaccard_join, quality_fm, packing, toxicity, merkle, repair)
+_MODULES = (secret_scan, chat, html_text, multi_index, mixing, vector_dedup, jaccard_join, quality_fm, packing, toxicity, merkle, repeats, repair)
 
 
 def queries() -> dict:
