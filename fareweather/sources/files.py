@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -22,6 +23,8 @@ HOURLY_VARIABLES = (
     ("wind_speed_10m", "double"),
     ("weather_code", "int"),
 )
+#: Footers that the driver reads at a time, where files drifted.
+FOOTERS_AT_ONCE = 32
 ZONE_SCHEMA = "LocationID INT, Borough STRING, Zone STRING, service_zone STRING"
 PAYLOAD_SCHEMA = (
     "latitude DOUBLE, longitude DOUBLE, hourly STRUCT<time: ARRAY<STRING>, "
@@ -87,18 +90,47 @@ def _merged_scan(spark: SparkSession, paths: Sequence[str], **options: str) -> D
     return None
 
 
-def _split_scans(spark: SparkSession, paths: Sequence[str], **options: str) -> list[DataFrame]:
-    """As few halvings of the paths as give scans whose schemas merge; each keeps every column of its files."""
-    scan = _merged_scan(spark, paths, **options)
-    if scan is not None:
-        return [scan]
-    if len(paths) > 1:
-        half = len(paths) // 2
-        return _split_scans(spark, paths[:half], **options) + _split_scans(spark, paths[half:], **options)
-    # One folder whose own files drifted: its files, with the folder's partition columns kept.
-    listed = spark.read.format("binaryFile").options(pathGlobFilter="*.parquet").load(paths[0]).select("path")
-    files = sorted(r["path"] for r in listed.toLocalIterator())
-    return _split_scans(spark, files, basePath=paths[0])
+def _files(spark: SparkSession, path: str) -> list[tuple[str, str | None]]:
+    """The files that Spark reads for a path, whatever their names, and the folder that their partition columns count from."""
+    fs, at = _file_system(spark, path)
+    files: list[tuple[str, str | None]] = []
+    for found in fs.globStatus(at(path)) or ():
+        root = found.getPath().toString()
+        if found.isFile():
+            files.append((root, None))
+            continue
+        # Any format lists a folder alike; this one opens no file for it.
+        listed = spark.read.format("binaryFile").load(root).select("path")
+        for row in listed.toLocalIterator():
+            below = row["path"].removeprefix(root).strip("/").split("/")[:-1]
+            files.append((row["path"], root if any("=" in part for part in below) else None))
+    return files
+
+
+def _footer_schema(spark: SparkSession, path: str) -> str:
+    """The schema in a file's footer, as text."""
+    hadoop = spark._jvm.org.apache.parquet.hadoop
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    reader = hadoop.ParquetFileReader.open(hadoop.util.HadoopInputFile.fromPath(at, spark._jsparkSession.sessionState().newHadoopConf()))
+    try:
+        return reader.getFileMetaData().getSchema().toString()
+    finally:
+        reader.close()
+
+
+def _scan_per_schema(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """One scan for each schema that the files have, and each folder their partition columns count from.
+
+    Each footer is read once, several at a time. The number of scans is that of the
+    schemas, in whatever order the files come.
+    """
+    found = sorted({f for path in paths for f in _files(spark, path)}, key=lambda f: f[0])
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        schemas = pool.map(lambda f: _footer_schema(spark, f[0]), found)
+    groups: dict[tuple[str, str | None], list[str]] = {}
+    for (path, base), schema in zip(found, schemas):
+        groups.setdefault((schema, base), []).append(path)
+    return [spark.read.options(**({"basePath": base} if base else {})).parquet(*files) for (_, base), files in groups.items()]
 
 
 def scan_union_by_name(
@@ -109,14 +141,15 @@ def scan_union_by_name(
     ``row`` names a further column with the row's number in its file; path and
     number together identify a row for good. Where all types agree Spark merges the
     schemas itself, reading the footers in parallel, and one scan is enough. Where a
-    type drifted, as from whole numbers to fractions, the paths, and within a drifted
-    folder its files, are halved until each part merges, and the parts are widened.
+    type drifted, as from whole numbers to fractions, the files are grouped by the
+    schema in their footer, and the scans, one for each schema, are widened.
     """
     paths = list(paths)
     origin = [F.col("_metadata.file_path").alias(lineage)]
     if row:
         origin.append(F.col("_metadata.row_index").alias(row))
-    frames = [scan.select("*", *origin) for scan in _split_scans(spark, paths)]
+    scan = _merged_scan(spark, paths)
+    frames = [x.select("*", *origin) for x in ([scan] if scan is not None else _scan_per_schema(spark, paths))]
     return frames[0] if len(frames) == 1 else union_by_name(frames)
 
 

@@ -21,6 +21,35 @@ def test_a_drifted_folder_keeps_every_column_and_row(spark, tmp_path):
     assert got == {(1.0, None, None, 1, 0), (2.0, "k", None, 1, 1), (2.5, None, 7, 1, 2), (3.0, "m", None, None, None)}
 
 
+def test_drifted_files_of_any_name_are_read(spark, tmp_path):
+    """What Spark reads of a folder without drift it reads of one with drift: names without an ending, and not hidden ones."""
+    for i, kind in enumerate(("bigint", "double", "string")):
+        spark.range(3 * i, 3 * i + 3).select(F.col("id").cast(kind).alias("x")).coalesce(1).write.parquet(str(tmp_path / "w" / str(i)))
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i, name in enumerate(("plain", "a b%20.parq", "part-1.snappy.parquet")):
+        next((tmp_path / "w" / str(i)).glob("*.parquet")).rename(folder / name)
+    (folder / "_hidden").write_bytes(b"no table")
+    got = files.scan_union_by_name(spark, [str(folder)], row="n")
+    assert sorted(r.x for r in got.collect()) == sorted(["0", "1", "2", "3.0", "4.0", "5.0", "6", "7", "8"])
+    assert got.select("_ingested_from", "n").distinct().count() == 9
+    single = files.scan_union_by_name(spark, [str(folder / "plain"), str(tmp_path / "in" / "a*")])
+    assert sorted(r.x for r in single.collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_alternating_drift_takes_a_scan_per_schema(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    kinds = (pa.int64(), pa.float64(), pa.string())
+    for i in range(300):
+        pq.write_table(pa.table({"x": pa.array([i], pa.int64()).cast(kinds[i % 3]), "i": pa.array([i])}), tmp_path / f"f{i:04}")
+    got = files.scan_union_by_name(spark, [str(tmp_path)])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3
+    assert got.agg(F.count("x"), F.count_distinct("i")).first() == (300, 300)
+
+
 def test_a_failed_refresh_keeps_the_table_before(spark, tmp_path):
     path = str(tmp_path / "t")
     files.write_table(spark.range(3), path)
