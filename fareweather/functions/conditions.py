@@ -78,19 +78,60 @@ def percent_of(part: Column, total: Column, digits: int = 2) -> Column:
     return F.round(F.coalesce(F.try_divide(F.lit(100.0) * part, total), F.lit(0.0)), digits)
 
 
-def mean_amount(amount: Column | str, digits: int = 2) -> Column:
-    """Aggregate: rounded mean of an amount.
+def amount_parts(amount: Column | str, name: str) -> dict[str, Column]:
+    """What a row adds to sums and means of an amount: columns that may be merged by ``merged_parts`` any number of times.
 
-    Added up as decimals, so that a mean on the edge of two roundings does not
-    depend on the order in which tasks finish. A group with an amount that is not
-    finite or has over twelve digits before the point gets the mean of its doubles.
+    Amounts are added up as decimals, so that a result on the edge of two roundings does not
+    depend on the order in which tasks finish. Those that are not finite or have over twelve digits
+    before the point are odd: a group with one gets the result of its doubles.
     """
     value = as_column(amount).cast("double")
     fits = F.abs(value) < F.lit(1e12)
+    return {
+        f"{name}_exact": F.when(fits, value.cast("decimal(24,8)")),
+        f"{name}_plain": value,
+        f"{name}_known": value.isNotNull().cast("bigint"),
+        f"{name}_odd": F.coalesce(~fits, F.lit(False)),
+    }
+
+
+def merged_parts(name: str) -> list[Column]:
+    """Aggregates: the parts of a group from those of its members."""
+    return [
+        F.sum(f"{name}_exact").cast("decimal(30,8)").alias(f"{name}_exact"), F.sum(f"{name}_plain").alias(f"{name}_plain"),
+        F.sum(f"{name}_known").alias(f"{name}_known"), F.bool_or(f"{name}_odd").alias(f"{name}_odd"),
+    ]
+
+
+def sum_of_parts(name: str, digits: int = 2) -> Column:
+    """Aggregate: rounded sum of an amount."""
+    exact = F.round(F.sum(f"{name}_exact"), digits).cast("double")
+    return F.when(F.bool_or(f"{name}_odd"), F.round(F.sum(f"{name}_plain"), digits)).otherwise(exact)
+
+
+def mean_of_parts(name: str, digits: int = 2) -> Column:
+    """Aggregate: rounded mean of an amount."""
+    known = F.sum(f"{name}_known")
+    exact = F.round(F.try_divide(F.sum(f"{name}_exact").cast("decimal(30,8)"), known.cast("decimal(20,0)")), digits).cast("double")
+    return F.when(F.bool_or(f"{name}_odd"), F.round(F.try_divide(F.sum(f"{name}_plain"), known), digits)).otherwise(exact)
+
+
+def mean_amount(amount: Column | str, digits: int = 2) -> Column:
+    """Aggregate: rounded mean of an amount, the same in whatever order its rows come; see ``amount_parts``."""
+    value = as_column(amount).cast("double")
+    fits = F.abs(value) < F.lit(1e12)
     exact = F.round(F.avg(F.when(fits, value).cast("decimal(24,8)")), digits).cast("double")
     return F.when(F.bool_or(~fits), F.round(F.avg(value), digits)).otherwise(exact)
 
 
+def sum_amount(amount: Column | str, digits: int = 2) -> Column:
+    """Aggregate: rounded sum of an amount, the same in whatever order its rows come; see ``amount_parts``."""
+    value = as_column(amount).cast("double")
+    fits = F.abs(value) < F.lit(1e12)
+    exact = F.round(F.sum(F.when(fits, value).cast("decimal(24,8)")), digits).cast("double")
+    return F.when(F.bool_or(~fits), F.round(F.sum(value), digits)).otherwise(exact)
+
+
 def short_label(text: Column | str, length: int = 20) -> Column:
     return F.substring(as_column(text), 1, length)
 

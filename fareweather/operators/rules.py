@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Settings
+from ..functions.conditions import sum_amount
 from ..functions.timecols import window_bound
 
 UNDETERMINED = "dq_undetermined"
@@ -111,7 +112,7 @@ def revenue_by_reason(df: DataFrame, amount: str = "total_amount") -> DataFrame:
     """Rows and amount per failure reason; ``valid`` and the reasons add up to all rows."""
     reason = F.coalesce(failure_reason(), F.lit("valid"))
     return df.groupBy(reason.alias("failure_reason")).agg(
-        F.count(F.lit(1)).alias("rows"), F.round(F.sum(amount), 2).alias("revenue")
+        F.count(F.lit(1)).alias("rows"), sum_amount(amount).alias("revenue")
     )
 
 

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULTS, Settings
-from ..functions.conditions import percent_of
+from ..functions.conditions import amount_parts, merged_parts, percent_of, sum_of_parts
 from ..functions.timecols import add_seconds, floor_to, local_date, seconds_between
 from ..operators.joins import attach
 from ..operators.ranking import first_per_key
+from .marts import trip_cells, with_pickup_zone
 
 # Freshness limits per workload, in seconds.
 FRESHNESS_SLA = (("receipts", 30), ("fraud", 5), ("dashboards", 3600))
@@ -157,14 +158,14 @@ def with_parse_lane(df: DataFrame, payload: str = "payload", schema: str = "k IN
 def current_commands(commands: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Batch or stream. Per vehicle its highest version, unless that is nacked or, at ``as_of``, expired.
 
-    A superseded command never comes back. Of rows with one version the one with the
+    A command is nacked only where that is known. A superseded command never comes back. Of rows with one version the one with the
     greatest ``message_id``, where there is one, and then the greatest values counts.
     """
     if as_of is not None:
         commands = commands.where(F.col("event_utc") <= as_of)
     order = [c for c in ("version", "message_id", "event_utc", "expires_utc", "zone_id", "is_nacked") if c in commands.columns]
     last = commands.groupBy("vehicle_id").agg(F.max(F.struct(*order)).alias("_last"))
-    live = last.where(~F.col("_last.is_nacked"))
+    live = last.where(~F.coalesce(F.col("_last.is_nacked"), F.lit(False)))
     if as_of is not None:
         live = live.where(F.col("_last.expires_utc") > as_of)
     return live.select(
@@ -202,8 +203,8 @@ def hotspot_candidates(
 ) -> DataFrame:
     """Batch or stream against static zones. Vehicles whose last zone is hot."""
     named = zones.select(F.col("LocationID").cast("int").alias("zone_id"), F.col("Zone").alias("zone"))
-    placed = attach(positions, named, ["zone_id"], settings)
-    return attach(placed, hot, ["zone"], settings, how="inner")
+    # Zones and hot zones are both a row a zone, joined first; positions are a row a vehicle.
+    return positions.join(named.join(hot, "zone"), "zone_id").select(*[c for c in positions.columns], *hot.columns)
 
 
 # -- erasure and regions -------------------------------------------------------
@@ -221,14 +222,14 @@ def regional_rollup(orders: DataFrame, customers: DataFrame, nations: DataFrame,
     each customer once a month, however many orders there are.
     """
     month = F.substring(F.col("o_orderdate").cast("string"), 1, 7)
-    per_customer = orders.groupBy(F.col("o_custkey").alias("c_custkey"), month.alias("month")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("o_totalprice").alias("_r")
+    per_customer = orders.withColumns(amount_parts("o_totalprice", "_r")).groupBy(F.col("o_custkey").alias("c_custkey"), month.alias("month")).agg(
+        F.count(F.lit(1)).alias("_n"), *merged_parts("_r")
     )
     located = per_customer.join(customers.select("c_custkey", "c_nationkey"), "c_custkey", "left")
     named = attach(located, nations.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"), ["c_nationkey"])
     named = attach(named, regions.select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region")), ["n_regionkey"])
     return named.groupBy("region", "month").agg(
-        F.sum("_n").cast("bigint").alias("orders"), F.round(F.sum("_r"), 2).alias("revenue")
+        F.sum("_n").cast("bigint").alias("orders"), sum_of_parts("_r").alias("revenue")
     )
 
 
@@ -244,28 +245,29 @@ def freshness_by_workload(df: DataFrame, loaded_at: str, as_of: Column) -> DataF
     )
 
 
-def city_metrics(facts: DataFrame) -> DataFrame:
-    """Batch. Per city: trips, revenue, mean miles, and exact duration quantiles.
+def city_metrics(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """Batch. Per city, the borough of the pickup zone: trips, revenue, mean miles, and exact duration quantiles, of valid trips.
 
-    Durations of valid trips are whole seconds up to a day, so an exact quantile
-    holds at most 86,400 values per city.
+    Trips are grouped by zone and duration before the join. Durations of valid trips are whole seconds up
+    to a day, so a quantile weighs at most 86,400 values per city.
     """
-    return facts.groupBy(F.col("pickup_borough").alias("city")).agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.round(F.sum("total_amount"), 2).alias("revenue"),
-        F.round(F.avg("trip_distance_miles"), 4).alias("avg_miles"),
-        F.percentile("duration_seconds", 0.5).alias("median_seconds"),
-        F.percentile("duration_seconds", 0.9).alias("p90_seconds"),
+    cells = with_pickup_zone(trip_cells(trips, ("pickup_zone_id", "duration_seconds")), zones)
+    return cells.groupBy(F.col("pickup_borough").alias("city")).agg(
+        F.sum("trips").alias("trips"),
+        sum_of_parts("_total").alias("revenue"),
+        F.round(F.try_divide(F.sum("_miles"), F.sum("_measured")), 4).alias("avg_miles"),
+        F.percentile("duration_seconds", 0.5, F.col("trips")).alias("median_seconds"),
+        F.percentile("duration_seconds", 0.9, F.col("trips")).alias("p90_seconds"),
     )
 
 
-def trip_length_distribution(facts: DataFrame, bin_miles: float = 1.0) -> DataFrame:
-    """Batch. Trips per mile bin, with the share of all.
+def trip_length_distribution(trips: DataFrame, bin_miles: float = 1.0) -> DataFrame:
+    """Batch. Valid trips, or facts, per mile bin, with the share of all.
 
     The total is taken over the bins, of which a valid distance allows a few hundred.
     """
     low = F.floor(F.col("trip_distance_miles") / bin_miles) * bin_miles
-    binned = facts.groupBy(low.cast("double").alias("from_miles")).agg(F.count(F.lit(1)).alias("trips"))
+    binned = trips.groupBy(low.cast("double").alias("from_miles")).agg(F.count(F.lit(1)).alias("trips"))
     total = F.sum("trips").over(Window.partitionBy())
     return binned.withColumn("share_pct", percent_of(F.col("trips"), total, 4))
 

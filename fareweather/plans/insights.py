@@ -6,30 +6,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Settings
-from ..functions.conditions import mean_amount, short_label
+from ..functions.conditions import amount_parts, mean_of_parts, short_label, sum_amount
 from ..operators.profile import matrix
 
 
-def demand_by_band(facts: DataFrame) -> DataFrame:
-    """Trips and mean total per precipitation band, busiest first; hours without a band count too."""
-    return (
-        facts.groupBy("precipitation_band")
-        .agg(F.count(F.lit(1)).alias("trips"), mean_amount("total_amount").alias("avg_fare"))
-        .orderBy(F.desc("trips"), F.asc_nulls_last("precipitation_band"))
-    )
+def _parts(trips: DataFrame) -> DataFrame:
+    """Trip cells as they are, or facts as cells of one trip each."""
+    return trips if "_total_exact" in trips.columns else trips.withColumns({"trips": F.lit(1).cast("bigint"), **amount_parts("total_amount", "_total")})
 
 
-def demand_by_hour_of_week(facts: DataFrame) -> DataFrame:
-    return (
-        facts.groupBy("pickup_day_of_week", "pickup_hour_of_day")
-        .agg(F.count(F.lit(1)).alias("trips"), mean_amount("total_amount").alias("avg_fare"))
-        .orderBy(F.asc_nulls_last("pickup_day_of_week"), F.asc_nulls_last("pickup_hour_of_day"))
+def _demand(trips: DataFrame, *keys: str) -> DataFrame:
+    return _parts(trips).groupBy(*keys).agg(F.sum("trips").alias("trips"), mean_of_parts("_total").alias("avg_fare"))
+
+
+def demand_by_band(trips: DataFrame) -> DataFrame:
+    """Trips and mean total per precipitation band, busiest first; hours without a band count too.
+
+    ``trips``: facts, or trip cells with conditions.
+    """
+    return _demand(trips, "precipitation_band").orderBy(F.desc("trips"), F.asc_nulls_last("precipitation_band"))
+
+
+def demand_by_hour_of_week(trips: DataFrame) -> DataFrame:
+    """Trips and mean total per local hour of the week, of facts or trip cells; needs no join."""
+    return _demand(trips, "pickup_day_of_week", "pickup_hour_of_day").orderBy(
+        F.asc_nulls_last("pickup_day_of_week"), F.asc_nulls_last("pickup_hour_of_day")
     )
 
 
-def demand_matrix(facts: DataFrame) -> DataFrame:
+def demand_matrix(trips: DataFrame) -> DataFrame:
     """Mean trips per hour of day (rows) and day of week (columns ``dow_0`` to ``dow_6``)."""
-    per_hour = demand_by_hour_of_week(facts)
+    per_hour = demand_by_hour_of_week(trips)
     return matrix(per_hour, "pickup_hour_of_day", "pickup_day_of_week", range(7), F.avg("trips"), "dow_")
 
 
@@ -80,7 +87,7 @@ def revenue_wet_dry(mart: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
     """Trips and revenue per zone in wet, dry and unobserved hours, for busy zones."""
     return (
         mart.groupBy("pickup_zone", "pickup_borough", "is_wet_hour")
-        .agg(F.sum("trips").alias("trips"), F.round(F.sum("revenue"), 2).alias("revenue"))
+        .agg(F.sum("trips").alias("trips"), sum_amount("revenue").alias("revenue"))
         .where(F.col("trips") > settings.min_revenue_trips)
         .orderBy(
             F.asc_nulls_last("pickup_borough"), F.asc_nulls_last("pickup_zone"), F.asc_nulls_last("is_wet_hour")

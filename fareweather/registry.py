@@ -208,12 +208,12 @@ def zone_hour_demand(t: Tables) -> DataFrame:
 
 @job
 def dry_baseline(t: Tables) -> DataFrame:
-    return rounded(marts.dry_baseline(marts.observed_cells(t.facts)))
+    return rounded(marts.dry_baseline(marts.mart_cells(t.valid, t.weather, t.zones)))
 
 
 @job
 def max_band_by_severity(t: Tables) -> DataFrame:
-    return marts.worst_band(t.facts)
+    return marts.worst_band(marts.with_pickup_zone(marts.with_conditions(marts.trip_cells(t.valid), t.weather), t.zones))
 
 
 @job
@@ -237,17 +237,17 @@ def scalar_time_parts(t: Tables) -> DataFrame:
 
 @job
 def demand_by_band(t: Tables) -> DataFrame:
-    return insights.demand_by_band(t.facts)
+    return insights.demand_by_band(marts.with_conditions(marts.trip_cells(t.valid, ("pickup_hour_utc",)), t.weather))
 
 
 @job
 def demand_heatmap_long(t: Tables) -> DataFrame:
-    return insights.demand_by_hour_of_week(t.facts)
+    return insights.demand_by_hour_of_week(marts.trip_cells(t.valid, ("pickup_day_of_week", "pickup_hour_of_day")))
 
 
 @job
 def demand_heatmap(t: Tables) -> DataFrame:
-    return insights.demand_matrix(t.facts)
+    return insights.demand_matrix(marts.trip_cells(t.valid, ("pickup_day_of_week", "pickup_hour_of_day")))
 
 
 @job
@@ -493,12 +493,12 @@ def regional_rollup(t: Tables) -> DataFrame:
 
 @job
 def fleet_metrics(t: Tables) -> DataFrame:
-    return fleet.city_metrics(t.facts)
+    return fleet.city_metrics(t.valid, t.zones)
 
 
 @job
 def trip_length_distribution(t: Tables) -> DataFrame:
-    return fleet.trip_length_distribution(t.facts)
+    return fleet.trip_length_distribution(t.valid)
 
 
 @job

@@ -274,7 +274,7 @@ class Tables:
 
     @cached_property
     def mart(self) -> DataFrame:
-        return marts.zone_hour_demand(self.facts)
+        return marts.with_lift(marts.mart_cells(self.valid, self.weather, self.zones))
 
     @cached_property
     def messages(self) -> DataFrame:

@@ -60,14 +60,41 @@ def plan(df):
 
 def test_flagship_plan(spark, small):
     text = plan(Tables(spark, small).mart)
-    # One scan of trips, filtered and narrow; every enrichment join broadcast.
-    assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in text and "LessThan(ts,2024-01-31T00:00)" in text
-    assert text.count("BroadcastHashJoin LeftOuter") >= 3 and "SortMergeJoin" not in text and "CartesianProduct" not in text
+    # One scan of trips, filtered by the window padded by two days, and narrow.
+    assert "GreaterThanOrEqual(ts,2023-12-31T00:00)" in text and "LessThan(ts,2024-02-01T00:00)" in text
+    assert "CartesianProduct" not in text
     # Duplicate groups are cut to one row before the shuffle; cells are hash-aggregated.
     assert "Partial" in text and "WindowGroupLimit" in text
     assert "SortAggregate" not in text
 
 
+def below(text, node):
+    """The part of a plan's tree under the first line that names a node."""
+    lines = text[:text.index("\n\n\n")].splitlines()
+    at = next(i for i, line in enumerate(lines) if node in line)
+    return "\n".join(lines[at:])
+
+
+def test_trips_are_grouped_before_they_are_joined(spark, small):
+    t = Tables(spark, small)
+    tree = below(plan(t.mart), "Join")
+    assert tree.index("HashAggregate") < tree.index("WindowGroupLimit")  # the join's input is grouped trips
+    assert "Join" not in tree[tree.index("WindowGroupLimit"):tree.index("Scan parquet")]
+    for name in ("demand_heatmap", "demand_heatmap_long", "trip_length_distribution"):
+        assert "Join" not in plan(entry_points.queries()[name](spark, small))
+    for name in ("demand_by_band", "fleet_metrics", "max_band_by_severity", "dry_baseline"):
+        assert "dropoff_borough" not in plan(entry_points.queries()[name](spark, small))
+
+
+def test_plans_of_the_mart_run_no_job(spark, small):
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("zone_hour_demand", "hotspot_candidates", "fleet_metrics", "demand_by_band"):
+        spark.sparkContext.setJobGroup(name, name)
+        entry_points.queries()[name](spark, small)
+        assert not tracker.getJobIdsForGroup(name)
+    spark.sparkContext._jsc.clearJobGroup()
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_no_python_and_no_cross_product(spark, small, name):
     text = plan(entry_points.queries()[name](spark, small))
