@@ -28,7 +28,7 @@ TASK_PIECES = 100_000
 OPEN_BINS = 2 * TASK_PIECES
 #: The id that ends a document.
 END_ID = 0
-#: Distinct words whose ids a worker remembers at most.
+#: Distinct words whose ids a worker remembers, about.
 REMEMBERED = 250_000
 VOCABULARY = "word_bpe_49k.json"
 
@@ -41,56 +41,78 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+class Recent:
+    """What was met of late by key. When it is full it is set aside, and what is met again is taken back from there."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+
+    def of(self, keys) -> dict[bytes, bytes]:
+        """All that is known of these keys, and of others."""
+        if len(self.known) > self.most // 2:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        if before:
+            known.update((k, before[k]) for k in keys if k in before and k not in known)
+        return known
+
+
 class WordTokens:
     """Ids of words between white space, each distinct word encoded once.
 
     No token of the vocabulary spans white space, so ids of a text are those of its words
-    in a row; and none spans letters and marks, so a word of letters and the marks after it are
-    remembered apart. Ids are kept as bytes, four each, the lowest first.
+    in a row; and none spans a letter or digit and a mark after it, so where a word ends in letters
+    or digits and then marks, the two parts are remembered apart. Whether a word is taken
+    apart depends on the word alone, never on what was seen before. Ids are kept as bytes, four each, the lowest first.
     """
 
     MARKS = b"!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        #: By word: the letters in lower case (A-Z), or any whole word that isn't letters and marks.
-        self.known: dict[bytes, bytes] = {b"": b""}
-
-    def _learn(self, words: set[bytes]) -> None:
-        parts = sorted(words)
+        #: Words, and parts of words, met of late; and each time those met before, of which the ones not met again are forgotten.
+        self.words, self.parts = Recent(remembered), Recent(remembered)
+
+    def _parts(self, word: bytes) -> tuple[bytes, bytes]:
+        """A word as what ends in a letter or digit and the marks after it; or the whole and nothing."""
+        core = word.rstrip(self.MARKS)
+        if len(core) < len(word):
+            if b"<|" in core:  # a special token may end in marks
+                return word, b""
+            last = core[-1:]
+            if not last.isalnum():
+                if not last or last < b"\x80":
+                    return word, b""
+                # Beyond ASCII: a letter of an alphabet without joining marks, which stays one in lower case.
+                letter = core.decode("utf-8", "surrogatepass")[-1]
+                if letter >= "\u0590" or not letter.isalpha() or not letter.lower()[-1].isalpha():
+                    return word, b""
+        # Case doesn't matter in ASCII; elsewhere a mark may join small letters only.
+        return core.lower() if core.isascii() else core, word[len(core):]
+
+    def _learn(self, parts: list[bytes]) -> None:
         texts = [w.decode("utf-8", "surrogatepass") for w in parts]
         for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self.known[part] = array("I", found.ids).tobytes()
+            self.parts.known[part] = array("I", found.ids).tobytes()
 
     def ids(self, words: list[bytes]) -> list[bytes]:
         """Ids of each of the distinct ``words``."""
-        if len(self.known) > REMEMBERED:
-            self.known = {b"": b""}
-        known, marks, out, missing = self.known, self.MARKS, [], []
-        for i, word in enumerate(words):
-            core = word.rstrip(marks)
-            a, b = known.get(core.lower()), known.get(word[len(core):])
-            if a is None or b is None or not core:
-                missing.append(i)
-                out.append(known.get(word))
-            else:
-                out.append(a + b)
-        new, split = set(), {}
-        for i in missing:
-            word = words[i]
-            core = word.rstrip(marks)
-            if core and core.decode("utf-8", "surrogatepass").isalpha():
-                split[i] = (core.lower(), word[len(core):])
-                new.update(split[i])
-            else:
-                new.add(word)
-        self._learn({w for w in new if w not in known})
-        for i in missing:
-            out[i] = b"".join(known[w] for w in split[i]) if i in split else known[words[i]]
-        return out
+        whole = self.words.of(words)
+        new = [w for w in words if w not in whole]
+        split = [self._parts(w) for w in new]
+        needed = {core for core, _ in split}
+        needed.update(marks for _, marks in split)
+        needed.discard(b"")
+        known = self.parts.of(needed)
+        self._learn([w for w in needed if w not in known])
+        for w, (core, marks) in zip(new, split):
+            whole[w] = known[core] + known[marks] if marks and core else known[core or marks]
+        return [whole[w] for w in words]
 
     def documents(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, in order."""

@@ -383,6 +383,39 @@ def test_word_tokens_equal_whole_texts():
         assert list(ids) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def whole_ids(texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.vocabulary_path())
+    return [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("remembered", [packing.REMEMBERED, 40])
+def test_word_tokens_do_not_depend_on_what_was_seen(remembered):
+    """Ids equal the tokenizer's on whole texts by a worker that has seen any beginning of a word, and by a fresh one."""
+    texts = ["It was the dogs', not the players'.", "don', don' foo\\, foo\\ word…. word… x—, x— “, “", "ALİ, ve VELİ. ALİ ve", "J̌, J̌ T̈! é́, x<|endoftext|> x<|endoftext|>, x<|endoftext"]
+    r = random.Random(8)
+    letters = ["a", "B", "é", "É", "İ", "ß", "Σ", "ж", "א", "学", "9", "²", "٣", "'", "’", "“", "—", "…", "\\", ",", ".", "-", "\u0301", "\u030c", "J", "🙂", "<|endoftext|>", "<|", "'s", "’s", "'ll", "\u200d", "\u00a0", "\u0085"]
+    texts += [" ".join("".join(r.choice(letters) for _ in range(r.randrange(1, 6))) for _ in range(40)) for _ in range(60)]
+    seen = [" ".join(w[:k] for w in t.split() for k in range(1, len(w) + 1)) for t in texts]
+    warmed = packing.WordTokens(packing.vocabulary_path(), remembered)
+    for t in seen + texts:
+        list(warmed.documents([t]))
+    expected = whole_ids(texts)
+    for i, t in enumerate(texts):
+        cold = packing.WordTokens(packing.vocabulary_path(), remembered)
+        assert list(next(cold.documents([t]))) == expected[i], t
+    assert [list(x) for x in warmed.documents(texts)] == expected
+    assert [list(next(warmed.documents([t]))) for t in texts] == expected
+
+
+def test_ids_do_not_depend_on_partitions(spark):
+    rows = [(i, "It was the dogs', not the players'. don', x—, ALİ, " * (i % 7) + prose(i, 30)) for i in range(60)] + [(100 + i, w) for i, w in enumerate(["dogs'", "don'", "x—", "ALİ"])]
+    docs = spark.createDataFrame(rows, DOCUMENTS.split(", lang")[0])
+    one, many = (sorted(map(tuple, packing.pieces(docs.repartition(n)).collect())) for n in (1, 9))
+    assert one == many
+
+
 def test_open_bins():
     bins = packing.OpenBins(10, 2)
     r = random.Random(0)
