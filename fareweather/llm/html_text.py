@@ -33,6 +33,10 @@ BESIDE = frozenset(
     "footer header masthead topbar comment comments commentlist reply replies respond disqus discussion newsletter subscribe signup login "
     "search form pagination pager tags copyright legal disclaimer complementary contentinfo".split()
 )
+#: Those of them that name what readers say, whatever stands in it.
+READERS = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
+#: What a name begins with that tells the state or the subject of what it stands on, as has-sidebar does.
+STATE = frozenset("has no not with without tag category cat".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 SPACED = frozenset(("br", "wbr"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,15 +52,29 @@ class Block:
     words: int
     linked: int
     outside: bool
-    hinted: bool
+    never: bool  # hidden, or what readers say
+    hints: tuple[int, ...]  # numbers of the elements around it that are named as something beside the article
+    frame: int | None  # number of the outermost article or main element around it
     inside: bool
     page_header: bool
     heading: bool
 
 
+def _named(rest: str) -> frozenset[str]:
+    """What an element's class, id or role names of the things beside the article."""
+    found: set[str] = set()
+    for value in HINTED.findall(rest):
+        for name in value.strip("\"'").lower().split():
+            words = re.split(r"[^a-z0-9]+", name)
+            if words[0] not in STATE:
+                found.update(BESIDE.intersection(words))
+    return frozenset(found)
+
+
 def flat_blocks(page: str) -> list[Block]:
     """Text blocks of a page in order, character references decoded, white space made single."""
-    open_tags: list[tuple[str, bool]] = []  # element, and if it is named or hidden as something beside the article
+    open_tags: list[tuple[str, int, bool, bool]] = []  # element, its number, if it is named as something beside the article, if it can't hold it
+    elements = 0
     found: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
@@ -64,11 +82,12 @@ def flat_blocks(page: str) -> list[Block]:
     def end_block() -> None:
         words = "".join(parts).split()
         if words:
-            names = [t for t, _ in open_tags]
-            inside = any(t in INSIDE for t in names)
+            names = [t[0] for t in open_tags]
+            frame = next((n for t, n, _, _ in open_tags if t in INSIDE), None)
+            inside = frame is not None
             found.append(Block(
                 " ".join(words), len(words), min(len(words), len("".join(linked).split())), any(t in OUTSIDE for t in names),
-                any(h for _, h in open_tags), inside, "header" in names and not inside, any(re.fullmatch("h[1-6]", t) for t in names[-3:]),
+                any(h for *_, h in open_tags), tuple(n for _, n, b, _ in open_tags if b), frame, inside, "header" in names and not inside, any(re.fullmatch("h[1-6]", t) for t in names[-3:]),
             ))
         parts.clear()
         linked.clear()
@@ -77,7 +96,7 @@ def flat_blocks(page: str) -> list[Block]:
         if text := m["text"]:
             clear = references.unescape(text)
             parts.append(clear)
-            if any(t == "a" for t, _ in open_tags):
+            if any(t[0] == "a" for t in open_tags):
                 linked.append(clear)
             continue
         name = (m["name"] or "").lower()
@@ -104,20 +123,43 @@ def flat_blocks(page: str) -> list[Block]:
                 if name != "p" and open_tags and open_tags[-1][0] == "p":
                     open_tags.pop()
             rest = m["rest"]
-            beside = bool(HIDDEN.search(rest)) or any(w in BESIDE for v in HINTED.findall(rest) for w in re.split(r"[^a-z0-9]+", v.lower()))
-            open_tags.append((name, beside and name not in ("html", "body")))
+            elements += 1
+            whole = name in ("html", "body")
+            named = frozenset() if whole else _named(rest)
+            open_tags.append((name, elements, bool(named), bool(named & READERS) or not whole and bool(HIDDEN.search(rest))))
     end_block()
     return found
 
 
+def _misnamed(blocks: list[Block]) -> frozenset[int]:
+    """Names that don't count: where every article and main element stands in or is something named as beside
+    the article, those of the one with most words and of what it stands in, if it has more words than all
+    that isn't named so."""
+    words: dict[int | None, int] = {}
+    for b in blocks:
+        if not b.outside and not b.never and (b.frame is not None or not b.hints):
+            words[b.frame] = words.get(b.frame, 0) + b.words
+            if b.frame is not None and not b.hints:
+                return frozenset()
+    elsewhere = words.pop(None, 0)
+    if not words:
+        return frozenset()
+    frame = max(words, key=lambda f: (words[f], -f))
+    if words[frame] <= elsewhere:
+        return frozenset()
+    return frozenset(n for b in blocks if b.frame == frame for n in b.hints if n <= frame)
+
+
 def features(blocks: list[Block]) -> np.ndarray:
     """Per block: words and link density of it, the one before and the one after; if it stands in
     something beside the article, in the article, outside of the page's article, in a heading."""
     own = np.array([(b.words, b.linked / b.words) for b in blocks], dtype=float).reshape(-1, 2)
     edge = np.zeros((1, 2))
     around = np.hstack((own, np.vstack((edge, own[:-1])), np.vstack((own[1:], edge)))) if len(own) else np.zeros((0, 6))
-    article = any(b.inside for b in blocks)
-    place = np.array([(b.outside or b.hinted or b.page_header, b.inside, article and not b.inside, b.heading) for b in blocks], dtype=float).reshape(-1, 4)
+    misnamed = _misnamed(blocks)
+    hinted = [b.never or any(n not in misnamed for n in b.hints) for b in blocks]
+    article = any(b.inside and not b.outside and not h for b, h in zip(blocks, hinted))
+    place = np.array([(b.outside or h or b.page_header, b.inside, article and not b.inside, b.heading) for b, h in zip(blocks, hinted)], dtype=float).reshape(-1, 4)
     return np.hstack((around, place))
 
 
@@ -137,6 +179,7 @@ LABELLED = (
     '<body><main><p>*The last tram leaves at one, and after that there is only the long way round by the canal.</main><div>Open from nine to five</div><div>See also the pages of our friends in the south, who do the same with boats and sell the prints by post.</div></body>',
     '<body><nav>Our town Our people Our plans for the coming year and all the forms that you need to take part in them</nav><p>*The council has set aside a field behind the station for new plots, and will hand them out by lot in the autumn.<p>*Those who took part last year and were not lucky have two tickets in the draw, so the odds are fair.<footer>Town hall, market square, open every day but Sunday from eight in the morning until four.</footer></body>',
     '<body><p><a href=1>Log in</a><p><a href=2>Register</a><p>Ok<div role=alert>Please turn on scripts in your browser to see all of the parts of this page as they were made.</div><p>*We left before dawn and drove along the coast until the fuel ran low near the lighthouse at the point.<p>*The keeper sold us enough to reach the next town, and a bag of apples for the road as well.</body>',
+    '<body><div id=top><a href=1>Home</a> <a href=2>All</a></div><div class="post"><h1>*Ice</h1><p>*The lake froze over in one night, and by noon half of the village stood on it with skates and brooms.<h2>*Thaw</h2><p>*A week later it was water again, and the boats that lay on the bank all winter went back in.</div><p><a href=3>Next</a></body>',
 )
 MARK = "*"
 

@@ -60,12 +60,12 @@ class Words:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, most: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """At most ``most`` labelled rows (t, y) with a label of 0 or 1: those with the smallest
-    hashes of their id, the held-out fifth left out. Rows of one id count once a label."""
+    """At most ``most`` distinct rows (d, t, y) with a label of 0 or 1, however many rows an id has: those with the smallest
+    hashes of their id, the held-out fifth left out."""
     known = labels.select(F.col(doc_id).alias("d"), F.col(label).cast("int").alias("y")).where("d is not null and y in (0, 1)").where(~held_out(F.col("d")))
     chosen = known.distinct().orderBy(F.xxhash64("d"), "d", "y").limit(most)
-    rows = documents.select(F.col(doc_id).alias("d"), text_or_empty(F.col(text)).alias("t"))
-    return rows.join(F.broadcast(chosen), "d").select("d", "t", "y")
+    rows = documents.select(F.col(doc_id).alias("d"), text_or_empty(F.col(text)).alias("t")).join(F.broadcast(chosen), "d").select("d", "t", "y")
+    return rows.distinct().orderBy(F.xxhash64("d"), "d", "y", F.xxhash64("t"), "t").limit(most)
 
 
 def sparse_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:

@@ -140,6 +140,28 @@ def test_main_text(spark):
     assert html_text.extracted(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("wrapper", [
+    '<div class="layout has-sidebar"><article>{}</article></div>', '<div class="post tag-search category-legal">{}</div>', '<main class="no-comments">{}</main>',
+    '<article class="post related-posts">{}</article>', '<div class="layout has-sidebar"><article class="post related-posts">{}</article></div>',
+    '<div id=widget><div class="menu-layout"><main>{}</main></div></div>', '<div class="with-cookie-notice no-ads"><article class="tag-popup">{}</article></div>',
+])
+def test_names_around_an_article_do_not_hide_it(wrapper):
+    article = "<h1>Snow</h1><p>It fell for three days and nobody came up the road from the valley, not even the post.<p>Then it stopped, and the children went out to see what was left of the fence."
+    beside = '<nav><a href=1>Home</a></nav>{}<div class="related"><article class="card"><p>Ten more stories that you may like to read next week.</article></div><section class="comments"><article class="comment"><p>I liked this story very much, thank you for it, all of you.</article></section><footer>About us and all our friends</footer>'
+    assert html_text.main_text("<body>" + beside.format(wrapper.format(article)) + "</body>", html_text.train()).startswith("Snow\nIt fell for three days")
+    plain = html_text.main_text("<body>" + beside.format("<article>" + article + "</article>") + "</body>", html_text.train())
+    assert plain.count("\n") == 2 and plain.endswith("fence.")
+
+
+def test_names_beside_an_article_stay_beside(spark, small):
+    """Comments, teasers and hidden parts are no article, even where an article is one of their elements or their names begin oddly."""
+    tree = html_text.train()
+    for name in ("cookie-notice", "comments", "site-footer", "ad", "main-nav", "newsletter-box"):
+        page = f'<article><p>We left before dawn and drove along the coast until the fuel ran low near the point.</article><div class="{name}"><article><p>This is long enough to be taken for a part of the story that stands above it.</article></div>'
+        assert html_text.main_text(page, tree) == "We left before dawn and drove along the coast until the fuel ran low near the point."
+    assert html_text.main_text('<main hidden class="menu"><p>' + "hidden words " * 30 + "</main>", tree) == ""
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     r = np.random.default_rng(2)
@@ -458,6 +480,18 @@ def test_families_are_copies():
     assert len(toxicity._families(rows.iloc[:0])) == 0
 
 
+def test_labelled_sample_is_bounded(spark):
+    """By rows, not by ids, and without repeated rows."""
+    from fareweather.llm import words
+
+    rows = spark.range(3_000).selectExpr("1L AS doc_id", "concat('text ', id % 2000) AS text").unionAll(spark.range(2, 40).selectExpr("id AS doc_id", "'t' AS text"))
+    labels = spark.range(0, 40).selectExpr("id AS doc_id", "1 AS quality").unionAll(spark.range(1, 2).selectExpr("id AS doc_id", "1 AS quality"))
+    for most in (10, 500, 5_000):
+        found = words.labelled_sample(rows, labels, "quality", most).collect()
+        assert len(found) == len(set(found)) <= most
+    assert sum(r.d == 1 for r in found) in (0, 2_000)
+
+
 def test_machine_identity():
     r = np.random.default_rng(1)
     machine = quality_fm.Machine(0.1, r.normal(size=quality_fm.WIDTH), r.normal(size=(quality_fm.WIDTH, 4)) * 0.1)
