@@ -40,6 +40,12 @@ def cut(df: DataFrame) -> DataFrame:
     return done
 
 
+def let_go(spark: SparkSession) -> None:
+    """Shuffle files that no living plan needs are removed; ``cut`` can't do so for the plan it is given."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like the given ones that the table doesn't have yet, in any case."""
     taken, found = {c.lower() for c in df.columns}, []

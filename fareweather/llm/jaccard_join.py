@@ -5,29 +5,31 @@ of n shingles must share T = t * n with any partner, and 2t / (1 + t) * n with o
 smaller. Each set's shingles are put in one order for all, the rarest first. The lists of
 its first n - T + K shingles are its short lists, the others its long ones: a partner
 occurs in at least K of the short lists (DivideSkip), of the larger set by the first T and
-of the smaller one by the second. Short lists are merged by id and counted: the merge is the
-external sort of the shuffle, a heap over sorted runs, so that a list may have any length.
-What is left is looked up in the sets of the candidates, and a pair is kept
-if its overlap reaches what both sizes require. The result is exact.
+of the smaller one by the second. A set's short lists are sorted runs, merged by a heap that skips what can't
+occur K times any more; the long ones are probed by binary search in the candidate's
+sorted set, until the overlap is reached or out of reach. The result is exact.
 
-Hot groups: equal sets are one node. Then every list links its texts to its first one
+Hot groups: equal sets are one class. Then every list links its classes to its first one
 only; what this joins needs no further pairs, so a large group of near copies costs
 its size, not its square. The full search is left for lists that still hold
-texts of several groups.
+classes of several groups. Long runs are cut by a hash of the class, so no heap holds a whole list.
 """
 
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_left
 from collections.abc import Iterator
 from contextlib import contextmanager
+from hashlib import blake2b
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table, text_or_empty
+from .common import cut, let_go, table, text_or_empty
 from .components import components
 from .words import Words, blocks, in_blocks
 
@@ -37,6 +39,10 @@ OCCURRENCES = 3
 COUNTERS = 1 << 14
 #: Bits of the map of texts whose whole sets are looked at.
 MARKS = 1 << 23
+#: Classes of a run, about; a longer list is cut into several.
+RUN = 4096
+#: Shingles probed between two looks at whether a pair is settled.
+PROBES = 64
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -83,53 +89,56 @@ def first_lists(n: Column, percent: int) -> Column:
     return n - need + F.least(F.lit(OCCURRENCES), F.ceil(n * percent / 100))
 
 
+def _halves(s: np.ndarray) -> np.ndarray:
+    return np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
+
+
 def _digests(rows: DataFrame, width: int) -> DataFrame:
-    """Per row: id, n and two halves of a digest of its set (c is null); and how often shingles of
+    """Per row: id, tk, n and two halves of a digest of its set (c is null); and how often shingles of
     each counter c occur, n, over the rows of a task."""
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from hashlib import blake2b
-
         total = np.zeros(COUNTERS, np.int64)
         for batch in in_blocks(batches, "t"):
             n, halves = [], []
             for s in shingle_sets(batch["t"].tolist(), width):
                 n.append(len(s))
-                halves.append(np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64))
+                halves.append(_halves(s))
                 np.add.at(total, s & (COUNTERS - 1), 1)
             d = np.array(halves).reshape(-1, 2)
-            yield pd.DataFrame({"id": batch["id"].astype("Int64").array, "n": n, "d1": d[:, 0], "d2": d[:, 1], "c": pd.array([None] * len(n), "Int32")})
+            yield pd.DataFrame({"id": batch["id"].astype("Int64").array, "tk": batch["tk"].array, "n": n, "d1": d[:, 0], "d2": d[:, 1], "c": pd.array([None] * len(n), "Int32")})
         used = np.flatnonzero(total)
         none = pd.array([None] * len(used), "Int64")
-        yield pd.DataFrame({"id": none, "n": total[used], "d1": none, "d2": none, "c": pd.array(used, "Int32")})
+        yield pd.DataFrame({"id": none, "tk": none, "n": total[used], "d1": none, "d2": none, "c": pd.array(used, "Int32")})
 
-    return rows.mapInPandas(digest, "id bigint, n bigint, d1 bigint, d2 bigint, c int")
+    return rows.mapInPandas(digest, "id bigint, tk bigint, n bigint, d1 bigint, d2 bigint, c int")
 
 
 def _short(rows: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """Per row with an id and a shingle: id, n, its digest, and the shingles of its short lists."""
+    """Per row with a shingle: id, tk, n, its digest, and the shingles of its short lists."""
     def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from hashlib import blake2b
-
         for batch in in_blocks(batches, "t"):
             n, halves, short = [], [], []
             for s in shingle_sets(batch["t"].tolist(), width):
                 order = np.lexsort((s, counts[s & (COUNTERS - 1)]))[:int(short_lists(len(s), percent))]
                 n.append(len(s))
-                halves.append(np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64))
+                halves.append(_halves(s))
                 short.append(s[order])
             d = np.array(halves).reshape(-1, 2)
-            out = pd.DataFrame({"id": batch["id"].array, "n": n, "d1": d[:, 0], "d2": d[:, 1], "short": pd.Series(short, dtype=object)})
+            out = pd.DataFrame({"id": batch["id"].astype("Int64").array, "tk": batch["tk"].array, "n": n, "d1": d[:, 0], "d2": d[:, 1], "short": pd.Series(short, dtype=object)})
             yield out[out["n"] > 0]
 
-    return rows.where("id is not null").mapInPandas(chosen, "id bigint, n bigint, d1 bigint, d2 bigint, short array<bigint>")
+    return rows.mapInPandas(chosen, "id bigint, tk bigint, n bigint, d1 bigint, d2 bigint, short array<bigint>")
+
+
+def _bit() -> Column:
+    return F.pmod(F.xxhash64("i", "tk"), F.lit(MARKS))
 
 
-def _marked(ids: DataFrame) -> np.ndarray:
-    """A bitmap of hashed ids: MARKS bits at most, whatever the number of ids. An id without its bit
+def _marked(texts: DataFrame) -> np.ndarray:
+    """A bitmap of hashed texts (i, tk): MARKS bits at most, whatever their number. One without its bit
     isn't among them."""
-    bit = F.pmod(F.xxhash64("id"), F.lit(MARKS))
-    words = ids.select(F.floor(bit / 64).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {MARKS}) % 64 as int))").alias("m"))
-    found = words.groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
+    found = texts.select(F.floor(_bit() / 64).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(i, tk), {MARKS}) % 64 as int))").alias("m"))
+    found = found.groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
     out = np.zeros(MARKS // 64, np.int64)
     out[found["w"].to_numpy(dtype=np.int64)] = found["m"].to_numpy(dtype=np.int64)
     return out.view(np.uint64)
@@ -141,14 +150,14 @@ def _may_link(n: Column, m: Column, percent: int) -> Column:
 
 
 @contextmanager
-def _bucketed(rows: DataFrame, key: str) -> Iterator[DataFrame]:
-    """The rows as a table in the warehouse, bucketed and sorted by ``key`` while it is needed, so that
-    joins on it move the other side only."""
+def _bucketed(rows: DataFrame, *keys: str) -> Iterator[DataFrame]:
+    """The rows as a table in the warehouse, bucketed and sorted by ``keys`` while it is needed, so that
+    joins on them move the other side only."""
     spark = rows.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"jaccard_sets_{uuid.uuid4().hex}"
     try:
-        rows.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).saveAsTable(name, format="parquet")
+        rows.repartition(buckets, *keys).dropDuplicates(list(keys)).write.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name, format="parquet")
         yield spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -159,101 +168,220 @@ def _needed(n: Column, percent: int) -> Column:
     return F.least(F.lit(OCCURRENCES), F.ceil(n * percent / 100))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets share enough."""
-    a = sets.select(F.col("id").alias("u"), F.col("s").alias("a"))
-    b = sets.select(F.col("id").alias("v"), F.col("s").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    known = pairs.join(a, "u").join(b, "v").select("u", "v", both.alias("both"), (F.size("a") + F.size("b")).alias("sum"))
-    return known.where(F.col("both") * 100 >= (F.col("sum") - F.col("both")) * percent).select("u", "v")
+def overlaps(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """If two sorted sets share enough: the smaller one's shingles are probed in the larger by binary search, in steps, until it is settled."""
+    if len(a) > len(b):
+        a, b = b, a
+    need, shared = -(-percent * (len(a) + len(b)) // (100 + percent)), 0
+    for at in range(0, len(a), PROBES):
+        some = a[at:at + PROBES]
+        place = np.searchsorted(b, some)
+        shared += int(np.count_nonzero(b[np.minimum(place, len(b) - 1)] == some))
+        left = len(a) - at - len(some)
+        if shared >= need or shared + left < need:
+            break
+    return shared >= need
 
 
-def joined(documents: DataFrame, width: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id.
+def _verified(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) of classes whose sets share enough. ``reps``: a text (i, tk) of each class."""
+    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.loc[[overlaps(a, b, percent) for a, b in zip(batch["a"], batch["b"])], ["u", "v"]]
 
-    Texts link when the overlap is at least ``percent`` hundredths of the union. A null or empty text
-    has no shingle and links with nothing; a row with a null id links with nothing and has no
-    component. Rows of one id are one node, linked by the texts of each. An empty table gives an
-    empty result.
-    """
-    rows = documents.select(F.col(doc_id).cast("long").alias("id"), text_or_empty(F.col(text)).alias("t"))
-    passed = cut(_digests(rows, width))
-    nodes = passed.where("c is null").drop("c")
-    counts = np.zeros(COUNTERS, np.int64)
-    for c, n in passed.where("c is not null").groupBy("c").agg(F.sum("n")).collect():
-        counts[c] = n
-    classes = cut(_short(rows, width, percent, counts).groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("short").alias("short")))
+    def side(df: DataFrame, node: str, name: str) -> DataFrame:
+        of = reps.select(F.col("c").alias(node), "i", "tk")
+        return df.join(of, node).join(sets.withColumnRenamed("s", name), ["i", "tk"]).drop("i", "tk")
+
+    return side(side(pairs, "u", "a"), "v", "b").select("u", "v", "a", "b").mapInPandas(probe, "u bigint, v bigint")
+
+
+def _shared_lists(classes: DataFrame, percent: int) -> DataFrame:
+    """Entries (s, c, lead, n, at, early) of the short lists that may lead somewhere: of more than one class, and an early one of some."""
     # Rows of few and small columns: n, the place and if the list is an early one are one number.
     packed = F.shiftleft("n", 32) + F.shiftleft("at", 1) + F.when(F.col("at") < first_lists(F.col("n"), percent), 1).otherwise(0)
-    lists = classes.select("id", "n", F.posexplode("short").alias("at", "s")).select("s", "id", packed.alias("packed"))
+    lists = classes.select("c", "n", F.posexplode("short").alias("at", "s")).select("s", "c", packed.alias("packed"))
     # One shuffle serves the sums and the join. A text has many shingles on its lists and each but
     # once, so even a list of all texts is a small part of the rows.
     lists = lists.repartition("s")
-    # Lists of one text, and those that are early ones of none, lead nowhere. The others' first text stands for its list.
-    first = lists.groupBy("s").agg(F.min("id").alias("lead"), F.max("id").alias("last"), F.max(F.col("packed") % 2).alias("any")).where("lead < last and any = 1")
-    shared = cut(lists.join(first.select("s", "lead"), "s")).select(
-        "s", "id", "lead", F.shiftright("packed", 32).alias("n"), (F.shiftright("packed", 1) % (1 << 31)).cast("int").alias("at"), (F.col("packed") % 2 == 1).alias("early"))
-    # The sets of all texts on enough such lists, made anew from the texts rather than carried through the sorts above.
-    wanted = shared.groupBy("id").agg(F.count("*").alias("occurs"), F.max("n").alias("n")).where(F.col("occurs") >= _needed(F.col("n"), percent)).select("id")
-    marked = _marked(wanted)
+    first = lists.groupBy("s").agg(F.min("c").alias("lead"), F.max("c").alias("last"), F.max(F.col("packed") % 2).alias("any")).where("lead < last and any = 1")
+    return lists.join(first.select("s", "lead"), "s").select(
+        "s", "c", "lead", F.shiftright("packed", 32).alias("n"), (F.shiftright("packed", 1) % (1 << 31)).cast("int").alias("at"), (F.col("packed") % 2 == 1).alias("early"))
+
+
+def _linked(rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nodes (id, tk, n, d1, d2: the digest of its set) per row of ``rows`` (id, tk, t); classes of
+    equal sets (d1, d2, c), c being a number of this run; and links (u, v) of classes."""
+    passed = cut(_digests(rows, width))
+    nodes = passed.where("c is null").drop("c")
+    counts = np.zeros(COUNTERS, np.int64)
+    for c, n in passed.where("c is not null").groupBy("c").agg(F.sum("n")).collect():
+        counts[c] = n
+    marked_rows = rows.withColumn("i", _row_key())
+    alike = _short(rows, width, percent, counts).withColumn("i", _row_key()).groupBy("d1", "d2").agg(
+        F.min(F.struct("i", "tk")).alias("rep"), F.first("n").alias("n"), F.first("short").alias("short"))
+    classes = cut(alike.select("d1", "d2", "rep.i", "rep.tk", "n", "short", F.monotonically_increasing_id().alias("c")))
+    del passed, alike
+    shared = cut(_shared_lists(classes, percent))
+    let_go(rows.sparkSession)  # the lists
+    # The sets of all classes on enough such lists, made anew from the texts rather than carried through the sorts above.
+    wanted = shared.groupBy("c").agg(F.count("*").alias("occurs"), F.max("n").alias("n")).where(F.col("occurs") >= _needed(F.col("n"), percent)).select("c")
+    reps = cut(classes.select("c", "i", "tk").join(wanted, "c"))
+    marked = _marked(reps)
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in in_blocks(batches, "t"):
             bit = batch["bit"].to_numpy()
             some = batch[(marked[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1]
-            yield pd.DataFrame({"id": some["id"].array, "s": pd.Series(list(shingle_sets(some["t"].tolist(), width)), dtype=object)})
+            yield pd.DataFrame({"i": some["i"].array, "tk": some["tk"].array, "s": pd.Series(list(shingle_sets(some["t"].tolist(), width)), dtype=object)})
 
-    asked = rows.where("id is not null").withColumn("bit", F.pmod(F.xxhash64("id"), F.lit(MARKS)))
-    with _bucketed(asked.mapInPandas(whole, "id bigint, s array<bigint>").where(F.size("s") > 0), "id") as sets:
-        stars = shared.where(F.col("id") != F.col("lead")).groupBy(F.col("id").alias("u"), F.col("lead").alias("v")).agg(F.count("*").alias("occurs"), F.max("n").alias("n"))
+    asked = marked_rows.select("i", "tk", "t", _bit().alias("bit")).mapInPandas(whole, "i bigint, tk bigint, s array<bigint>").where(F.size("s") > 0)
+    with _bucketed(asked, "i", "tk") as sets:
+        let_go(rows.sparkSession)
+        stars = shared.where(F.col("c") != F.col("lead")).groupBy(F.col("c").alias("u"), F.col("lead").alias("v")).agg(F.count("*").alias("occurs"), F.max("n").alias("n"))
         stars = stars.where(F.col("occurs") >= _needed(F.col("n"), percent)).select("u", "v")
-        near = cut(_verified(stars, sets, percent))
+        near = cut(_verified(stars, reps, sets, percent))
         rest = _unlike(shared, components(near), percent)
-        links = cut(near.unionAll(_verified(rest, sets, percent)).unionAll(_same_id(nodes)))
-    done = components(links)
-    of_class = nodes.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("class_id"))
-    out = nodes.select("id", "n", "d1", "d2").join(of_class, ["d1", "d2"], "left").join(done.withColumnRenamed("id", "class_id"), "class_id", "left")
-    linked = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("component", "class_id")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), linked.alias("component_id"))
+        links = cut(near.unionAll(_verified(rest, reps, sets, percent)))
+    return nodes, classes.select("d1", "d2", "c"), links
+
+
+def _row_key() -> Column:
+    """The id, never null. One that is as small as this stands for may have the same text only, so nothing is mixed up."""
+    return F.coalesce("id", F.lit(-(1 << 63)).cast("bigint"))
+
+
+def _rows(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    rows = documents.select(F.col(doc_id).cast("long").alias("id"), text_or_empty(F.col(text)).alias("t"))
+    return rows.withColumn("tk", F.xxhash64("t"))
+
+
+def joined(documents: DataFrame, width: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id.
+
+    Texts link when the overlap is at least ``percent`` hundredths of the union. A null or empty text
+    has no shingle and links with nothing; a row with a null id links with nothing and has no
+    component. Rows of one id are one document, linked by the texts of each. An empty table gives an
+    empty result.
+    """
+    rows = _rows(documents, doc_id, text)
+    nodes, classes, links = _linked(rows.where("id is not null"), width, percent)
+    placed = cut(nodes.join(classes, ["d1", "d2"], "left").select("id", "n", "c"))
+    own = placed.where("c is not null").select("id", "c").distinct()
+    least = own.groupBy("id").agg(F.min("c").alias("v")).withColumnRenamed("id", "k")
+    of_one = own.join(least, F.col("id") == F.col("k")).where("c != v").select(F.col("c").alias("u"), "v")
+    done = components(links.unionAll(of_one)).withColumnsRenamed({"id": "u", "component": "v"})
+    # The smallest id of each class, and of each component of classes.
+    small = placed.where("c is not null").groupBy("c").agg(F.min("id").alias("class_id")).join(done, F.col("c") == F.col("u"), "left").select("c", F.coalesce("v", "c").alias("v"), "class_id")
+    small = cut(small)
+    ids = small.groupBy("v").agg(F.min("class_id").alias("component"))
+    named = cut(small.join(ids, "v").select(F.col("c").alias("k"), "component"))
+    out = placed.join(named, F.col("c") == F.col("k"), "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    none = _digests(rows.where("id is null"), width).where("c is null").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+    return out.unionAll(none)
+
+
+def merge_skip(runs: list[list[int]], need: int) -> Iterator[tuple[int, list[int]]]:
+    """What occurs in at least ``need`` of the sorted runs, with the runs that have it. A heap holds the runs' heads;
+    where the least head occurs too rarely, need - 1 heads are taken off and jump to the next one left, by binary search."""
+    at = [0] * len(runs)
+    heap = [(run[0], k) for k, run in enumerate(runs) if run]
+    heapify(heap)
+    while len(heap) >= need:
+        least, among = heap[0][0], []
+        while heap and heap[0][0] == least:
+            among.append(heappop(heap)[1])
+        if len(among) >= need:
+            yield least, among
+            jump = least + 1
+        else:
+            while heap and len(among) < need - 1:
+                among.append(heappop(heap)[1])
+            if not heap:
+                return
+            jump = heap[0][0]  # whatever is smaller is in need - 1 runs at most
+        for k in among:
+            run = runs[k]
+            at[k] = bisect_left(run, jump, at[k])
+            if at[k] < len(run):
+                heappush(heap, (run[at[k]], k))
 
 
 def _unlike(shared: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of texts not yet in one group that occur together in enough short lists."""
-    placed = shared.select("s", "id", "n", "at", "early").join(groups, "id", "left").select("s", "id", "n", "at", "early", F.coalesce("component", "id").alias("g"))
+    """Pairs of classes not yet in one group that occur together in enough short lists."""
+    placed = shared.select("s", "c", "n", "at", "early").join(groups.withColumnRenamed("id", "c"), "c", "left").select("s", "c", "n", "at", "early", F.coalesce("component", "c").alias("g"))
     mixed = placed.groupBy("s").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("s")
-    # A text's shingles on no such list are in no text of another group that shares a later one of its
-    # short lists. So of a text's shingles up to a shared one only ``rank`` + 1 can be shared.
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("at")) - 1
-    open_ = cut(placed.join(mixed, "s", "left_semi").withColumn("rank", rank).withColumn("left", F.col("n") - F.col("at") - 1))
-    smaller = open_.where("early").select("s", F.col("id").alias("v"), F.col("n").alias("m"), F.col("g").alias("h"), F.col("rank").alias("rank_v"), F.col("left").alias("left_v"))
-    after = (F.col("n") > F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("id") > F.col("v")))
-    overlap = F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent))
-    reach = F.least("rank", "rank_v") + 1 + F.least("left", "left_v") >= overlap
-    together = open_.join(smaller, "s").where(after & (F.col("g") != F.col("h")) & _may_link(F.col("n"), F.col("m"), percent) & reach)
-    merged = together.groupBy(F.col("id").alias("u"), "v").agg(
-        F.count("*").alias("occurs"), F.first("n").alias("n"), F.first("m").alias("m"), F.min("left").alias("left"), F.min("left_v").alias("left_v"))
-    # What may still follow the last shared short list.
-    whole = F.col("occurs") + F.least("left", "left_v") >= overlap
-    return merged.where((F.col("occurs") >= _needed(F.col("m"), percent)) & whole).select("u", "v")
-
-
-def _same_id(nodes: DataFrame) -> DataFrame:
-    """Links that make the texts of one id one node, where an id has several."""
-    some = nodes.where("n > 0 and id is not null").groupBy("id").agg(F.count_distinct("d1", "d2").alias("kinds")).where("kinds > 1").select("id")
-    kinds = nodes.where("n > 0").join(some, "id", "left_semi").select("id", "d1", "d2").distinct()
-    least = nodes.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("v"))
-    return kinds.join(least, ["d1", "d2"]).select(F.col("id").alias("u"), "v")
+    # A set's shingles on no such list are in no set of another group that shares a later one of its
+    # short lists. So of a set's shingles up to a shared one only ``rank`` + 1 can be shared. Entries from which
+    # a set can't reach the overlap that it needs with any partner go before lists are put together.
+    rank = F.row_number().over(Window.partitionBy("c").orderBy("at")) - 1
+    open_ = placed.join(mixed, "s", "left_semi").withColumn("rank", rank).withColumn("left", F.col("n") - F.col("at") - 1)
+    open_ = cut(open_.where(F.col("rank") + 1 + F.col("left") >= F.ceil(F.col("n") * percent / 100)))
+    longest = open_.groupBy("s").count().agg(F.max("count")).first()[0] or 0
+    part = F.pmod(F.xxhash64("c"), F.lit(-(-longest // RUN) or 1)).alias("part")
+    entry = F.struct("c", "n", "g", "rank", "left")
+    runs = open_.groupBy("s", part).agg(F.sort_array(F.collect_list(entry)).alias("run"))
+    runs = runs.select("s", "part", *[F.col(f"run.{x}").alias(f"{x}_run") for x in ("c", "n", "g", "rank", "left")])
+    asks = open_.where("early").select("s", F.col("c").alias("v"), "n", "g", "rank", "left")
+    found = asks.join(runs.where(F.size("c_run") > 0), "s").drop("s")
+
+    def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held = None, []
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                if (row.v, row.part) != now:
+                    out += _candidates(held, percent)
+                    now, held = (row.v, row.part), []
+                held.append(row)
+            yield pd.DataFrame(out, columns=["u", "v"], dtype=np.int64)
+        yield pd.DataFrame(_candidates(held, percent), columns=["u", "v"], dtype=np.int64)
+
+    return found.repartition("v", "part").sortWithinPartitions("v", "part").mapInPandas(merged, "u bigint, v bigint")
+
+
+def _candidates(rows: list, percent: int) -> list[tuple[int, int]]:
+    """One class against parts of its short lists: (u, v) of what occurs in enough of them and may yet share enough."""
+    if not rows:
+        return []
+    v, m, h = rows[0].v, rows[0].n, rows[0].g
+    runs, lefts = [], []
+    for row in rows:
+        n, left = row.n_run, np.minimum(row.left_run, row.left)
+        after = (n > m) | ((n == m) & (row.c_run > v))
+        overlap = -(-(n + m) * percent // (100 + percent))
+        some = after & (row.g_run != h) & (m * 100 >= n * percent) & (np.minimum(row.rank_run, row.rank) + 1 + left >= overlap)
+        runs.append(row.c_run[some].tolist())
+        lefts.append(dict(zip(runs[-1], zip(left[some].tolist(), overlap[some].tolist()))))
+    need = int(min(OCCURRENCES, -(-m * percent // 100)))
+    out = []
+    for u, among in merge_skip(runs, need):
+        left, overlap = min(lefts[k][u] for k in among)
+        if len(among) + left >= overlap:  # what may still follow the last shared short list
+            out.append((u, v))
+    return out
 
 
 def one_of_each(documents: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``documents``, of each group of linked texts those of the smallest id only, once.
-    Texts without words and rows without an id all stay."""
-    groups = joined(documents, width, percent, doc_id, text)
-    gone = groups.where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    left = documents.join(gone, documents[doc_id] == gone["gone_id"], "left_anti")
-    once = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("twice_id"))
-    single = left.join(once, left[doc_id] == once["twice_id"], "left_anti")
-    return single.unionAll(left.join(once, left[doc_id] == once["twice_id"], "left_semi").dropDuplicates([doc_id]))
+    """The rows of ``documents``, of each group of linked texts one row: the one of the smallest id, of those with one id
+    the one whose text has the smallest hash. Rows of one id whose texts don't link all stay; so do texts
+    without words. A row without an id comes after those with one."""
+    nodes, classes, links = _linked(_rows(documents, doc_id, text), width, percent)
+    done = components(links).withColumnsRenamed({"id": "u", "component": "v"})
+    of = cut(classes.join(done, F.col("c") == F.col("u"), "left").select("d1", "d2", F.coalesce("v", "c").alias("v")))
+    texts = cut(nodes.join(of, ["d1", "d2"]).groupBy("id", "tk", "v").agg(F.count("*").alias("rows")))
+    place = F.struct(F.col("id").isNull().alias("x"), F.col("id").alias("y"), F.col("tk").alias("z"))
+    stays = texts.groupBy("v").agg(F.min(place).alias("stays")).withColumnRenamed("v", "w")
+    judged = cut(texts.join(stays, F.col("v") == F.col("w")).select("id", "tk", "rows", (place == F.col("stays")).alias("kept")))
+    gone = judged.where("not kept").select(F.col("id").alias("gone_id"), F.col("tk").alias("gone_tk"))
+    more = judged.where("kept and rows > 1").select(F.col("id").alias("gone_id"), F.col("tk").alias("gone_tk"))
+
+    def same(rows: DataFrame, others: DataFrame) -> Column:
+        return rows[doc_id].cast("long").eqNullSafe(others["gone_id"]) & (F.xxhash64(text_or_empty(rows[text])) == others["gone_tk"])
+
+    left = documents.join(gone, same(documents, gone), "left_anti")
+    single = left.join(more, same(left, more), "left_anti")
+    return single.unionAll(left.join(more, same(left, more), "left_semi").dropDuplicates([doc_id, text]))
 
 
 def op7_occurrence_join(spark: SparkSession, folder: str) -> DataFrame:

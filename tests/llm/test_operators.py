@@ -359,6 +359,42 @@ def test_jaccard_awkward(awkward, none):
     left = jaccard_join.one_of_each(awkward)
     assert left.columns == awkward.columns
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(map(str, [None, None, 1, 2, 3, 4, 6, 8, 10, 11]))
+
+
+def test_unlike_texts_of_one_id_all_stay(spark):
+    rows = [(1, prose(1)), (1, prose(2)), (1, prose(2)), (1, ""), (1, None), (2, prose(2) + " x"), (None, prose(1)), (None, prose(9)), (None, prose(9)), (3, prose(3))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in jaccard_join.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([(1, prose(1)), (1, prose(2)), (1, ""), (1, None), (None, prose(9)), (3, prose(3))], key=str)
+    # As documents, the texts of one id are one node: what is like any of them is in its component.
+    out = jaccard_join.joined(docs, 5, 80).where("doc_id is not null").collect()
+    assert {(r.doc_id, r.component_id) for r in out} == {(1, 1), (2, 1), (3, 3)} and len(out) == 7
+
+
+def test_merge_skip():
+    r = random.Random(6)
+    for _ in range(300):
+        runs = [sorted(r.sample(range(30), r.randrange(20))) for _ in range(r.randrange(1, 7))]
+        need = r.randrange(1, 5)
+        expected = {x: {k for k, run in enumerate(runs) if x in run} for x in range(30)}
+        assert {x: set(among) for x, among in jaccard_join.merge_skip(runs, need)} == {x: k for x, k in expected.items() if len(k) >= need}
+
+
+def test_probes():
+    r = np.random.default_rng(5)
+    for _ in range(300):
+        a, b = (np.unique(r.integers(0, 200, r.integers(1, 300))) for _ in range(2))
+        shared = len(np.intersect1d(a, b))
+        assert jaccard_join.overlaps(a, b, 60) == (100 * shared >= 60 * (len(a) + len(b) - shared))
+
+
+def test_texts_of_one_sentence_are_not_all_paired(spark):
+    """Own words of each text keep it from its like, and the common sentence's list is left before pairs are made."""
+    texts = spark.range(3_000).selectExpr("id AS doc_id", "concat('the same old sentence stands in all of these texts w', id * 3, ' w', id * 3 + 1, ' w', id * 3 + 2) AS text")
+    assert jaccard_join.joined(texts).where("doc_id != component_id").count() == 0
+
+
+def test_nothing_to_join(awkward, none):
     assert jaccard_join.joined(none).count() == jaccard_join.one_of_each(none).count() == 0
 
 
