@@ -189,11 +189,11 @@ def _verified(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int)
         for batch in batches:
             yield batch.loc[[overlaps(a, b, percent) for a, b in zip(batch["a"], batch["b"])], ["u", "v"]]
 
-    def side(df: DataFrame, node: str, name: str) -> DataFrame:
-        of = reps.select(F.col("c").alias(node), "i", "tk")
-        return df.join(of, node).join(sets.withColumnRenamed("s", name), ["i", "tk"]).drop("i", "tk")
-
-    return side(side(pairs, "u", "a"), "v", "b").select("u", "v", "a", "b").mapInPandas(probe, "u bigint, v bigint")
+    for node, name in (("u", "a"), ("v", "b")):
+        pairs = pairs.join(reps.select(F.col("c").alias(node), F.col("i").alias(f"i_{name}"), F.col("tk").alias(f"tk_{name}")), node)
+    for name in ("a", "b"):  # sets come last, so that each moves once
+        pairs = pairs.join(sets.select(F.col("i").alias(f"i_{name}"), F.col("tk").alias(f"tk_{name}"), F.col("s").alias(name)), [f"i_{name}", f"tk_{name}"]).drop(f"i_{name}", f"tk_{name}")
+    return pairs.select("u", "v", "a", "b").mapInPandas(probe, "u bigint, v bigint")
 
 
 def _shared_lists(classes: DataFrame, percent: int) -> DataFrame:
@@ -241,7 +241,9 @@ def _linked(rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
         stars = shared.where(F.col("c") != F.col("lead")).groupBy(F.col("c").alias("u"), F.col("lead").alias("v")).agg(F.count("*").alias("occurs"), F.max("n").alias("n"))
         stars = stars.where(F.col("occurs") >= _needed(F.col("n"), percent)).select("u", "v")
         near = cut(_verified(stars, reps, sets, percent))
-        rest = _unlike(shared, components(near), percent)
+        let_go(rows.sparkSession)
+        rest = cut(_unlike(shared, components(near), percent))
+        let_go(rows.sparkSession)
         links = cut(near.unionAll(_verified(rest, reps, sets, percent)))
     return nodes, classes.select("d1", "d2", "c"), links
 
