@@ -92,7 +92,7 @@ def _merged_scan(spark: SparkSession, paths: Sequence[str], **options: str) -> D
 
 def _files(spark: SparkSession, path: str) -> list[tuple[str, str | None]]:
     """The files that Spark reads for a path, whatever their names, and the folder that their partition columns count from."""
-    fs, at = _file_system(spark, path)
+    fs, at = file_system(spark, path)
     files: list[tuple[str, str | None]] = []
     for found in fs.globStatus(at(path)) or ():
         root = found.getPath().toString()
@@ -190,7 +190,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     path = path.rstrip("/")
     mark = uuid.uuid4().hex
     fresh, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
-    fs, at = _file_system(df.sparkSession, path)
+    fs, at = file_system(df.sparkSession, path)
     try:
         (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(fresh)
     except Exception:
@@ -207,7 +207,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
         fs.delete(at(old), True)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """The file system that holds a path, as Spark sees it, and how it names paths."""
     at = spark._jvm.org.apache.hadoop.fs.Path
     return at(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
@@ -230,7 +230,7 @@ def land_month(df: DataFrame, path: str, month: str, force: bool = False) -> Non
     A folder without ``_SUCCESS`` is what a crash left, and is landed again.
     """
     folder = f"{path.rstrip('/')}/month={month}"
-    fs, at = _file_system(df.sparkSession, folder)
+    fs, at = file_system(df.sparkSession, folder)
     if force or not fs.exists(at(f"{folder}/_SUCCESS")):
         df.write.mode("overwrite").parquet(folder)
 

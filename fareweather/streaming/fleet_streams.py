@@ -79,16 +79,21 @@ def hotspot_candidates(
 def write_lanes(stream: DataFrame, lanes: dict[str, str], checkpoint: str) -> StreamingQuery:
     """One stream to several Parquet folders by its ``lane`` column.
 
-    Each lane's folder holds one subfolder per micro-batch, overwritten when the
-    batch runs again, so a restart neither loses nor repeats a row.
+    Each lane's folder holds one subfolder per run and micro-batch, overwritten when the
+    batch runs again, so a restart neither loses nor repeats a row; a stream with a new checkpoint is
+    a new run and leaves what others wrote. A row of a lane that has no folder stops the stream.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         batch = batch.persist()
         try:
+            unknown = batch.where(~F.coalesce(F.col("lane").isin(list(lanes)), F.lit(False))).select("lane").first()
+            if unknown is not None:
+                raise ValueError(f"no folder for lane {unknown.lane!r}")
             for lane, path in lanes.items():
                 part = batch.where(F.col("lane") == lane)
-                part.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+                part.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}/batch={batch_id}")
         finally:
             batch.unpersist()
 
