@@ -4,13 +4,82 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Settings
 from .joins import sized_for_broadcast
 
 
+class CheckFailed(ValueError):
+    """A table breaks a check that later tables rely on."""
+
+
+def is_missing(column: str, where: str | None = None) -> Column:
+    """Condition of a violation: null, in the rows that ``where`` is true of."""
+    return _where(where) & F.col(f"`{column}`").isNull()
+
+
+def is_outside(column: str, low: float | None, high: float | None, where: str | None = None) -> Column:
+    """Condition of a violation: not in [low, high]; null passes."""
+    value, outside = F.col(f"`{column}`"), F.lit(False)
+    if low is not None:
+        outside = outside | (value < low)
+    if high is not None:
+        outside = outside | (value > high)
+    return _where(where) & F.coalesce(outside, F.lit(False))
+
+
+def is_future(column: str, as_of: Column, where: str | None = None) -> Column:
+    """Condition of a violation: later than ``as_of``."""
+    return _where(where) & F.coalesce(F.col(f"`{column}`") > as_of, F.lit(False))
+
+
+def _where(where: str | None) -> Column:
+    return F.lit(True) if where is None else F.coalesce(F.expr(where), F.lit(False))
+
+
+def counted(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """(check_name, violations) of any number of checks, in one pass over the rows."""
+    one_row = df.agg(*[F.count_if(c).alias(f"c{i}") for i, c in enumerate(conditions.values())])
+    pairs = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").alias("violations")) for i, n in enumerate(conditions)])
+    return one_row.select(F.inline(pairs))
+
+
+class Gate:
+    """Checks counted while a table is written, by the write's own pass.
+
+    ``watched`` is the table with its counters attached; after the write ``violations`` has
+    them and ``demand`` raises if there are any. ``measures`` are further aggregates to keep.
+    """
+
+    def __init__(self, df: DataFrame, conditions: dict[str, Column], measures: dict[str, Column] | None = None):
+        self.names, self.measured = list(conditions), list(measures or {})
+        self.observation = Observation()
+        counters = [F.count_if(c).alias(f"c{i}") for i, c in enumerate(conditions.values())]
+        kept = [m.alias(f"m{i}") for i, m in enumerate((measures or {}).values())]
+        self.watched = df.observe(self.observation, F.count(F.lit(1)).alias("rows"), *counters, *kept)
+
+    @property
+    def rows(self) -> int:
+        return self.observation.get["rows"]
+
+    @property
+    def violations(self) -> dict[str, int]:
+        found = self.observation.get
+        return {n: found[f"c{i}"] for i, n in enumerate(self.names)}
+
+    @property
+    def measures(self) -> dict:
+        found = self.observation.get
+        return {n: found[f"m{i}"] for i, n in enumerate(self.measured)}
+
+    def demand(self, table: str) -> None:
+        broken = {n: v for n, v in self.violations.items() if v}
+        if broken:
+            raise CheckFailed(f"{table}: " + ", ".join(f"{n} in {v} rows" for n, v in broken.items()))
+
+
 def _scoped(df: DataFrame, where: Column | str | None) -> DataFrame:
     return df if where is None else df.where(where)
 
@@ -110,6 +179,6 @@ def require_unique_hour(weather: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "accepted_range", "freshness", "join_fanout", "no_future", "not_null",
+    "CheckFailed", "Gate", "accepted_range", "counted", "is_future", "is_missing", "is_outside", "freshness", "join_fanout", "no_future", "not_null",
     "require_unique_hour", "unique", "unmatched_hours", "violation_count",
 ]

@@ -86,11 +86,15 @@ def long_form(one_row: DataFrame, columns: Sequence[str], name: str, value: str)
     return one_row.select(F.inline(pairs))
 
 
+def rule_counters(rules: Sequence[Rule] = TRIP_RULES) -> dict[str, Column]:
+    """Aggregates: rows of every flag, the valid rows and the undecided rows."""
+    counters = {r.name: F.count_if(F.col(r.name)) for r in rules}
+    return counters | {"is_valid": F.count_if("is_valid"), UNDETERMINED: F.count_if(F.col("is_valid").isNull())}
+
+
 def rule_counts(df: DataFrame, rules: Sequence[Rule] = TRIP_RULES) -> DataFrame:
     """(rule, rows) for every flag, the valid rows and the undecided rows, in one pass."""
-    counters = {r.name: F.count_if(F.col(r.name)) for r in rules}
-    counters["is_valid"] = F.count_if("is_valid")
-    counters[UNDETERMINED] = F.count_if(F.col("is_valid").isNull())
+    counters = rule_counters(rules)
     one_row = df.agg(*[c.alias(n) for n, c in counters.items()])
     return long_form(one_row, list(counters), "rule", "rows")
 

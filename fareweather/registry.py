@@ -293,11 +293,20 @@ def check_unique(t: Tables) -> DataFrame:
 
 @job
 def check_not_null(t: Tables) -> DataFrame:
-    fact_columns = ["pickup_utc", "pickup_local", "pickup_hour_utc", "duration_seconds", "total_amount", "pickup_date_local"]
+    """Columns with nulls, per table: each table is built once, the mart from the grouped facts."""
+    fact_columns = ("pickup_utc", "pickup_local", "pickup_hour_utc", "duration_seconds", "total_amount", "pickup_date_local")
+    cells = t.facts.groupBy(*marts.CELL).agg(
+        *[F.count_if(checks.is_missing(c)).alias(f"_{c}") for c in fact_columns], F.count(F.lit(1)).alias("trips"), F.sum("total_amount").alias("revenue"),
+    )
+    in_mart = "pickup_zone IS NOT NULL"
+    mart_columns = ("pickup_zone", "pickup_date_local", "trips", "revenue")
+    both = cells.agg(
+        sum((F.coalesce(F.sum(f"_{c}"), F.lit(0)) > 0).cast("bigint") for c in fact_columns).alias("facts"),
+        sum((F.count_if(checks.is_missing(c, in_mart)) > 0).cast("bigint") for c in mart_columns).alias("mart"),
+    )
     return _together(
-        checks.violation_count(checks.not_null(t.facts, fact_columns), "facts"),
+        rules.long_form(both, ["facts", "mart"], "check_name", "violations"),
         checks.violation_count(checks.not_null(t.weather, ["observed_hour_utc"]), "weather"),
-        checks.violation_count(checks.not_null(t.mart, ["pickup_zone", "pickup_date_local", "trips", "revenue"]), "mart"),
         checks.violation_count(
             checks.not_null(t.raw_trips, ["tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance", "Airport_fee"]),
             "raw",
@@ -307,12 +316,12 @@ def check_not_null(t: Tables) -> DataFrame:
 
 @job
 def check_accepted_range(t: Tables) -> DataFrame:
+    """All ranges of a table in one pass over it."""
     return _together(
-        checks.violation_count(checks.accepted_range(t.weather, "temperature_c", -40, 55), "temperature"),
-        checks.violation_count(
-            checks.accepted_range(t.staged, "duration_seconds", 1, 86_400, where="is_valid"), "valid_duration"
-        ),
-        checks.violation_count(checks.accepted_range(t.staged, "duration_seconds", 1, 86_400), "any_duration"),
+        checks.counted(t.weather, {"temperature": checks.is_outside("temperature_c", -40, 55)}),
+        checks.counted(t.staged, {
+            "valid_duration": checks.is_outside("duration_seconds", 1, 86_400, "is_valid"), "any_duration": checks.is_outside("duration_seconds", 1, 86_400),
+        }),
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -139,17 +139,16 @@ def scan_union_by_name(
     """Parquet files of drifting schemas as one table, each row with its file's path.
 
     ``row`` names a further column with the row's number in its file; path and
-    number together identify a row for good. Where all types agree Spark merges the
+    number together identify a row for good. Landed files that have these columns keep them. Where all types agree Spark merges the
     schemas itself, reading the footers in parallel, and one scan is enough. Where a
     type drifted, as from whole numbers to fractions, the files are grouped by the
     schema in their footer, and the scans, one for each schema, are widened.
     """
     paths = list(paths)
-    origin = [F.col("_metadata.file_path").alias(lineage)]
-    if row:
-        origin.append(F.col("_metadata.row_index").alias(row))
+    origin = {lineage: F.col("_metadata.file_path")} | ({row: F.col("_metadata.row_index")} if row else {})
     scan = _merged_scan(spark, paths)
-    frames = [x.select("*", *origin) for x in ([scan] if scan is not None else _scan_per_schema(spark, paths))]
+    scans = [scan] if scan is not None else _scan_per_schema(spark, paths)
+    frames = [x.select("*", *[c.alias(n) for n, c in origin.items() if n not in x.columns]) for x in scans]
     return frames[0] if len(frames) == 1 else union_by_name(frames)
 
 
@@ -181,10 +180,12 @@ def with_lineage(df: DataFrame, origin: Column | str, name: str = "_ingested_fro
     return df.withColumn(name, F.lit(origin) if isinstance(origin, str) else origin)
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), verify: Callable[[DataFrame], None] | None = None
+) -> None:
     """Full refresh: written beside the table, swapped in after success.
 
-    A write that fails leaves the table before as it was. Between the two renames of the
+    ``verify`` gets the written rows before the swap and may raise. A write that fails or isn't verified leaves the table before as it was. Between the two renames of the
     swap the table is under ``<path>.old-...``; nothing is removed before the new one is in place.
     """
     path = path.rstrip("/")
@@ -193,6 +194,8 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     fs, at = file_system(df.sparkSession, path)
     try:
         (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(fresh)
+        if verify is not None:
+            verify(df.sparkSession.read.schema(df.schema).parquet(fresh))
     except Exception:
         fs.delete(at(fresh), True)
         raise
@@ -224,14 +227,17 @@ def append_by_region_and_day(df: DataFrame, path: str, region: str, ts: str) ->
     parted.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).parquet(path)
 
 
-def land_month(df: DataFrame, path: str, month: str, force: bool = False) -> None:
-    """One month into its folder: a month that landed whole is kept unless forced.
+def has_landed(spark: SparkSession, path: str, month: str) -> bool:
+    """If a month landed whole; a folder without ``_SUCCESS`` is what a crash left."""
+    done = f"{path.rstrip('/')}/month={month}/_SUCCESS"
+    fs, at = file_system(spark, done)
+    return fs.exists(at(done))
 
-    A folder without ``_SUCCESS`` is what a crash left, and is landed again.
-    """
+
+def land_month(df: DataFrame, path: str, month: str, force: bool = False) -> None:
+    """One month into its folder: a month that landed whole is kept unless forced."""
     folder = f"{path.rstrip('/')}/month={month}"
-    fs, at = file_system(df.sparkSession, folder)
-    if force or not fs.exists(at(f"{folder}/_SUCCESS")):
+    if force or not has_landed(df.sparkSession, path, month):
         df.write.mode("overwrite").parquet(folder)
 
 

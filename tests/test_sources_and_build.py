@@ -80,7 +80,7 @@ def test_build_on_synthetic_data(spark, landed):
     assert set(tables) == {name for names in build.TABLES.values() for name in names}
     assert {n: df.count() for n, df in tables.items()} == {
         "trips": 18, "weather": 30, "taxi_zones": 6, "stg_trips": 18, "stg_weather": 30, "fct_trips": 18,
-        "agg_zone_hour_demand": 18,
+        "agg_zone_hour_demand": 18, "dq_report_header": 1, "dq_report_findings": 14, "silver_trips_quarantine": 0, "dq_rule_counts": 13,
     }
     assert {r.violations for r in build.layer_checks(tables).collect()} == {0}
     facts = tables["fct_trips"]
@@ -101,6 +101,73 @@ def test_build_stops_on_a_repeated_hour(spark, landed):
         run_build(spark, landed)
 
 
+def test_a_failing_check_stops_gold_and_keeps_the_tables_before(spark, landed):
+    run_build(spark, landed)
+    before = {n: spark.read.parquet(str(landed / "tables" / "gold" / n)).count() for n in build.TABLES["gold"]}
+    hot = list(synthetic_weather()[5])
+    hot[0], hot[1] = "2024-01-17T00:00", 61.0
+    spark.createDataFrame([tuple(hot)], WEATHER).write.mode("append").parquet(str(landed / "raw" / "weather"))
+    more = spark.read.parquet(str(landed / "raw" / "a")).limit(1)
+    more.write.mode("append").parquet(str(landed / "raw" / "a"))
+    with pytest.raises(build.CheckFailed, match="stg_weather: temperature_c range in 1 rows"):
+        run_build(spark, landed)
+    assert spark.read.parquet(str(landed / "tables" / "silver" / "stg_weather")).count() == 30, "the table before stays"
+    assert {n: spark.read.parquet(str(landed / "tables" / "gold" / n)).count() for n in build.TABLES["gold"]} == before
+    assert not [p for p in (landed / "tables").rglob("*.new-*")]
+
+
+def test_checks_as_of_a_time(spark, landed):
+    paths = [str(landed / "raw" / "a"), str(landed / "raw" / "b")], [str(landed / "raw" / "weather")], str(landed / "zones.csv")
+    with pytest.raises(build.CheckFailed, match="no_future in 1[0-9] rows"):
+        build.build_all(spark, *paths, str(landed / "t1"), as_of=ntz("2024-01-15 18:00:00"))
+    with pytest.raises(build.CheckFailed, match="too old"):
+        build.build_all(spark, *paths, str(landed / "t2"), as_of=ntz("2024-03-01 00:00:00"))
+    tables = build.build_all(spark, *paths, str(landed / "t3"), as_of=ntz("2024-01-16 12:00:00"))
+    found = {r.check_name: r.violations for r in build.layer_checks(tables, as_of=ntz("2024-01-16 12:00:00")).collect()}
+    assert set(found.values()) == {0} and {"trips freshness", "stg_trips.pickup_utc no_future"} <= set(found)
+
+
+def test_quarantine_and_counts_are_tables(spark, landed):
+    bad = spark.read.parquet(str(landed / "raw" / "a")).limit(3).withColumn("trip_distance", F.lit(900.0))
+    bad.write.mode("append").parquet(str(landed / "raw" / "a"))
+    tables = run_build(spark, landed)
+    assert {r.failure_reason for r in tables["silver_trips_quarantine"].collect()} <= {"dq_implausible_distance", "dq_duplicate_row", "dq_implausible_distance,dq_duplicate_row"}
+    counts = {r.rule: r.rows for r in tables["dq_rule_counts"].collect()}
+    assert counts["dq_implausible_distance"] == 3 and counts["is_valid"] == tables["fct_trips"].count() == 21 - tables["silver_trips_quarantine"].count()
+
+
+def test_months_land_and_build(spark, landed):
+    for month, part in (("2024-01", "a"), ("2024-02", "b")):
+        spark.read.parquet(str(landed / "raw" / part)).write.parquet(str(landed / "publisher" / f"trips_{month}"))
+        spark.createDataFrame(synthetic_weather(), WEATHER).where(F.lit(month == "2024-01")).write.parquet(str(landed / "publisher" / f"weather_{month}"))
+    build_ = lambda asked, **how: build.build_months(
+        spark, asked, str(landed / "publisher" / "trips_{month}"), str(landed / "publisher" / "weather_{month}"), str(landed / "zones.csv"),
+        str(landed / "landing"), str(landed / "tables"), **how)
+    assert build_("2024-01")["stg_trips"].count() == 10
+    assert build_("2024-01, 2024-02")["stg_trips"].count() == 18
+    spark.read.parquet(str(landed / "raw" / "b")).write.mode("overwrite").parquet(str(landed / "publisher" / "trips_2024-01"))
+    assert build_("2024-01")["stg_trips"].count() == 10, "landed before"
+    assert build_("2024-01", force=True)["stg_trips"].count() == 8
+    with pytest.raises(ValueError):
+        build_("2024-13")
+
+
+def test_plans_of_checks_build_a_table_once(spark, small):
+    from fareweather import registry
+
+    plan = lambda name: registry.queries()[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan("check_not_null").count("Window [row_number") == 1
+    assert plan("check_accepted_range").count("Window [row_number") == 1
+
+
+def test_spine_refuses_a_wrong_clock(spark):
+    bounds = spark.sql("SELECT timestamp_ntz'2024-01-01 05:10:00' AS low, timestamp_ntz'9999-01-01 00:00:00' AS high")
+    with pytest.raises(Exception, match="hour spine of 29"):
+        months.hour_spine(bounds, "low", "high").count()
+    none = spark.sql("SELECT cast(null AS timestamp_ntz) AS low, cast(null AS timestamp_ntz) AS high")
+    assert months.hour_spine(none, "low", "high").count() == 0
+
+
 def test_facts_prune_by_date(spark, landed):
     facts = run_build(spark, landed)["fct_trips"]
     plan = facts.where("pickup_date_local = date'2024-01-15'")._jdf.queryExecution().executedPlan().toString()
