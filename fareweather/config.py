@@ -41,15 +41,17 @@ class Settings:
     min_observations: int = 10
     min_revenue_trips: int = 1000
 
-    # Sizes. A side is broadcast only when it is known to be at most
-    # broadcast_bytes; above it the join is salted. A duplicate group above
-    # hot_group_rows is ranked by several tasks. Inputs below task_bytes fit
-    # one task whole, so they need no look at their groups.
+    # Sizes. A side is broadcast only when it is known to have at most
+    # broadcast_rows rows and broadcast_bytes; above that the join deals keys that hold
+    # more than a task's share of the rows over as many tasks. A duplicate group above hot_group_rows unlike rows is
+    # ranked by several tasks if groups are looked at, which takes a job before the plan. Up to task_rows
+    # rows are one task's work, whatever their groups.
     broadcast_bytes: int = 64 * 1024 * 1024
     broadcast_rows: int = 500_000
-    salts: int = 32
+    hot_keys: int = 1000
+    task_rows: int = 500_000
     hot_group_rows: int = 2_000_000
-    task_bytes: int = 256 * 1024 * 1024
+    look_for_hot_groups: bool = False
 
     @property
     def zone_years(self) -> tuple[int, int]:

@@ -2,42 +2,55 @@
 
 The hour key and the zone keys are few and hot: a shuffle join on them would send
 most trips to few tasks. The dimension is therefore broadcast when its size is
-known to be small, and otherwise repeated over salts so that a hot key's trips
-spread over as many tasks.
+known to be small. Otherwise a frequency sketch of the facts finds the hot keys, and only these
+are dealt over tasks, as many as their share of the rows asks for.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULTS, Settings
-from ..sources.shared import estimated_bytes, written
 
 
 def sized_for_broadcast(dim: DataFrame, settings: Settings = DEFAULTS) -> tuple[DataFrame, bool]:
-    """The dimension and whether it is known to be small.
+    """The dimension and whether it is known to be small: its rows are counted and their bytes added up, as far as the limit."""
+    varying = [F.octet_length(F.col(f"`{f.name}`").cast("string")) for f in dim.schema.fields if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))]
+    width = F.lit(8 * len(dim.columns))
+    for w in varying:
+        width = width + F.coalesce(w, F.lit(0))
+    some = dim.limit(settings.broadcast_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return dim, some.rows <= settings.broadcast_rows and some.bytes <= settings.broadcast_bytes
 
-    Estimates are of compressed files, so the rows are counted in any case, up to
-    the limit. A large estimate says nothing (a grouped table is estimated like its
-    input), so the dimension is then written once, which gives its real size.
+
+def hot_keys(facts: DataFrame, on: list[str], tasks: int, most: int = DEFAULTS.hot_keys) -> DataFrame:
+    """Hashes of keys (``_key``) that hold more than one task's share of the rows, and ``_salts``, how many shares.
+
+    By a sketch of frequent items, which combines before its shuffle: at most ``most`` rows, found as the plan
+    runs. A sketch's count may be somewhat low, so a key just above its share may be missed, and never a hot one.
     """
-    if estimated_bytes(dim) > settings.broadcast_bytes:
-        dim = written(dim)
-        if estimated_bytes(dim) > settings.broadcast_bytes:
-            return dim, False
-    return dim, dim.limit(settings.broadcast_rows + 1).count() <= settings.broadcast_rows
+    hashed = facts.select(F.xxhash64(*on).alias("_k"))
+    sketched = hashed.agg(F.expr(f"approx_top_k(_k, {most}, {8 * most})").alias("top"), F.count(F.lit(1)).alias("rows"))
+    each = sketched.select("rows", F.inline("top").alias("_key", "n"))
+    shares = F.ceil(F.col("n") * tasks / F.col("rows")).cast("int")
+    return each.select("_key", shares.alias("_salts")).where("_salts > 1")
 
 
-def salted_join(facts: DataFrame, dim: DataFrame, on: list[str], how: str, salts: int) -> DataFrame:
-    """Equi-join with each dimension row repeated per salt and each fact on one salt.
+def salted_join(facts: DataFrame, dim: DataFrame, on: list[str], how: str, tasks: int, most: int = DEFAULTS.hot_keys) -> DataFrame:
+    """Equi-join in which rows of a hot key go to as many tasks as its share, and only its dimension row is repeated.
 
-    The salt is a hash of the fact's own values (but maps, which have no hash), so a
+    A fact's salt is a hash of its own values (but maps, which have no hash), so a
     task that runs again gives the same rows. ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``.
     """
-    hashed = [F.col(f"`{f.name}`") for f in facts.schema.fields if '"map"' not in f.dataType.json()]
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
-    repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = hot_keys(facts, on, tasks, most)
+    hashed: list[Column] = [F.col(f"`{f.name}`") for f in facts.schema.fields if '"map"' not in f.dataType.json()]
+    with_share = facts.withColumn("_key", F.xxhash64(*on)).join(F.broadcast(hot), "_key", "left")
+    salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(*hashed), F.col("_salts")).cast("int")).otherwise(F.lit(0))
+    salted = with_share.withColumn("_salt", salt).drop("_key", "_salts")
+    shared = dim.withColumn("_key", F.xxhash64(*on)).join(F.broadcast(hot), "_key", "left")
+    repeated = shared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_key", "_salts")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
@@ -46,7 +59,10 @@ def _join_sized(
 ) -> DataFrame:
     if small:
         return facts.join(F.broadcast(dim), on, how)
-    return salted_join(facts, dim, on, how, settings.salts)
+    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if facts.isStreaming:  # a stream can't be looked at first
+        return facts.join(dim, on, how)
+    return salted_join(facts, dim, on, how, tasks, settings.hot_keys)
 
 
 def attach(

@@ -1,11 +1,11 @@
 """Duplicate ranks and counts.
 
-``duplicate_rank`` keeps every row and numbers the rows of each duplicate group.
-A plain window sorts a group in one task, which is right for ordinary data and
-wrong for a group that holds a large share of all rows. Large inputs are
-therefore looked at first, by one aggregation that combines before its shuffle.
-Groups found hot are ranked by several tasks; all others take the plain window.
-Both ways give the same ranks.
+``duplicate_rank`` keeps every row and numbers the rows of each duplicate group. Most rows are a
+group of one: a first pass over the keys alone finds the key hashes that repeat and keeps them as a
+bitmap of bounded size; a row whose bit isn't set has rank 1 and is not shuffled. The others, those that repeat
+and few that share a bit, are ranked by a window. In groups of very many rows, those equal in all columns are
+one row with a number before that, combined before any shuffle, and are spread over tasks when they are written out
+again; such a group of unlike rows may be cut into ranges that several tasks rank. All ways give the same ranks.
 """
 
 from __future__ import annotations
@@ -16,9 +16,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Settings
-from ..sources.shared import estimated_bytes, written
+from ..sources.files import rows_in_files
+from ..sources.shared import cut
 
-_PROBE_BUCKETS = 65_536
+#: Bits of the map of repeated key hashes; it is broadcast as at most a 64th of them in rows.
+MARKS = 1 << 26
+#: Equal rows that one task writes out at a time.
+EQUAL_ROWS = 100_000
 
 # A range partitioner samples each slice on the driver, so their number is bounded;
 # beyond it slices only grow.
@@ -40,25 +44,31 @@ def plain_rank(df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str],
     return df.withColumn(name, F.row_number().over(window))
 
 
+def _bit(hashed: Column) -> Column:
+    return F.pmod(hashed, F.lit(MARKS))
+
+
+def _word(hashed: Column) -> Column:
+    return F.shiftright(_bit(hashed), 6)
+
+
+def repeat_marks(df: DataFrame, keys: Sequence[str], many: int = EQUAL_ROWS) -> DataFrame:
+    """The map of key hashes that occur more than once: ``_word`` and its 64 bits, ``_mask``, and in ``_many`` those of more
+    than ``many`` rows. A null key is a key."""
+    counted = df.select(F.xxhash64(*keys).alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    one = F.expr(f"shiftleft(1L, cast(pmod(_h, {MARKS}) % 64 as int))")
+    return counted.groupBy(_word(F.col("_h")).alias("_word")).agg(
+        F.bit_or(one).alias("_mask"), F.bit_or(F.when(F.col("n") > many, one).otherwise(F.lit(0).cast("bigint"))).alias("_many")
+    )
+
+
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
     """Hashes (``_group``) and sizes (``n``) of groups with more than ``hot_rows`` rows, or None.
 
-    First counts per hash bucket, at most 65,536 numbers. Only if a bucket stands
-    out are its groups counted one by one; there are at most rows / hot_rows of them.
+    There are at most rows / hot_rows of them.
     """
-    hashed = df.select(F.xxhash64(*keys).alias("_group")).withColumn(
-        "_bucket", F.pmod(F.col("_group"), F.lit(_PROBE_BUCKETS)).cast("int")
-    )
-    heavy = [
-        r["_bucket"]
-        for r in hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).collect()
-    ]
-    if not heavy:
-        return None
-    suspects = hashed if len(heavy) > 1000 else hashed.where(F.col("_bucket").isin(heavy))
-    found = written(
-        suspects.groupBy("_group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
-    )
+    counted = df.select(F.xxhash64(*keys).alias("_group")).groupBy("_group").agg(F.count(F.lit(1)).alias("n"))
+    found = cut(counted.where(F.col("n") > hot_rows))
     return None if found.isEmpty() else found
 
 
@@ -68,38 +78,56 @@ def slices_for(hot: DataFrame, hot_rows: int) -> int:
     return int(min(_MAX_SLICES, max(2, rows // max(hot_rows, 1))))
 
 
-def split_rank(
-    df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str], name: str, slices: int
-) -> DataFrame:
-    """Ranks where one group may span many tasks.
+def _first_places(distinct: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFrame:
+    """Unlike rows with a number ``_m`` each: ``_first``, how many rows of their group come before."""
+    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return distinct.withColumn("_first", F.coalesce(F.sum("_m").over(before), F.lit(0)))
+
+
+def _first_places_split(distinct: DataFrame, keys: Sequence[str], order: list[Column], slices: int) -> DataFrame:
+    """The same where one group may span many tasks.
 
     Rows are range-partitioned by (group, order), so a hot group spreads over
-    consecutive slices. The slice number is stored with the rows; a row's rank is
-    its number within (group, slice) plus the group's rows in earlier slices.
-    The last tie-breaker must be unique for slices to be even.
+    consecutive slices. The slice number is stored with the rows; what comes before a row is what comes
+    before it within (group, slice) plus the group's rows in earlier slices.
     """
-    sliced = written(
-        df.repartitionByRange(slices, *keys, *rank_order(by, ties)).withColumn("_slice", F.spark_partition_id())
-    )
-    within = Window.partitionBy("_group", *keys, "_slice").orderBy(*rank_order(by, ties))
-    earlier = (
-        Window.partitionBy("_group", *keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    # One row per hot group and slice: small, and written so that its size is known.
-    offsets = written(
-        sliced.groupBy("_group", *keys, "_slice")
-        .agg(F.count(F.lit(1)).alias("_n"))
+    sliced = cut(distinct.repartitionByRange(slices, *keys, *order).withColumn("_slice", F.spark_partition_id()))
+    within = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per hot group and slice. A struct of the keys, because a key may be null.
+    offsets = (
+        sliced.groupBy(*keys, "_slice").agg(F.sum("_m").alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        # A struct of the keys, because a key may be null.
-        .select(F.struct(*keys).alias("_key"), "_slice", "_before")
+        .select(F.struct(*keys).alias("_key"), F.col("_slice").alias("_part"), "_before")
     )
-    numbered = sliced.withColumn(name, F.row_number().over(within)).withColumn("_key", F.struct(*keys))
-    joined = numbered.alias("r").join(
-        offsets.alias("o"),
-        F.col("r._key").eqNullSafe(F.col("o._key")) & (F.col("r._slice") == F.col("o._slice")),
-    )
-    kept = [F.col(f"r.{c}") for c in df.columns if c != "_group"]
-    return joined.select(*kept, (F.col(f"r.{name}") + F.col("o._before")).cast("int").alias(name))
+    numbered = sliced.withColumn("_in", F.coalesce(F.sum("_m").over(within), F.lit(0)))
+    same = F.struct(*keys).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_part"))
+    joined = numbered.join(offsets, same)
+    return joined.withColumn("_first", F.col("_in") + F.col("_before")).drop("_slice", "_key", "_part", "_before", "_in")
+
+
+def _written_out(placed: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
+    """Each row as often as it was there, ranks ascending, a bounded number of equal rows in a task."""
+    tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = placed.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_m") - 1) / EQUAL_ROWS))))
+    dealt = chunks.repartition(tasks, "_chunk", *columns)
+    start = F.col("_chunk") * EQUAL_ROWS
+    last = F.least(start + EQUAL_ROWS, F.col("_m"))
+    return dealt.withColumn("_k", F.explode(F.sequence(start + 1, last))).select(*columns, (F.col("_first") + F.col("_k")).cast("int").alias(name))
+
+
+def rank_large_groups(df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str], name: str, settings: Settings) -> DataFrame:
+    """Ranks of rows that share their key with very many others."""
+    order = rank_order(by, ties)
+    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_m"))
+    hot = hot_groups(distinct, keys, settings.hot_group_rows) if settings.look_for_hot_groups else None
+    if hot is None:
+        return _written_out(_first_places(distinct, keys, order), name, df.columns)
+    slices = slices_for(hot, settings.hot_group_rows)
+    grouped = distinct.withColumn("_group", F.xxhash64(*keys))
+    usual = _first_places(grouped.join(hot, "_group", "left_anti").drop("_group"), keys, order)
+    split = _first_places_split(grouped.join(hot, "_group", "left_semi").drop("_group"), keys, order, slices)
+    return _written_out(usual.unionByName(split), name, df.columns)
 
 
 def duplicate_rank(
@@ -110,17 +138,23 @@ def duplicate_rank(
     name: str = "_dupe_rank",
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
-    """Rank of each row within its duplicate group, 1 for the row to keep."""
-    if estimated_bytes(df) <= settings.task_bytes:
-        return plain_rank(df, keys, by, ties, name)
-    hot = hot_groups(df, keys, settings.hot_group_rows)
-    if hot is None:
+    """Rank of each row within its duplicate group, 1 for the row to keep.
+
+    Only rows whose key may repeat are shuffled. Building the plan runs no job, unless ``settings`` say that
+    groups of many unlike rows shall be looked for. Where the footers of a few files tell that there are
+    too few rows to be worth a pass over the keys, all are ranked by one window.
+    """
+    rows = rows_in_files(df)
+    if rows is not None and rows <= settings.task_rows:
         return plain_rank(df, keys, by, ties, name)
-    grouped = df.withColumn("_group", F.xxhash64(*keys))
-    slices = slices_for(hot, settings.hot_group_rows)
-    usual = plain_rank(grouped.join(hot, "_group", "left_anti").drop("_group"), keys, by, ties, name)
-    split = split_rank(grouped.join(hot, "_group", "left_semi"), keys, by, ties, name, slices)
-    return usual.unionByName(split)
+    hashed = F.xxhash64(*keys)
+    marked = df.withColumns({"_word": _word(hashed), "_at": (_bit(hashed) % 64).cast("int")})
+    marked = marked.join(F.broadcast(repeat_marks(df, keys, EQUAL_ROWS)), "_word", "left")
+    repeats, many = (F.coalesce(F.expr(f"(shiftright({m}, _at) & 1L) = 1L"), F.lit(False)) for m in ("_mask", "_many"))
+    unique = marked.where(~repeats).select(*df.columns, F.lit(1).alias(name))
+    few = plain_rank(marked.where(repeats & ~many).select(*df.columns), keys, by, ties, name)
+    large = rank_large_groups(marked.where(many).select(*df.columns), keys, by, ties, name, settings)
+    return unique.unionByName(few).unionByName(large)
 
 
 def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:

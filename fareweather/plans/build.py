@@ -113,7 +113,7 @@ def build_silver(
         staging.stage_weather(bronze["weather"], settings), folder, "silver", "stg_weather",
         conditions=table_checks("stg_weather"), verify=_unique_hours,
     )
-    staged = staging.stage_trips(staging.conform_trips(bronze["trips"]), settings)
+    staged = staging.stage_trips(staging.conform_trips(bronze["trips"]), settings.with_(look_for_hot_groups=True))
     trips, gate = _store(
         staged, folder, "silver", "stg_trips", conditions=table_checks("stg_trips", settings, as_of), measures=rules.rule_counters(),
     )

@@ -107,17 +107,33 @@ def _files(spark: SparkSession, path: str) -> list[tuple[str, str | None]]:
     return files
 
 
-def _footer_schema(spark: SparkSession, path: str) -> str:
-    """The schema in a file's footer, as text."""
+def _footer(spark: SparkSession, path, read: Callable):
+    """What ``read`` takes from the footer of a Parquet file."""
     hadoop = spark._jvm.org.apache.parquet.hadoop
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     reader = hadoop.ParquetFileReader.open(hadoop.util.HadoopInputFile.fromPath(at, spark._jsparkSession.sessionState().newHadoopConf()))
     try:
-        return reader.getFileMetaData().getSchema().toString()
+        return read(reader)
     finally:
         reader.close()
 
 
+def _footer_schema(spark: SparkSession, path: str) -> str:
+    return _footer(spark, path, lambda reader: reader.getFileMetaData().getSchema().toString())
+
+
+def rows_in_files(df: DataFrame, most_files: int = 8) -> int | None:
+    """Rows of the Parquet files that a frame reads, by their footers and without a job; None if there are none,
+    more than ``most_files``, or others."""
+    spark, found = df.sparkSession, df.inputFiles()
+    if not 0 < len(found) <= most_files:
+        return None
+    try:
+        return sum(_footer(spark, spark._jvm.java.net.URI(f), lambda reader: reader.getRecordCount()) for f in found)
+    except Py4JJavaError:
+        return None
+
+
 def _scan_per_schema(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
     """One scan for each schema that the files have, and each folder their partition columns count from.
 

@@ -1,16 +1,12 @@
-"""Sizes and written intermediates.
+"""Intermediates that survive lost executors.
 
-A table is broadcast, or ranked in one task, only when its size is known. The
-size comes from the optimizer's own estimate where that is small, else from a
-table written to the shared folder and read back, whose files the optimizer can
-measure. Such a written table also cuts lineage: losing an executor never loses
-it.
+They go to the folder that the cluster names. Spark removes them when nothing refers to them any more, if the
+session has ``spark.cleaner.referenceTracking.cleanCheckpoints``.
 """
 
 from __future__ import annotations
 
 import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,15 +26,9 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder and read back."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/fareweather/{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; it never assumes a filter or a grouping shrinks rows."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes())
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder, so that nothing below is computed again."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()

@@ -38,27 +38,31 @@ def test_attach_takes_each_way(spark):
     rows, df = facts(spark, 400)
     names, dim = dimension(spark)
     want = Counter((i, names.get(k)) for i, k in rows)
-    ways = {
-        "estimated small": DEFAULTS,
-        "measured small": DEFAULTS.with_(broadcast_bytes=3000),
-        "too many rows": DEFAULTS.with_(broadcast_bytes=3000, broadcast_rows=5),
-        "too large": DEFAULTS.with_(broadcast_bytes=0),
-    }
-    # A grouping is estimated like its input, so this one looks larger than it is.
-    grouped = dim.unionAll(dim).unionAll(dim).unionAll(dim).groupBy("k").agg(F.max("name").alias("name"))
+    ways = {"small": DEFAULTS, "too many rows": DEFAULTS.with_(broadcast_rows=5), "too large": DEFAULTS.with_(broadcast_bytes=0)}
     for name, settings in ways.items():
-        joined = joins.attach(df, grouped, ["k"], settings)
+        joined = joins.attach(df, dim, ["k"], settings)
         assert Counter((r.id, r.name) for r in joined.collect()) == want, name
         plan = joined._jdf.queryExecution().optimizedPlan().toString()
-        assert ("strategy=broadcast" in plan) == ("small" in name), name
-
-
-def test_written_table_is_measured(spark):
-    df = spark.range(1000).withColumn("x", F.col("id") % 3).groupBy("x").count()
-    stored = shared.written(df)
-    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.collect()))
-    assert shared.estimated_bytes(stored) < 10_000
-    assert shared.shared_folder(spark) == shared.shared_folder(spark)
+        assert ("approx_top_k" not in plan) == (name == "small"), name
+
+
+def test_only_hot_keys_are_salted(spark):
+    """A key with a third of the rows gets a third of the tasks, other keys one, and so does the missing key if it is hot."""
+    df = spark.range(9_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 AND id % 2 = 0 THEN null ELSE cast(id % 900 as int) + 100 END AS k")
+    hot = {r["_key"]: r["_salts"] for r in joins.hot_keys(df, ["k"], 30).collect()}
+    of = lambda k: spark.range(1).select(F.xxhash64(F.lit(k).cast("int"))).first()[0]
+    assert hot == {of(7): 10, of(None): 5}
+    dim = spark.range(1_500).selectExpr("cast(id as int) AS k", "'n' || id AS name")
+    joined = joins.salted_join(df, dim, ["k"], "left", 30)
+    assert joined.where("k IS NOT NULL AND name != 'n' || k OR k IS NULL AND name IS NOT NULL").count() == 0 and joined.count() == 9_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = joins.salted_join(df, dim, ["k"], "inner", 30).where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+        assert len(spread) == 4  # all tasks of this session
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_shared_folder_comes_from_the_session():

@@ -37,7 +37,7 @@ def test_session_zone_does_not_matter(spark, zone, con, small, name):
 
 # With nothing known to be small: dimensions are written, measured and joined by
 # salt, duplicate groups are looked at and ranked in slices.
-LARGE = bindings.SETTINGS.with_(broadcast_bytes=0, task_bytes=0, hot_group_rows=1, salts=3)
+LARGE = bindings.SETTINGS.with_(broadcast_bytes=0, hot_group_rows=1, look_for_hot_groups=True, task_rows=0)
 
 
 @pytest.mark.parametrize(
