@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULTS
+from . import dateforms
 from .offsets import Years
 from .timecols import add_seconds, computed_once, from_instant, local_to_utc, ntz, utc_to_local
 
@@ -37,8 +38,8 @@ PARTS = ("utc", "local", "is_valid", "reason")
 
 REASONS = (OK, OK_AMBIGUOUS, UNPARSEABLE, NONEXISTENT, OUT_OF_RANGE, NULL_INPUT)
 
-# Accepted text, in upper case. A slashed date is month first unless its first
-# number can be no month.
+# Usual text, in upper case. A slashed date is month first unless its first
+# number can be no month. ``dateforms`` brings other forms to these.
 _CLOCK = r"\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
 _NAIVE = rf"^\d{{4}}([-/])\d{{1,2}}\1\d{{1,2}}([ T]{_CLOCK}( ?[AP]M)?)?$"
 _AWARE = rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}[ T]{_CLOCK} ?(Z|UTC|[+-]\d{{2}}(:?\d{{2}})?)$"
@@ -59,17 +60,30 @@ def _read(df: DataFrame, column: str, wall: str, aware: str) -> DataFrame:
     if isinstance(dtype, T.TimestampType):
         return df.withColumns({wall: nothing, aware: from_instant(raw)})
 
-    text, half = F.col(f"{wall}_text"), F.col(f"{wall}_half")
-    upper = F.upper(F.trim(raw.cast("string")))
+    text, half, upper, shape = (F.col(f"{wall}_{x}") for x in ("text", "half", "upper", "shape"))
+    out = df.withColumn(f"{wall}_upper", F.upper(F.trim(raw.cast("string"))))
     year_first = F.regexp_replace(F.regexp_replace(upper, _DAY_FIRST, "$2/$1/"), _YEAR_LAST, "$3-$1-$2")
-    out = df.withColumn(f"{wall}_text", F.when(F.contains(upper, F.lit("/")), year_first).otherwise(upper))
+    out = out.withColumn(f"{wall}_text", F.when(F.contains(upper, F.lit("/")), year_first).otherwise(upper))
+    # Other written forms are looked up by their shape and rewritten; the usual ones have none.
+    naive, zoned = F.col(f"{wall}_naive"), F.col(f"{wall}_zoned")
+    out = out.withColumn(f"{wall}_naive", text.rlike(_NAIVE)).withColumn(f"{wall}_zoned", F.when(~naive, text.rlike(_AWARE)))
+    out = computed_once(out, {f"{wall}_shape": F.when(~zoned, F.expr(dateforms.shaped(f"`{wall}_upper`")))})
+    out = dateforms.with_iso_text(out, f"{wall}_other", f"`{wall}_upper`", f"`{wall}_shape`")
+    other = F.col(f"{wall}_other")
+    # An operator of its own, or the compiled code of all steps would be too long to be optimised.
+    out = computed_once(out, {
+        f"{wall}_text": F.when(shape.isNull(), text).otherwise(other),
+        f"{wall}_naive": F.when(shape.isNull(), naive).otherwise(other.rlike(_NAIVE)),
+        f"{wall}_zoned": F.when(shape.isNull(), zoned).otherwise(other.rlike(_AWARE)),
+    })
 
     ending = F.right(text, F.lit(2))
     out = out.withColumn(f"{wall}_half", F.when(ending.isin("AM", "PM"), ending))
     clock = F.when(half.isNull(), text).otherwise(F.rtrim(F.substr(text, F.lit(1), F.length(text) - 2)))
-    naive = F.when(text.rlike(_NAIVE), F.replace(clock, F.lit("/"), F.lit("-")).try_cast("timestamp_ntz"))
+    read = F.when(naive, F.replace(clock, F.lit("/"), F.lit("-")).try_cast("timestamp_ntz"))
     colon = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    out = out.withColumns({wall: naive, aware: F.when(text.rlike(_AWARE), from_instant(colon.try_cast("timestamp")))})
+    out = out.withColumns({wall: read, aware: F.when(zoned, from_instant(colon.try_cast("timestamp")))})
+    out = out.drop(*[f"{wall}_{x}" for x in ("shape", "other", "upper", "naive", "zoned")])
 
     # Twelve-hour clocks: 12 AM is midnight, 1 PM is thirteen, and 13 PM is nothing.
     hour = F.hour(wall)

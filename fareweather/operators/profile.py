@@ -1,4 +1,4 @@
-"""Whole-table profile, histograms, extremes, pivot."""
+"""Whole-table profile, exact and by mergeable sketches, histograms, extremes, pivot."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ def profile_exact(df: DataFrame, digits: int = 4) -> DataFrame:
     """Per column: type, rows, nulls, null share, min, max and mean, in one pass."""
     aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(df.schema.fields):
-        c = F.col(f.name)
+        c = F.col(f"`{f.name}`")
         aggs += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
         if _is_number(f.dataType):
             aggs.append(F.avg(c).alias(f"avg{i}"))
@@ -43,27 +43,106 @@ def profile_exact(df: DataFrame, digits: int = 4) -> DataFrame:
     return df.agg(*aggs).select(F.inline(F.array(*out)))
 
 
-def profile_approximate(df: DataFrame, accuracy: int = 1000) -> DataFrame:
-    """Per column: approximate distinct count; for numbers also deviation and quartiles."""
-    none = F.lit(None).cast("double")
-    aggs: list[Column] = []
+#: Size of a quantile sketch, and the share of rows by which a quantile of it may be off; three times what it is in 99 of 100 cases.
+KLL_SIZE, RANK_ERROR = 400, 0.02
+#: Size of a sketch of distinct values (a power of two), and the share by which its estimate may be off; six standard errors.
+HLL_SIZE, DISTINCT_ERROR = 14, 0.05
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def column_sketches(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per group with a mergeable summary of each column ``i``: values ``n{i}``, a sketch of its distinct values ``h{i}``,
+    and for numbers mean ``mean{i}``, squared deviations ``m{i}`` and a sketch of its quantiles ``k{i}``.
+
+    In one pass. Such rows may be stored, as for each day, and merged later in any order.
+    """
+    aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(df.schema.fields):
-        aggs.append(F.approx_count_distinct(f.name).alias(f"d{i}"))
+        c = F.col(f"`{f.name}`")
+        aggs += [F.count(c).alias(f"n{i}"), F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), HLL_SIZE).alias(f"h{i}")]
+        if _is_number(f.dataType):
+            x = c.cast("double")
+            finite = F.when(~F.isnan(x), x)
+            aggs += [F.avg(x).alias(f"mean{i}"), (F.var_pop(x) * F.count(x)).alias(f"m{i}"), F.kll_sketch_agg_double(finite, KLL_SIZE).alias(f"k{i}")]
+    return df.groupBy(*[F.col(f"`{c}`") for c in by]).agg(*aggs)
+
+
+def merged_sketches(sketches: DataFrame, fields: Sequence[T.StructField], by: Sequence[str] = ()) -> DataFrame:
+    """Summaries of ``column_sketches`` merged into one, or one per group."""
+    aggs: list[Column] = [F.sum("rows").alias("rows")]
+    for i, f in enumerate(fields):
+        n = F.col(f"n{i}")
+        aggs += [F.sum(n).alias(f"n{i}"), F.hll_union_agg(f"h{i}").alias(f"h{i}")]
         if _is_number(f.dataType):
-            aggs.append(F.stddev_samp(f.name).alias(f"sd{i}"))
-            aggs.append(F.percentile_approx(F.col(f.name).cast("double"), [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"))
+            mean = F.try_divide(F.sum(F.col(f"mean{i}") * n), F.sum(n))
+            # The squares about the common mean: those about each mean, and each mean's own.
+            squares = F.sum(f"m{i}") + F.sum(n * F.col(f"mean{i}") * F.col(f"mean{i}")) - F.sum(n) * mean * mean
+            aggs += [mean.alias(f"mean{i}"), squares.alias(f"m{i}"), F.kll_merge_agg_double(f"k{i}").alias(f"k{i}")]
+    return sketches.groupBy(*by).agg(*aggs)
+
+
+def profile_of_sketches(one_row: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """Per column: approximate distinct count; for numbers also deviation and quartiles."""
+    none = F.lit(None).cast("double")
     out = []
-    for i, f in enumerate(df.schema.fields):
+    for i, f in enumerate(fields):
         number = _is_number(f.dataType)
+        deviation = F.when(F.col(f"n{i}") > 1, F.sqrt(F.greatest(F.lit(0.0), F.col(f"m{i}")) / (F.col(f"n{i}") - 1))) if number else none
+        quartiles = [F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"k{i}", F.lit(q))) if number else none for q in QUARTILES]
         out.append(
             F.struct(
                 F.lit(f.name).alias("column_name"),
-                F.col(f"d{i}").alias("approx_distinct"),
-                (F.col(f"sd{i}") if number else none).alias("std"),
-                *[(F.col(f"q{i}")[k] if number else none).alias(n) for k, n in enumerate(("q25", "q50", "q75"))],
+                F.coalesce(F.hll_sketch_estimate(f"h{i}"), F.lit(0)).alias("approx_distinct"),
+                deviation.alias("std"),
+                *[q.alias(n) for q, n in zip(quartiles, ("q25", "q50", "q75"))],
             )
         )
-    return df.agg(*aggs).select(F.inline(F.array(*out)))
+    return one_row.select(F.inline(F.array(*out)))
+
+
+def profile_approximate(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per column: approximate distinct count; for numbers also deviation and quartiles. Summaries are made ``by`` group and merged."""
+    fields = df.schema.fields
+    return profile_of_sketches(merged_sketches(column_sketches(df, by), fields), fields)
+
+
+def profile_verified(df: DataFrame, by: Sequence[str] = (), digits: int = 4) -> DataFrame:
+    """The sketches held against the rows: per column its rows, exact distinct count and deviation, and whether the approximate
+    distinct count and quartiles are within their bounds.
+
+    A quartile is judged by the rows that are smaller and by those that aren't greater, counted in one pass.
+    Distinct counts are exact and need a shuffle of each column's values: this is for checking, ``profile_approximate`` for use.
+    """
+    fields = df.schema.fields
+    approximate = profile_approximate(df, by)
+    found = approximate.agg(F.map_from_entries(F.collect_list(F.struct("column_name", F.struct("approx_distinct", "std", "q25", "q50", "q75")))).alias("p")).scalar()
+    aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
+    # One look-up of the sketches' results, beside the rows.
+    names = [F.lit(f.name) for f in fields]
+    held = df.withColumn("_found", found)
+    for i, f in enumerate(fields):
+        c = F.col(f"`{f.name}`")
+        aggs += [F.count_distinct(c).alias(f"d{i}"), F.count(c).alias(f"n{i}"), F.max(F.col("_found")[names[i]]).alias(f"p{i}")]
+        if _is_number(f.dataType):
+            for k, q in enumerate(("q25", "q50", "q75")):
+                at = F.col("_found")[names[i]][q]
+                aggs += [F.count_if(c < at).alias(f"below{i}_{k}"), F.count_if(c <= at).alias(f"upto{i}_{k}")]
+    one_row = held.agg(*aggs)
+    out = []
+    for i, f in enumerate(fields):
+        exact, n, p = F.col(f"d{i}"), F.col(f"n{i}"), F.col(f"p{i}")
+        within = [
+            (F.col(f"below{i}_{k}") <= n * (q + RANK_ERROR)) & (F.col(f"upto{i}_{k}") >= n * (q - RANK_ERROR)) if _is_number(f.dataType) else F.lit(None).cast("boolean")
+            for k, q in enumerate(QUARTILES)
+        ]
+        out.append(
+            F.struct(
+                F.lit(f.name).alias("column_name"), F.col("rows"), exact.alias("distinct_values"),
+                (F.abs(p["approx_distinct"] - exact) <= F.greatest(F.lit(1.0), exact * DISTINCT_ERROR)).alias("distinct_within"),
+                F.round(p["std"], digits).alias("std"), *[w.alias(f"{name}_within") for w, name in zip(within, ("q25", "q50", "q75"))],
+            )
+        )
+    return one_row.select(F.inline(F.array(*out)))
 
 
 def value_histogram(df: DataFrame, column: str) -> DataFrame:

@@ -249,20 +249,25 @@ FROM messages WHERE event_utc <= TIMESTAMP '2024-01-30 12:00:00' GROUP BY vehicl
 """)
 
 cte("times", ("ev",), """
-SELECT event_id, event_id % 10 AS form, date_trunc('second', ts) AS s,
-       CASE event_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 'not a date' WHEN 2 THEN '2002-01-01 00:00:00'
+SELECT event_id, event_id % 20 AS form,
+       CASE WHEN event_id % 20 IN (10, 15, 17) THEN date_trunc('minute', ts) WHEN event_id % 20 IN (11, 12) THEN date_trunc('day', ts)
+            WHEN event_id % 20 = 16 THEN date_trunc('hour', ts) WHEN event_id % 20 = 18 THEN date_trunc('month', ts)
+            ELSE date_trunc('second', ts) END AS s,
+       CASE event_id % 20 WHEN 0 THEN NULL WHEN 1 THEN 'not a date' WHEN 2 THEN '2002-01-01 00:00:00'
             WHEN 3 THEN '2090-06-01 00:00:00' WHEN 4 THEN '2024-03-10 02:30:00' WHEN 5 THEN '2024-11-03 01:30:00'
             WHEN 6 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN 7 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
-            WHEN 8 THEN strftime(ts, '%m/%d/%Y %I:%M:%S %p') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') END AS raw_time
+            WHEN 8 THEN strftime(ts, '%m/%d/%Y %I:%M:%S %p') WHEN 9 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00')
+            WHEN 10 THEN strftime(ts, '%b %d %Y %H:%M') WHEN 11 THEN strftime(ts, '%d %B %Y') WHEN 12 THEN strftime(ts, '%Y%m%d')
+            WHEN 13 THEN strftime(ts, '%Y%m%dT%H%M%S') WHEN 14 THEN strftime(ts, '%m-%d-%Y %H:%M:%S')
+            WHEN 15 THEN strftime(ts, '%-m/%-d/%y %-H:%M') WHEN 16 THEN strftime(ts, '%Y-%m-%dT%H') WHEN 17 THEN strftime(ts, '%Y.%m.%d %H:%M')
+            WHEN 18 THEN strftime(ts, '%Y-%m') ELSE strftime(ts, '%a, %d %b %Y %H:%M:%S +0000') END AS raw_time
 FROM ev
 """)
 
 cte("normalised", ("times",), """
 SELECT event_id, raw_time,
-       CASE WHEN form = 5 THEN TIMESTAMP '2024-11-03 05:30:00' WHEN form IN (6, 7, 8) THEN s + INTERVAL 5 HOUR
-            WHEN form = 9 THEN s END AS utc,
-       CASE WHEN form = 5 THEN TIMESTAMP '2024-11-03 01:30:00' WHEN form IN (6, 7, 8) THEN s
-            WHEN form = 9 THEN s - INTERVAL 5 HOUR END AS local,
+       CASE WHEN form = 5 THEN TIMESTAMP '2024-11-03 05:30:00' WHEN form IN (9, 19) THEN s WHEN form >= 6 THEN s + INTERVAL 5 HOUR END AS utc,
+       CASE WHEN form = 5 THEN TIMESTAMP '2024-11-03 01:30:00' WHEN form IN (9, 19) THEN s - INTERVAL 5 HOUR WHEN form >= 6 THEN s END AS local,
        form >= 5 AS is_valid,
        CASE form WHEN 0 THEN 'null' WHEN 1 THEN 'unparseable' WHEN 2 THEN 'out_of_plausible_range'
             WHEN 3 THEN 'out_of_plausible_range' WHEN 4 THEN 'nonexistent_local_time_dst_gap'

@@ -86,8 +86,8 @@ sql("dq_report_findings", ("raw_trips",), (
 sql("passenger_histogram", ("raw_trips",),
     "SELECT passenger_count, count(*) AS n FROM raw_trips GROUP BY 1 ORDER BY 1")
 sql("trip_extremes", ("raw_trips",), """
-SELECT max(trip_distance) AS max_distance_mi, max(total_amount) AS max_total_usd, max(tip_amount) AS max_tip_usd,
-       max(passenger_count) AS max_passengers FROM raw_trips""")
+SELECT max(trip_distance) AS longest_miles, max(total_amount) AS highest_total, max(tip_amount) AS highest_tip,
+       max(passenger_count) AS most_passengers FROM raw_trips""")
 sql("duplicate_count", ("raw_trips",), """
 SELECT count(*) AS duplicates FROM (SELECT row_number() OVER (
   PARTITION BY "VendorID", tpep_pickup_datetime, tpep_dropoff_datetime, "PULocationID", "DOLocationID", total_amount) AS i
@@ -280,6 +280,12 @@ sql("profile_table", (), " UNION ALL ".join(
     + (f"round(avg({c}), 4)" if t in ("bigint", "int", "double") else "NULL::DOUBLE")
     + " AS mean FROM lineitem"
     for c, t in _LINEITEM))
+sql("profile_table_approximate", (), " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS rows, count(DISTINCT {c}) AS distinct_values, true AS distinct_within, "
+    + (f"round(stddev_samp({c}), 4)" if t in ("bigint", "int", "double") else "NULL::DOUBLE") + " AS std, "
+    + ", ".join(f"{'true' if t in ('bigint', 'int', 'double') else 'NULL::BOOLEAN'} AS {q}_within" for q in ("q25", "q50", "q75"))
+    + " FROM lineitem"
+    for c, t in _LINEITEM))
 
 # -- fleet
 sql("fraud_features_sliding", ("features",), f"""

@@ -125,15 +125,20 @@ def zone_lookup(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 
 def raw_times(events: DataFrame) -> DataFrame:
-    """Text timestamps, one of ten forms per event; the expected reason is known by construction."""
+    """Text timestamps, one of twenty forms per event; the expected reason is known by construction."""
     second = F.substring(F.col("ts").cast("string"), 1, 19)
+    year, month, day, minute, clock = (F.substring(second, a, n) for a, n in ((1, 4), (6, 2), (9, 2), (12, 5), (12, 8)))
     hour = F.hour("ts")
     clock12 = F.lpad((F.pmod(hour + 11, F.lit(12)) + 1).cast("string"), 2, "0")
     slashed = F.concat(
-        F.substring(second, 6, 2), F.lit("/"), F.substring(second, 9, 2), F.lit("/"), F.substring(second, 1, 4),
+        month, F.lit("/"), day, F.lit("/"), year,
         F.lit(" "), clock12, F.substring(second, 14, 6), F.when(hour < 12, F.lit(" AM")).otherwise(F.lit(" PM")),
     )
     iso = F.replace(second, F.lit(" "), F.lit("T"))
+    names = "January February March April May June July August September October November December".split()
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.month("ts"))
+    weekday = F.element_at(F.array(*[F.lit(d) for d in "Sun Mon Tue Wed Thu Fri Sat".split()]), F.dayofweek("ts"))
+    bare = lambda c: c.cast("int").cast("string")
     forms: list[Column] = [
         F.lit(None).cast("string"),
         F.lit("not a date"),
@@ -145,10 +150,20 @@ def raw_times(events: DataFrame) -> DataFrame:
         iso,
         slashed,
         F.concat(iso, F.lit("+00:00")),
+        F.concat(F.left(name, F.lit(3)), F.lit(" "), day, F.lit(" "), year, F.lit(" "), minute),
+        F.concat(day, F.lit(" "), name, F.lit(" "), year),
+        F.concat(year, month, day),
+        F.concat(year, month, day, F.lit("T"), F.replace(clock, F.lit(":"), F.lit(""))),
+        F.concat(month, F.lit("-"), day, F.lit("-"), year, F.lit(" "), clock),
+        F.concat(bare(month), F.lit("/"), bare(day), F.lit("/"), F.right(year, F.lit(2)), F.lit(" "), bare(F.left(clock, F.lit(2))), F.substring(clock, 3, 3)),
+        F.substring(iso, 1, 13),
+        F.concat(year, F.lit("."), month, F.lit("."), day, F.lit(" "), minute),
+        F.substring(second, 1, 7),
+        F.concat(weekday, F.lit(", "), day, F.lit(" "), F.left(name, F.lit(3)), F.lit(" "), year, F.lit(" "), clock, F.lit(" +0000")),
     ]
     raw = forms[-1]
     for i in range(len(forms) - 2, -1, -1):
-        raw = F.when(F.col("event_id") % 10 == i, forms[i]).otherwise(raw)
+        raw = F.when(F.col("event_id") % len(forms) == i, forms[i]).otherwise(raw)
     return events.select("event_id", raw.alias("raw_time"))
 
 

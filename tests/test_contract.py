@@ -69,6 +69,29 @@ def test_all_cases(spark, zone, session, years):
         assert result == want, raw
 
 
+def test_other_written_forms_equal_pandas(spark):
+    """The ten forms of the recipe and others, by what pandas reads; what is no date stays one."""
+    import warnings
+
+    import pandas as pd
+
+    texts = [
+        "Jan 15 2024 09:00", "15 January 2024", "20240115", "20240115T090000", "01-15-2024 09:00:00", "1/15/24 9:00", "2024-01-15T09",
+        "2024.01.15 09:00", "2024-01", "Mon, 15 Jan 2024 09:00:00 +0000", "Mon, 15 Jan 2024 09:00:00 GMT", "January 15, 2024 8:30 PM",
+        "20240115083000", "15-01-2024", "15.01.2024", "1.5.2024", "Mon Jan 15 08:30:00 2024", "15-Jan-2024", "15-Jan-24", "2024-01-15 8am",
+        "Jan 2024", "Sept 5 2024", "15th January 2024", "2024 Jan 15", "Jan-15-2024", "20240115T083000Z", "Thursday, February 29, 2024",
+        "3 May 2024 7:05:09.25 pm", "15 Jan", "2024-015", "Maybe 5 2024", "32 Jan 2024", "13-13-2024", "20241315", "Feb 30 2024", "T", "B 15 2024", "1705307400", "2024-13",
+        "123456789012345678901234567890", "B",
+    ]
+    got = [(r[0], r[3]) for r in run(spark, texts, "UTC")]
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        for text, (utc, reason) in zip(texts, got):
+            known = pd.to_datetime(pd.Series([text]), format="mixed", errors="coerce", utc=True)[0]
+            expected = None if known is pd.NaT else known.tz_localize(None).to_pydatetime()
+            assert utc == expected and (reason == "ok") == (expected is not None), text
+
+
 def test_utc_source(spark):
     assert run(spark, ["2024-01-15 14:00:00"], "UTC") == [
         (t("2024-01-15 14:00"), t("2024-01-15 14:00"), True, "ok")

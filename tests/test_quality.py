@@ -193,6 +193,27 @@ def test_profile(spark):
     assert approx["i"].approx_distinct == 3 and approx["i"].q50 == 2.0 and approx["s"].std is None
 
 
+def test_sketches_merge(spark, tmp_path):
+    """Summaries stored per day and merged in any order are within the bounds of the whole, for odd names and values too."""
+    df = spark.range(30_000).selectExpr(
+        "id % 7 AS day", "id AS `a.b`", "CASE WHEN id % 5 > 0 THEN (id * 7919 % 10007) / 3D END AS v", "concat('k', id % 321) AS s", "cast(null as double) AS none",
+        "CASE WHEN id % 100 = 0 THEN double('NaN') ELSE 1e9 + id % 11 END AS odd")
+    fields = df.schema.fields
+    profile.column_sketches(df, ["day"]).write.parquet(str(tmp_path / "days"))
+    stored = spark.read.parquet(str(tmp_path / "days"))
+    assert stored.count() == 7
+    got = {r.column_name: r for r in profile.profile_of_sketches(profile.merged_sketches(stored.repartition(3), fields), fields).collect()}
+    assert abs(got["a.b"].q50 - 15_000) < 30_000 * profile.RANK_ERROR and abs(got["a.b"].approx_distinct / 30_000 - 1) < profile.DISTINCT_ERROR
+    exact = df.agg(F.stddev_samp("v").alias("v"), F.stddev_samp("`a.b`").alias("i")).first()
+    assert abs(got["v"].std / exact.v - 1) < 1e-9 and abs(got["a.b"].std / exact.i - 1) < 1e-9
+    assert (got["none"].approx_distinct, got["none"].std, got["none"].q50, got["s"].q50) == (0, None, None, None)
+    judged = {r.column_name: r for r in profile.profile_verified(df.drop("none", "odd"), ["day"]).collect()}
+    assert all(r.distinct_within for r in judged.values()) and judged["s"].distinct_values == 321
+    assert judged["v"].q25_within and judged["v"].q50_within and judged["v"].q75_within and judged["s"].q25_within is None
+    empty = profile.profile_approximate(df.limit(0)).collect()
+    assert [r.approx_distinct for r in empty] == [0] * 6
+
+
 @pytest.mark.parametrize("value, want", [(None, 0.0), (1, 50.0)])
 def test_percent(spark, value, want):
     from fareweather.functions.conditions import percent_of
