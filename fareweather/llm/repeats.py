@@ -333,7 +333,8 @@ def removed_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
     ends = F.concat(F.slice(begins, F.lit(2), F.size(begins)), F.array((F.col("n_words") - (WINDOW - 1)).cast("int")))
     each = F.arrays_zip(begins.alias("begin"), F.transform(F.arrays_zip(begins.alias("a"), ends.alias("b")), lambda x: x["b"] - x["a"]).alias("windows"), F.col("names").alias("name"))
     runs = leads.select("doc_id", "tk", F.inline(each))
-    shared = runs.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("name")
+    # Written, so that a name of very many runs can be split in the join.
+    shared = cut(runs.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("name"))
     of = runs.join(shared, "name").groupBy("doc_id", "tk").agg(F.collect_list(F.struct("begin", "windows", "name")).alias("of"))
     # Rows of one id and text are one here.
     sliced = stored(_sliced(rows.join(of, ["doc_id", "tk"]).dropDuplicates(["doc_id", "tk"])))

@@ -34,6 +34,30 @@ SAMPLE_TEXTS = 500
 #: Words of a text used for labelled identifiers.
 SAMPLE_WORDS = 60
 SMOOTHING = 0.1
+#: Numbers that are added up at a time, and symbols of a text that are masked at a time.
+NUMBERS, SYMBOLS = 128, 4096
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _sums_before(numbers: Column) -> Column:
+    """Per number the sum of those before it. In blocks, as adding to an array copies it: work grows with the
+    numbers, not with their square."""
+    def added(at, block):
+        return F.aggregate(
+            block, F.struct(at.alias("at"), F.array().cast("array<int>").alias("all")),
+            lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")),
+        )["all"]
+
+    def of_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda x: F.aggregate(x, F.lit(0), lambda acc, n: acc + n))
+        return F.flatten(F.zip_with(blocks, added(F.lit(0), totals), lambda block, at: added(at, block)))
+
+    last = F.greatest(F.floor((F.size(numbers) - 1) / NUMBERS), F.lit(0)).cast("int")
+    return _let(numbers, lambda all_: _let(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(all_, i * NUMBERS + 1, F.lit(NUMBERS))), of_blocks))
 
 
 def _pieces(text: Column, pattern: str, kind: str, keep) -> Column:
@@ -43,24 +67,16 @@ def _pieces(text: Column, pattern: str, kind: str, keep) -> Column:
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    step = F.aggregate(
-        F.arrays_zip(found.alias("hit"), between.alias("gap")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,kind:string,hit:string>>").alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
-            F.when(x["hit"].isNull(), acc["spans"]).otherwise(
-                F.concat(
-                    acc["spans"],
-                    F.array(F.struct(
-                        (acc["at"] + F.length(x["gap"])).alias("start"),
-                        (acc["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"),
-                        F.lit(kind).alias("kind"), x["hit"].alias("hit"),
-                    )),
-                )
-            ).alias("spans"),
-        ),
-    )["spans"]
-    return F.filter(step, keep)
+    # A match, and how many symbols lie before it after the match before.
+    both = F.filter(F.zip_with(found, between, lambda hit, gap: F.struct(hit.alias("hit"), F.length(gap).alias("gap"))), lambda x: x["hit"].isNotNull())
+
+    def placed(pairs: Column) -> Column:
+        before = _sums_before(F.transform(pairs, lambda x: x["gap"] + F.length(x["hit"])))
+        return F.zip_with(pairs, before, lambda x, at: F.struct(
+            (at + x["gap"]).alias("start"), (at + x["gap"] + F.length(x["hit"])).alias("end"), F.lit(kind).alias("kind"), x["hit"].alias("hit"),
+        ))
+
+    return F.filter(_let(both, placed), keep)
 
 
 def _if_any(text: Column, pattern: str, spans: Column) -> Column:
@@ -230,15 +246,45 @@ def masked(documents: DataFrame, model: DataFrame | None = None, text: str = "te
     (found,) = fresh(documents, "found")
     rows = scanned(documents, model, text, found)
     t = F.col(text)
-    cuts = F.aggregate(
-        F.col(found), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substr(t, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"]).alias("out"),
-        ),
-    )
-    clean = F.concat(cuts["out"], F.substr(t, cuts["at"] + 1, F.length(t)))
-    return rows.withColumn(text, F.when(F.size(found) > 0, clean).otherwise(t)).drop(found)
+    return rows.withColumn(text, F.when(F.size(found) > 0, _without(t, F.col(found), mark)).otherwise(t)).drop(found)
+
+
+def _without(text: Column, spans: Column, mark: str) -> Column:
+    """A text with each run of overlapping spans replaced. It is taken in blocks, each by itself, as a place in a text is found
+    by counting from its start, and spans in chunks, of which a block looks at those that may start in it or reach it."""
+    blocks = F.transform(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{SYMBOLS}}}"), F.lit(0)), lambda x, i: F.struct(x.alias("text"), (i * SYMBOLS).alias("base")))
+    last = F.greatest(F.floor((F.size(spans) - 1) / NUMBERS), F.lit(0)).cast("int")
+
+    def ends(some: Column) -> Column:
+        return F.array_max(F.transform(some, lambda s: s["end"]))
+
+    def chunk(some: Column) -> Column:
+        return F.struct(
+            F.element_at(some, 1)["start"].alias("low"), F.element_at(some, -1)["start"].alias("high"), ends(some).alias("reach"), some.alias("spans"))
+
+    def shown(block: Column, start: Column, upto: Column | None) -> Column:
+        """Symbols of a block from a place in the text, which may be before or after the block."""
+        first = F.greatest(start - block["base"], F.lit(0))
+        return F.substr(block["text"], first + 1, F.lit(SYMBOLS) if upto is None else upto - block["base"] - first)
+
+    def of_block(block: Column, chunks: Column) -> Column:
+        base = block["base"]
+        before = F.array_max(F.transform(
+            F.filter(chunks, lambda c: c["low"] < base),
+            lambda c: F.when(c["high"] < base, c["reach"]).otherwise(ends(F.filter(c["spans"], lambda s: s["start"] < base)))))
+        near = F.filter(chunks, lambda c: (c["high"] >= base) & (c["low"] < base + SYMBOLS))
+        own = F.filter(F.flatten(F.transform(near, lambda c: c["spans"])), lambda s: (s["start"] >= base) & (s["start"] < base + SYMBOLS))
+        done = F.aggregate(
+            own, F.struct(F.coalesce(before, F.lit(0)).alias("at"), F.lit("").alias("out")),
+            lambda a, s: F.struct(
+                F.greatest(a["at"], s["end"]).alias("at"),
+                F.when(s["start"] >= a["at"], F.concat(a["out"], shown(block, a["at"], s["start"]), F.lit(mark))).otherwise(a["out"]).alias("out"),
+            ),
+        )
+        return _let(done, lambda d: F.concat(d["out"], shown(block, d["at"], None)))
+
+    chunks = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(spans, i * NUMBERS + 1, F.lit(NUMBERS)))
+    return _let(F.transform(chunks, chunk), lambda all_: F.array_join(F.transform(blocks, lambda block: of_block(block, all_)), ""))
 
 
 def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:

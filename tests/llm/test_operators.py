@@ -103,6 +103,29 @@ def test_secrets_in_long_runs(spark, small):
     assert not {x.split(":")[0] for x in found[len(texts) - 1].split(",")} - {"markov", "assign", "hex"}
 
 
+@pytest.mark.parametrize("symbols,numbers", [(secret_scan.SYMBOLS, secret_scan.NUMBERS), (7, 3)])
+def test_masks_of_many_spans(spark, small, monkeypatch, symbols, numbers):
+    """Places and masks are those of a plain loop, whatever the blocks that texts and spans are taken in."""
+    monkeypatch.setattr(secret_scan, "SYMBOLS", symbols)
+    monkeypatch.setattr(secret_scan, "NUMBERS", numbers)
+    model = secret_scan.train(secret_scan.samples(spark.read.parquet(f"{small}/documents.parquet")))
+    r = random.Random(12)
+    parts = ["token=abcdefgh12", "é😀", "AKIA" + "Q7" * 8, "0a1b" * 9, " ", "password: " + "9f" * 20, "word\n", "7cN1RrdCRJpSLKMWFA0wZeSPc5vXx01k", "-"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(60))) for _ in range(25)] + [" ".join(f"token = {i:010}" for i in range(20_000)) if symbols > 7 else "x"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {x.doc_id: [tuple(map(int, s.split(":")[1:])) for s in x.spans.split(",") if s] for x in secret_scan.report(rows, model).collect()}
+    base = {x.doc_id: x.base_sha256 for x in secret_scan.report(rows, model).collect()}
+    for row in secret_scan.masked(rows, model).collect():
+        text, out, at = texts[row.doc_id], "", 0
+        for start, end in sorted(found[row.doc_id]):
+            if start >= at:
+                out += text[at:start] + "<secret>"
+            at = max(at, end)
+        assert row.text == out + text[at:]
+        import hashlib
+        assert base[row.doc_id] == hashlib.sha256(",".join(spans(text)).encode()).hexdigest()
+
+
 def test_snapshots(spark):
     r = random.Random(5)
     logs = {}
