@@ -211,7 +211,7 @@ def _shared_lists(classes: DataFrame, percent: int) -> DataFrame:
 
 def _linked(rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Nodes (id, tk, n, d1, d2: the digest of its set) per row of ``rows`` (id, tk, t); classes of
-    equal sets (d1, d2, c), c being a number of this run; and links (u, v) of classes."""
+    equal sets (d1, d2, c), c being their number; and links (u, v) of classes."""
     passed = cut(_digests(rows, width))
     nodes = passed.where("c is null").drop("c")
     counts = np.zeros(COUNTERS, np.int64)
@@ -220,7 +220,7 @@ def _linked(rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     marked_rows = rows.withColumn("i", _row_key())
     alike = _short(rows, width, percent, counts).withColumn("i", _row_key()).groupBy("d1", "d2").agg(
         F.min(F.struct("i", "tk")).alias("rep"), F.first("n").alias("n"), F.first("short").alias("short"))
-    classes = cut(alike.select("d1", "d2", "rep.i", "rep.tk", "n", "short", F.monotonically_increasing_id().alias("c")))
+    classes = _numbered(cut(alike.select("d1", "d2", "rep.i", "rep.tk", "n", "short")))
     del passed, alike
     shared = cut(_shared_lists(classes, percent))
     let_go(rows.sparkSession)  # the lists
@@ -248,6 +248,14 @@ def _linked(rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     return nodes, classes.select("d1", "d2", "c"), links
 
 
+def _numbered(classes: DataFrame) -> DataFrame:
+    """Classes with a number ``c``: the smallest id that has the set, so that a list's first class is the one of the smallest id, as
+    copies are often later than what they were copied from. Where an id has the smallest of several classes, the others get a hash."""
+    several = classes.groupBy("i").agg(F.count("*").alias("sets"), F.min(F.struct("d1", "d2")).alias("of")).where("sets > 1").select(F.col("i").alias("k"), "of")
+    own = F.col("of").isNull() | (F.col("of") == F.struct("d1", "d2"))
+    return classes.join(several, F.col("i") == F.col("k"), "left").withColumn("c", F.when(own, F.col("i")).otherwise(F.xxhash64("i", "tk", "d1", "d2"))).drop("k", "of")
+
+
 def _row_key() -> Column:
     """The id, never null. One that is as small as this stands for may have the same text only, so nothing is mixed up."""
     return F.coalesce("id", F.lit(-(1 << 63)).cast("bigint"))
