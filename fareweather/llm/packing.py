@@ -29,7 +29,7 @@ OPEN_BINS = 2 * TASK_PIECES
 #: The id that ends a document.
 END_ID = 0
 #: Distinct words whose ids a worker remembers, about.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 VOCABULARY = "word_bpe_49k.json"
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -78,22 +78,17 @@ class WordTokens:
         #: Words, and parts of words, met of late; and each time those met before, of which the ones not met again are forgotten.
         self.words, self.parts = Recent(remembered), Recent(remembered)
 
-    def _parts(self, word: bytes) -> tuple[bytes, bytes]:
-        """A word as what ends in a letter or digit and the marks after it; or the whole and nothing."""
+    def _core(self, word: bytes) -> bytes:
+        """The beginning of a word that ends in marks which is a letter or digit to its end; nothing where the word is taken whole."""
         core = word.rstrip(self.MARKS)
-        if len(core) < len(word):
-            if b"<|" in core:  # a special token may end in marks
-                return word, b""
-            last = core[-1:]
-            if not last.isalnum():
-                if not last or last < b"\x80":
-                    return word, b""
-                # Beyond ASCII: a letter of an alphabet without joining marks, which stays one in lower case.
-                letter = core.decode("utf-8", "surrogatepass")[-1]
-                if letter >= "\u0590" or not letter.isalpha() or not letter.lower()[-1].isalpha():
-                    return word, b""
-        # Case doesn't matter in ASCII; elsewhere a mark may join small letters only.
-        return core.lower() if core.isascii() else core, word[len(core):]
+        last = core[-1:]
+        if not last or b"<|" in core:  # a special token may end in marks
+            return b""
+        if last < b"\x80":
+            return core if last.isalnum() else b""
+        # Beyond ASCII: a letter of an alphabet without joining marks, which stays one in lower case.
+        letter = core.decode("utf-8", "surrogatepass")[-1]
+        return core if letter < "\u0590" and letter.isalpha() and letter.lower()[-1].isalpha() else b""
 
     def _learn(self, parts: list[bytes]) -> None:
         texts = [w.decode("utf-8", "surrogatepass") for w in parts]
@@ -104,14 +99,17 @@ class WordTokens:
         """Ids of each of the distinct ``words``."""
         whole = self.words.of(words)
         new = [w for w in words if w not in whole]
-        split = [self._parts(w) for w in new]
-        needed = {core for core, _ in split}
-        needed.update(marks for _, marks in split)
+        marks = self.MARKS
+        cores = [self._core(w) if w[-1] in marks else w for w in new]
+        # Case doesn't matter in ASCII; elsewhere a mark may join small letters only.
+        firsts = [(c.lower() if c.isascii() else c) if c else w for c, w in zip(cores, new)]
+        rests = [w[len(c):] if c else b"" for c, w in zip(cores, new)]
+        needed = set(firsts)
+        needed.update(rests)
         needed.discard(b"")
         known = self.parts.of(needed)
         self._learn([w for w in needed if w not in known])
-        for w, (core, marks) in zip(new, split):
-            whole[w] = known[core] + known[marks] if marks and core else known[core or marks]
+        whole.update((w, known[a] + known[b] if b else known[a]) for w, a, b in zip(new, firsts, rests))
         return [whole[w] for w in words]
 
     def documents(self, texts: list[str]) -> Iterator[np.ndarray]:
