@@ -29,7 +29,7 @@ OPEN_BINS = 2 * TASK_PIECES
 #: The id that ends a document.
 END_ID = 0
 #: Distinct words whose ids a worker remembers, about.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 VOCABULARY = "word_bpe_49k.json"
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
