@@ -28,8 +28,8 @@ TASK_PIECES = 100_000
 OPEN_BINS = 2 * TASK_PIECES
 #: The id that ends a document.
 END_ID = 0
-#: Distinct words whose ids a worker remembers, about.
-REMEMBERED = 200_000
+#: Distinct parts of words whose ids a worker remembers, about; a block's own come on top.
+REMEMBERED = 100_000
 VOCABULARY = "word_bpe_49k.json"
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -75,8 +75,8 @@ class WordTokens:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        #: Words, and parts of words, met of late; and each time those met before, of which the ones not met again are forgotten.
-        self.words, self.parts = Recent(remembered), Recent(remembered)
+        #: Parts of words by their bytes, met of late and before.
+        self.parts = Recent(remembered)
 
     def _core(self, word: bytes) -> bytes:
         """The beginning of a word that ends in marks which is a letter or digit to its end; nothing where the word is taken whole."""
@@ -97,20 +97,17 @@ class WordTokens:
 
     def ids(self, words: list[bytes]) -> list[bytes]:
         """Ids of each of the distinct ``words``."""
-        whole = self.words.of(words)
-        new = [w for w in words if w not in whole]
         marks = self.MARKS
-        cores = [self._core(w) if w[-1] in marks else w for w in new]
+        cores = [self._core(w) if w[-1] in marks else w for w in words]
         # Case doesn't matter in ASCII; elsewhere a mark may join small letters only.
-        firsts = [(c.lower() if c.isascii() else c) if c else w for c, w in zip(cores, new)]
-        rests = [w[len(c):] if c else b"" for c, w in zip(cores, new)]
+        firsts = [(c.lower() if c.isascii() else c) if c else w for c, w in zip(cores, words)]
+        rests = [w[len(c):] if c else b"" for c, w in zip(cores, words)]
         needed = set(firsts)
         needed.update(rests)
         needed.discard(b"")
         known = self.parts.of(needed)
         self._learn([w for w in needed if w not in known])
-        whole.update((w, known[a] + known[b] if b else known[a]) for w, a, b in zip(new, firsts, rests))
-        return [whole[w] for w in words]
+        return [known[a] + known[b] if b else known[a] for a, b in zip(firsts, rests)]
 
     def documents(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, in order."""
