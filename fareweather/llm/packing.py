@@ -7,10 +7,12 @@ space: more than it has pieces, unless one row repeats that often.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
@@ -28,8 +30,10 @@ TASK_PIECES = 100_000
 OPEN_BINS = 2 * TASK_PIECES
 #: The id that ends a document.
 END_ID = 0
-#: Distinct parts of words whose ids a worker remembers, about; a block's own come on top.
+#: Distinct parts of words of each kind whose ids a worker remembers, about; those of the last two blocks come on top.
 REMEMBERED = 100_000
+#: Characters of a block of texts, about, whose distinct words are encoded once.
+BLOCK_CHARS = 5_000_000
 VOCABULARY = "word_bpe_49k.json"
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -59,13 +63,143 @@ class Recent:
         return known
 
 
+def _classes() -> np.ndarray:
+    """Per byte of a plain word: what makes up parts of words. Bytes that words of other kinds have are OTHER."""
+    of = np.full(256, OTHER, np.uint8)
+    of[0x20] = BETWEEN
+    of[0x21:0x7F] = MARK
+    of[ord("'")] = OTHER  # may begin a part with letters
+    of[ord("0"):ord("9") + 1] = DIGIT
+    for first, last in ((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xBF), (0xC3, 0xC9), (0xD0, 0xD1)):
+        of[first:last + 1] = LETTER
+    return of
+
+
+def _byte_names() -> np.ndarray:
+    """The character that byte-level vocabularies write for each byte: its own if that is seen, else one of those from U+0100 on."""
+    names = np.arange(256, dtype="<u4")
+    unseen = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE)]
+    names[unseen] = 256 + np.arange(len(unseen))
+    names[0x20] = 0x20  # between parts; no part has one
+    return names
+
+
+BETWEEN, LETTER, DIGIT, MARK, OTHER = range(5)
+CLASSES, BYTE_NAMES = _classes(), _byte_names()
+#: Pairs of bytes that no plain word has: the signs of multiplication and division, the capital I with a dot, what begins a special token.
+NOT_PLAIN = ("\u00d7".encode(), "\u00f7".encode(), "\u0130".encode(), b"<|")
+#: What plain words are read by; a vocabulary prepared in another way gets each word as it is.
+PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Characters of plain words that are encoded together, about.
+TOGETHER = 2_000
+
+
+class PlainWords:
+    """Ids of words of letters, digits and marks whose parts are plain to see, many words at a time.
+
+    Plain are ASCII without apostrophes and special tokens, Latin letters up to U+024F and Cyrillic ones up to U+047F: nothing in
+    them joins under NFC, each becomes small by itself, and a part is a run of letters, a run of marks or a digit. So the parts
+    are told by the classes of bytes, and the tokenizer's model gets them in small letters with spaces between. Each part's
+    last id, and no other, is one of an end of a word.
+    """
+
+    def __init__(self, tokenizer, remembered: int):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.model = Tokenizer(tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        #: Ids of parts in small letters, met of late and before.
+        self.parts = Recent(remembered)
+
+    @staticmethod
+    def fits(tokenizer) -> bool:
+        """Whether the tokenizer prepares words as is assumed here."""
+        made = json.loads(tokenizer.to_str())
+        steps = [{k: v for k, v in step.items() if k != "trim_offsets"} for step in (made["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        return (
+            [n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+            and steps == [
+                {"type": "Split", "pattern": {"Regex": PLAIN_PATTERN}, "behavior": "Removed", "invert": True},
+                {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False},
+            ]
+            and made["post_processor"] is None and made["model"].get("end_of_word_suffix") == "</w>"
+            and all(t["content"].startswith("<|") for t in made["added_tokens"])
+        )
+
+    @staticmethod
+    def among(words: list[bytes]) -> np.ndarray:
+        """Which words are plain."""
+        joined = np.frombuffer(b" ".join(words), np.uint8)
+        odd = CLASSES[joined] == OTHER
+        for a, b in NOT_PLAIN:
+            odd[:-1] |= (joined[:-1] == a) & (joined[1:] == b)
+        starts = np.cumsum([0, *map(len, words[:-1])]) + np.arange(len(words))
+        return ~np.logical_or.reduceat(odd, starts)
+
+    def _learn(self, parts: list[str]) -> None:
+        text = BYTE_NAMES[np.frombuffer(" ".join(parts).encode(), np.uint8)].tobytes().decode("utf-32-le")
+        found = self.model.encode_batch_fast(list(_chunks(text)), add_special_tokens=False)
+        flat = np.fromiter(chain.from_iterable(f.ids for f in found), "<u4")
+        ends = (np.flatnonzero(self.ends[flat]) + 1) * 4
+        if len(ends) != len(parts):
+            raise ValueError(f"{len(parts)} parts of words have {len(ends)} ends")
+        raw, begin = flat.tobytes(), 0
+        for part, end in zip(parts, ends.tolist()):
+            self.parts.known[part] = raw[begin:end]
+            begin = end
+
+    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain words in a row, and how many each has."""
+        joined = np.frombuffer(b" ".join(words), np.uint8)
+        kind = CLASSES[joined]
+        within = (kind[1:] != BETWEEN) & (kind[:-1] != BETWEEN)
+        begins = within & ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT))  # parts that begin inside a word
+        copies = np.ones(len(joined), dtype=np.int64)
+        copies[1:] += begins
+        parted = np.repeat(joined, copies)
+        at = np.flatnonzero(begins)
+        parted[at + 1 + np.arange(len(at))] = 0x20
+        codes, distinct = pd.factorize(np.array(parted.tobytes().decode().lower().split(" "), dtype=object))
+        known = self.parts.of(distinct)
+        self._learn([p for p in distinct if p not in known])
+        per = [known[p] for p in distinct]
+        n = np.fromiter(map(len, per), np.int64, len(per)) // 4
+        flat = gathered(np.frombuffer(b"".join(per), "<u4"), np.cumsum(n) - n, n, codes)
+        # A word's parts: one more than begin inside it.
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        last = np.cumsum(lengths) + np.arange(len(words)) - 1
+        parts = np.concatenate(([0], np.cumsum(begins)))[last] + 1 + np.arange(len(words))
+        return flat, np.diff(np.cumsum(n[codes])[parts - 1], prepend=0)
+
+
+def gathered(flat: np.ndarray, begins: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` that ``codes`` number, one after the other."""
+    n = lengths[codes]
+    before = np.cumsum(n) - n
+    return flat[np.repeat(begins[codes] - before, n) + np.arange(n.sum())]
+
+
+def _chunks(text: str) -> Iterator[str]:
+    """A text in pieces that end before a space."""
+    start = 0
+    while start < len(text):
+        stop = text.find(" ", start + TOGETHER)
+        stop = len(text) if stop < 0 else stop
+        yield text[start:stop]
+        start = stop + 1
+
+
 class WordTokens:
-    """Ids of words between white space, each distinct word encoded once.
+    """Ids of words between white space.
 
     No token of the vocabulary spans white space, so ids of a text are those of its words
-    in a row; and none spans a letter or digit and a mark after it, so where a word ends in letters
-    or digits and then marks, the two parts are remembered apart. Whether a word is taken
-    apart depends on the word alone, never on what was seen before. Ids are kept as bytes, four each, the lowest first.
+    in a row. A block's distinct plain words are encoded together. Of others, parts are remembered: none spans a letter or
+    digit and a mark after it, so where a word ends in letters or digits and then marks, the two parts are remembered
+    apart. Whether a word is taken apart depends on the word alone, never on what was seen before. Ids are kept as bytes,
+    four each, the lowest first.
     """
 
     MARKS = b"!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
@@ -75,7 +209,8 @@ class WordTokens:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        #: Parts of words by their bytes, met of late and before.
+        self.plain = PlainWords(self.tokenizer, remembered) if PlainWords.fits(self.tokenizer) else None
+        #: Parts of other words by their bytes, met of late and before.
         self.parts = Recent(remembered)
 
     def _core(self, word: bytes) -> bytes:
@@ -95,7 +230,7 @@ class WordTokens:
         for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             self.parts.known[part] = array("I", found.ids).tobytes()
 
-    def ids(self, words: list[bytes]) -> list[bytes]:
+    def _others(self, words: list[bytes]) -> list[bytes]:
         """Ids of each of the distinct ``words``."""
         marks = self.MARKS
         cores = [self._core(w) if w[-1] in marks else w for w in words]
@@ -109,18 +244,27 @@ class WordTokens:
         self._learn([w for w in needed if w not in known])
         return [known[a] + known[b] if b else known[a] for a, b in zip(firsts, rests)]
 
+    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the distinct ``words``, where each word's begin, and how many it has."""
+        begins, lengths = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        plain = PlainWords.among(words) if self.plain and words else np.zeros(len(words), dtype=bool)
+        flats, at = [], 0
+        if plain.any():
+            flat, n = self.plain.ids(list(compress(words, plain)))
+            flats.append(flat)
+            lengths[plain], begins[plain], at = n, np.cumsum(n) - n, len(flat)
+        per = self._others(list(compress(words, ~plain)))
+        n = np.fromiter(map(len, per), np.int64, len(per)) // 4
+        flats.append(np.frombuffer(b"".join(per), "<u4"))
+        lengths[~plain], begins[~plain] = n, at + np.cumsum(n) - n
+        return np.concatenate(flats), begins, lengths
+
     def documents(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, in order."""
         words = Words(texts)
-        per = self.ids(words.distinct)
-        lengths = np.fromiter(map(len, per), np.int64, len(per)) // 4
-        flat = np.frombuffer(b"".join(per), "<u4")
-        begins = np.cumsum(lengths) - lengths
-        n = lengths[words.codes] if len(per) else np.empty(0, np.int64)
-        upto = np.concatenate(([0], np.cumsum(n)))
-        # Place of each id: its word's begin plus its place in the word.
-        every = flat[np.repeat(begins[words.codes] - upto[:-1], n) + np.arange(upto[-1])] if len(n) else flat
-        ends = upto[words.bounds]
+        flat, begins, lengths = self.ids(words.distinct)
+        every = gathered(flat, begins, lengths, words.codes)
+        ends = np.concatenate(([0], np.cumsum(lengths[words.codes])))[words.bounds]
         for i in range(len(texts)):
             yield every[ends[i]:ends[i + 1]]
 
@@ -137,7 +281,7 @@ def pieces(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", pat
         tokens = _tokens(path)
         for batch in batches:
             texts, ids = batch["t"].tolist(), batch["d"].tolist()
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, BLOCK_CHARS):
                 rows = []
                 for key, found in zip(ids[a:b], tokens.documents(texts[a:b])):
                     whole = np.append(found, np.uint32(END_ID)).astype("<u4")

@@ -15,11 +15,11 @@ from .common import held_out, text_or_empty
 BLOCK_CHARS = 1_500_000
 
 
-def blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
+def blocks(texts: list[str], most: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of texts that make up blocks; a text longer than a block is one by itself."""
     start = chars = 0
     for i, t in enumerate(texts):
-        if chars and chars + len(t) > BLOCK_CHARS:
+        if chars and chars + len(t) > most:
             yield start, i
             start, chars = i, 0
         chars += len(t)

@@ -490,6 +490,42 @@ def test_word_tokens_do_not_depend_on_what_was_seen(remembered):
     assert [list(next(warmed.documents([t]))) for t in texts] == expected
 
 
+class Counting:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **how):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **how)
+
+
+def test_words_are_encoded_together():
+    """Words that occur once don't each cost a call of the tokenizer's whole preparation."""
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdeéñßжю") for _ in range(12)) + r.choice(["", ".", "9", "-x"]) for _ in range(3000)]
+    tokens = packing.WordTokens(packing.vocabulary_path())
+    tokens.tokenizer = Counting(tokens.tokenizer)
+    found = list(next(tokens.documents([" ".join(words)])))
+    assert tokens.tokenizer.texts < 100
+    assert [found] == whole_ids([" ".join(words)])
+
+
+@pytest.mark.parametrize("remembered", [packing.REMEMBERED, 40])
+def test_plain_words_equal_whole_texts(remembered):
+    """Every character that a plain word may have, and those around them, beside letters, digits and marks."""
+    characters = [chr(c) for c in [*range(0x21, 0x500), *range(0x1E00, 0x1F00), 0x2212, 0x212A, 0x212B]]
+    texts = [" ".join(f"{c} a{c}B {c}{c}7{c}. -{c}Z" for c in characters[k:k + 100]) for k in range(0, len(characters), 100)]
+    r = random.Random(6)
+    marks = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
+    texts += [" ".join("".join(r.choice("aZéЖ90" + marks + "'") for _ in range(r.randrange(1, 9))) for _ in range(300)) for _ in range(20)]
+    texts += ["", " ", "a", "é", "5", "55", "|<endoftext|>", "<|endoftext|>", "<|ENDOFTEXT|> <|", "don't DON'T a,'s"]
+    tokens = packing.WordTokens(packing.vocabulary_path(), remembered)
+    assert [list(x) for x in tokens.documents(texts)] == whole_ids(texts)
+    assert [list(next(tokens.documents([t]))) for t in texts] == whole_ids(texts)
+
+
 def test_ids_do_not_depend_on_partitions(spark):
     rows = [(i, "It was the dogs', not the players'. don', x—, ALİ, " * (i % 7) + prose(i, 30)) for i in range(60)] + [(100 + i, w) for i, w in enumerate(["dogs'", "don'", "x—", "ALİ"])]
     docs = spark.createDataFrame(rows, DOCUMENTS.split(", lang")[0])
