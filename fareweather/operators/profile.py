@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,39 +111,35 @@ def profile_verified(df: DataFrame, by: Sequence[str] = (), digits: int = 4) ->
     """The sketches held against the rows: per column its rows, exact distinct count and deviation, and whether the approximate
     distinct count and quartiles are within their bounds.
 
-    A quartile is judged by the rows that are smaller and by those that aren't greater, counted in one pass.
-    Distinct counts are exact and need a shuffle of each column's values: this is for checking, ``profile_approximate`` for use.
+    A quartile is judged by the rows that are smaller and by those that aren't greater.
+    Each column is read by itself and grouped by its values, whose numbers of rows tell all of this: rows are summed up
+    before the shuffle, and none is made once for each column. Distinct counts are exact and shuffle each column's
+    values: this is for checking, ``profile_approximate`` for use.
     """
-    fields = df.schema.fields
+    names = ("q25", "q50", "q75")
     approximate = profile_approximate(df, by)
-    found = approximate.agg(F.map_from_entries(F.collect_list(F.struct("column_name", F.struct("approx_distinct", "std", "q25", "q50", "q75")))).alias("p")).scalar()
-    aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
-    # One look-up of the sketches' results, beside the rows.
-    names = [F.lit(f.name) for f in fields]
-    held = df.withColumn("_found", found)
-    for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        aggs += [F.count_distinct(c).alias(f"d{i}"), F.count(c).alias(f"n{i}"), F.max(F.col("_found")[names[i]]).alias(f"p{i}")]
-        if _is_number(f.dataType):
-            for k, q in enumerate(("q25", "q50", "q75")):
-                at = F.col("_found")[names[i]][q]
-                aggs += [F.count_if(c < at).alias(f"below{i}_{k}"), F.count_if(c <= at).alias(f"upto{i}_{k}")]
-    one_row = held.agg(*aggs)
-    out = []
-    for i, f in enumerate(fields):
-        exact, n, p = F.col(f"d{i}"), F.col(f"n{i}"), F.col(f"p{i}")
+    found = approximate.agg(F.map_from_entries(F.collect_list(F.struct("column_name", F.struct("approx_distinct", "std", *names)))).alias("p")).scalar()
+    judged = []
+    for f in df.schema.fields:
+        number = _is_number(f.dataType)
+        values = df.groupBy(F.col(f"`{f.name}`").alias("v")).agg(F.count(F.lit(1)).alias("k")).withColumn("p", found[F.lit(f.name)])
+        v, k = F.col("v"), F.col("k")
+        sums = {"rows": k, "n": F.when(v.isNotNull(), k)}
+        if number:
+            for q in names:
+                sums |= {f"below_{q}": F.when(v < F.col("p")[q], k), f"upto_{q}": F.when(v <= F.col("p")[q], k)}
+        counted = values.agg(F.count("v").alias("exact"), *[F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(name) for name, c in sums.items()])
+        p = F.when(F.col("rows") > 0, found[F.lit(f.name)])
         within = [
-            (F.col(f"below{i}_{k}") <= n * (q + RANK_ERROR)) & (F.col(f"upto{i}_{k}") >= n * (q - RANK_ERROR)) if _is_number(f.dataType) else F.lit(None).cast("boolean")
-            for k, q in enumerate(QUARTILES)
+            (F.col(f"below_{q}") <= F.col("n") * (share + RANK_ERROR)) & (F.col(f"upto_{q}") >= F.col("n") * (share - RANK_ERROR)) if number else F.lit(None).cast("boolean")
+            for q, share in zip(names, QUARTILES)
         ]
-        out.append(
-            F.struct(
-                F.lit(f.name).alias("column_name"), F.col("rows"), exact.alias("distinct_values"),
-                (F.abs(p["approx_distinct"] - exact) <= F.greatest(F.lit(1.0), exact * DISTINCT_ERROR)).alias("distinct_within"),
-                F.round(p["std"], digits).alias("std"), *[w.alias(f"{name}_within") for w, name in zip(within, ("q25", "q50", "q75"))],
-            )
-        )
-    return one_row.select(F.inline(F.array(*out)))
+        judged.append(counted.select(
+            F.lit(f.name).alias("column_name"), "rows", F.col("exact").alias("distinct_values"),
+            (F.abs(p["approx_distinct"] - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * DISTINCT_ERROR)).alias("distinct_within"),
+            F.round(p["std"], digits).alias("std"), *[w.alias(f"{q}_within") for w, q in zip(within, names)],
+        ))
+    return reduce(DataFrame.unionAll, judged)
 
 
 def value_histogram(df: DataFrame, column: str) -> DataFrame:

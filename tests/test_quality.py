@@ -214,6 +214,21 @@ def test_sketches_merge(spark, tmp_path):
     assert [r.approx_distinct for r in empty] == [0] * 6
 
 
+def test_verified_profile_makes_no_row_for_each_column(spark):
+    """No row is written once for each column, and odd values count as they do in one aggregate."""
+    df = spark.range(900).selectExpr(
+        "id % 3 AS day", "CASE id % 4 WHEN 0 THEN double('NaN') WHEN 1 THEN -0D WHEN 2 THEN 0D END AS odd", "cast(null as int) AS none", "concat('k', id % 21) AS `a.b`")
+    judged = profile.profile_verified(df, ["day"])
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
+    got = {r.column_name: r for r in judged.collect()}
+    assert list(got) == ["day", "odd", "none", "a.b"] and all(r.rows == 900 and r.distinct_within for r in got.values())
+    assert [r.distinct_values for r in got.values()] == [3, 2, 0, 21]
+    assert got["day"].q50_within and got["none"].q50_within and got["a.b"].q50_within is None and got["none"]["std"] is None
+    empty = profile.profile_verified(df.limit(0), ["day"]).collect()
+    assert [(r.rows, r.distinct_values, r.distinct_within, r.q25_within) for r in empty] == [(0, 0, None, True)] * 3 + [(0, 0, None, None)]
+
+
 @pytest.mark.parametrize("value, want", [(None, 0.0), (1, 50.0)])
 def test_percent(spark, value, want):
     from fareweather.functions.conditions import percent_of
