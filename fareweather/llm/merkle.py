@@ -21,6 +21,8 @@ from .common import cut, table
 
 #: Children of a parent.
 FANOUT = 16
+#: Nodes of a level, with their children, in a file of the checkpoint folder; about 2 MB.
+FILE_NODES = 2_048
 #: Columns of a leaf, in order.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -43,6 +45,11 @@ def _lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def _cut_small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of at most ``rows`` rows written to no more files than these fill: a small level isn't spread over all tasks of a shuffle."""
+    return cut(df.coalesce(max(1, -(-rows // FILE_NODES))))
+
+
 def _leaves(documents: DataFrame) -> DataFrame:
     """Per row: doc_id, source, its leaf and, where its text is tampered with, the leaf of that."""
     own = {c: F.col(c) for c in FIELDS}
@@ -94,16 +101,17 @@ def _pivot(nodes: DataFrame) -> DataFrame:
     return spread.withColumn("total", parents).withColumn("digest", F.sha2(F.concat_ws("", *_slots()), 256))
 
 
-def _levels(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """The pivoted levels from the lowest, each of groups with more than one node below it, and each group's
-    top: g, depth, digest. One level is a sixteenth of the one below."""
-    most = nodes.agg(F.max("total")).first()[0] or 0
-    levels, tops, depth = [], nodes.where("total = 1").select("g", F.lit(0).alias("depth"), "digest"), 0
+def _levels(nodes: DataFrame) -> tuple[list[DataFrame], list[int], DataFrame]:
+    """The pivoted levels from the lowest, each of groups with more than one node below it, the most rows each may have, and each
+    group's top: g, depth, digest. One level is a sixteenth of the one below."""
+    most, rows, groups = nodes.agg(F.coalesce(F.max("total"), F.lit(0)), F.count("*"), F.count_if(F.col("i") == 0)).first()
+    levels, sizes, tops, depth = [], [], nodes.where("total = 1").select("g", F.lit(0).alias("depth"), "digest"), 0
     while most > 1:
-        levels.append(cut(_pivot(nodes.where("total > 1"))))
+        sizes.append(rows := rows // FANOUT + groups)  # a group's last parent may have few children
+        levels.append(_cut_small(_pivot(nodes.where("total > 1")), rows))
         nodes, most, depth = levels[-1].select("g", "i", "total", "digest"), -(-most // FANOUT), depth + 1
         tops = tops.unionAll(nodes.where("total = 1").select("g", F.lit(depth).alias("depth"), "digest"))
-    return levels, tops
+    return levels, sizes, tops
 
 
 def _siblings(k: Column) -> Column:
@@ -113,7 +121,7 @@ def _siblings(k: Column) -> Column:
     return F.struct(F.concat_ws("", *left).alias("l"), F.concat_ws("", *right).alias("r"))
 
 
-def _down(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
+def _down(levels: list[DataFrame], sizes: list[int], tops: DataFrame) -> DataFrame:
     """What leads from the lowest level's parents, and from tops of depth 0, to the root: g, i, depth, path, subroot, root.
 
     ``tops``: g, depth, path, subroot, root. A path has the siblings of each level from the lowest, left and right.
@@ -128,7 +136,7 @@ def _down(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
             "g", (F.col("i") * FANOUT + F.col("k")).alias("i"), F.lit(level).alias("depth"),
             F.concat(F.array(_siblings(F.col("k"))), F.col("path")).alias("path"), "subroot", "root",
         )
-        above = cut(child.unionAll(ends.where(F.col("depth") == level)))
+        above = _cut_small(child.unionAll(ends.where(F.col("depth") == level)), sizes[level - 1])
     return above
 
 
@@ -145,24 +153,24 @@ def manifest(documents: DataFrame) -> DataFrame:
     empty table gives an empty result. Columns beside the five play no part.
     """
     leaves = cut(_numbered(_leaves(documents)))
-    levels, tops = _levels(leaves.select("g", "i", "total", F.col("leaf").alias("digest")))
-    tops = cut(tops)
+    levels, sizes, tops = _levels(leaves.select("g", "i", "total", F.col("leaf").alias("digest")))
     # The sources' subroots are the leaves of one more tree.
     number = leaves.agg(F.max("groups")).first()[0] or 0
+    tops = _cut_small(tops, number)
     roots = tops.select(F.lit(0).cast("long").alias("g"), F.col("g").alias("i"), F.lit(number).cast("long").alias("total"), "digest")
-    upper, top = _levels(roots)
+    upper, upper_sizes, top = _levels(roots)
     nothing = F.array().cast("array<struct<l:string,r:string>>")
     top = top.select("g", "depth", nothing.alias("path"), F.lit("").alias("subroot"), F.col("digest").alias("root"))
     if upper:
-        over = _proofs(roots, upper, top)
+        over = _proofs(roots, upper, upper_sizes, top)
     else:
         over = top.select(F.col("g").alias("i"), "path", "root")
     named = tops.join(over.withColumnRenamed("i", "g"), "g").select("g", "depth", "path", F.col("digest").alias("subroot"), "root")
-    above = cut(named) if levels else named
+    above = _cut_small(named, number) if levels else named
     done = leaves.withColumn("k", (F.col("i") % FANOUT).cast("int")).withColumn("parent", F.floor(F.col("i") / FANOUT))
     alone = done.where("total = 1").join(above.where("depth = 0").drop("depth"), "g")
     if levels:
-        low = _down(levels, above).where("depth > 0").drop("depth").withColumnRenamed("i", "parent")
+        low = _down(levels, sizes, above).where("depth > 0").drop("depth").withColumnRenamed("i", "parent")
         spread = levels[0].drop("total", "digest").withColumnRenamed("i", "parent").join(low, ["g", "parent"])
         many = done.where("total > 1").join(spread, ["g", "parent"])
         many = many.withColumn("path", F.concat(F.array(_siblings(F.col("k"))), F.col("path")))
@@ -177,9 +185,9 @@ def manifest(documents: DataFrame) -> DataFrame:
 _PROVED = ("doc_id", "leaf", "tampered", "path", "subroot", "root")
 
 
-def _proofs(nodes: DataFrame, levels: list[DataFrame], tops: DataFrame) -> DataFrame:
+def _proofs(nodes: DataFrame, levels: list[DataFrame], sizes: list[int], tops: DataFrame) -> DataFrame:
     """Per node of one tree: i, path, root."""
-    low = _down(levels, tops).drop("depth", "subroot").withColumnRenamed("i", "parent")
+    low = _down(levels, sizes, tops).drop("depth", "subroot").withColumnRenamed("i", "parent")
     spread = levels[0].drop("total", "digest").withColumnRenamed("i", "parent").join(low, ["g", "parent"])
     own = nodes.select("g", "i", F.floor(F.col("i") / FANOUT).alias("parent")).join(spread, ["g", "parent"])
     path = F.concat(F.array(_siblings((F.col("i") % FANOUT).cast("int"))), F.col("path"))

@@ -85,6 +85,21 @@ def test_manifest(spark, sources):
     assert {x[-1] for x in found} == {True, False}
 
 
+def test_small_levels_are_few_files(spark, monkeypatch):
+    """Levels above the leaves are written to as many files as they fill, not to one for each task of a shuffle."""
+    files = []
+    monkeypatch.setattr(merkle, "cut", lambda df, cut=merkle.cut: files.append((done := cut(df)).rdd.getNumPartitions()) or done)
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('s', id % 3) AS source", "'en' AS lang", "5L AS n_chars", "concat('Text ', id) AS text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = merkle.manifest(docs.repartition(9)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(out) == 3000 and len({r.root for r in out}) == 1
+    # Of the sorted run, of its slices by source and of the numbered leaves there are more; all else fits into one each.
+    assert files[3:] and set(files[3:]) == {1}
+
+
 def test_manifest_of_little(spark):
     assert merkle.manifest(spark.createDataFrame([], DOCUMENTS)).collect() == []
     rows = [(1, "Only", "en", "a", 4)]
