@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fareweather.llm import common, jaccard_join, mixing, packing, quality_fm, secret_scan
 
+#: Characters of a block of texts for the tokenizer, about: an executor holds what the stages before have left as well.
+BLOCK_CHARS = 2_500_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -24,7 +27,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares 0.8 of its shingles of five words."""
-    return jaccard_join.one_of_each(docs)
+    with common.small_batches(spark):
+        return jaccard_join.one_of_each(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +43,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with the sequences that hold them."""
-    return packing.packed(docs)
+    with common.small_batches(spark):
+        return packing.packed(docs, block_chars=BLOCK_CHARS)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import tempfile
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space that separates words, as a class for a regular expression.
 SPACE = r"[\x20\x09-\x0D]"
+#: Bytes of a batch of rows for Python tasks, about, in ``small_batches``.
+BATCH_BYTES = 8_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -46,6 +51,19 @@ def let_go(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run in here hand rows to Python in batches of few bytes, whatever the length of texts: an executor holds a batch
+    for each core outside its heap, and more while it grows. The session's own limit holds again afterwards."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like the given ones that the table doesn't have yet, in any case."""
     taken, found = {c.lower() for c in df.columns}, []
@@ -72,3 +90,27 @@ def once(key: tuple, make: Callable):
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+def give_back() -> None:
+    """Memory that a Python worker has freed goes back to the system. Arrow's pool and the C library keep it otherwise, and a
+    worker lives on after its task: what it keeps counts against its executor while other steps run."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.pythonapi, "malloc_trim", None)  # of the GNU library only
+    if trim:
+        trim(0)
+
+
+def giving_back(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's ``work`` on batches, after each of which and at the end freed memory is given back."""
+    def done(batches: Iterator) -> Iterator:
+        def each() -> Iterator:
+            for batch in batches:
+                yield batch
+                del batch
+                give_back()
+
+        yield from work(each())
+        give_back()
+
+    return done

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, let_go, table, text_or_empty
+from .common import cut, giving_back, let_go, table, text_or_empty
 from .components import components
 from .words import Words, blocks, in_blocks
 
@@ -110,7 +110,7 @@ def _digests(rows: DataFrame, width: int) -> DataFrame:
         none = pd.array([None] * len(used), "Int64")
         yield pd.DataFrame({"id": none, "tk": none, "n": total[used], "d1": none, "d2": none, "c": pd.array(used, "Int32")})
 
-    return rows.mapInPandas(digest, "id bigint, tk bigint, n bigint, d1 bigint, d2 bigint, c int")
+    return rows.mapInPandas(giving_back(digest), "id bigint, tk bigint, n bigint, d1 bigint, d2 bigint, c int")
 
 
 def _short(rows: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
@@ -127,7 +127,7 @@ def _short(rows: DataFrame, width: int, percent: int, counts: np.ndarray) -> Dat
             out = pd.DataFrame({"id": batch["id"].astype("Int64").array, "tk": batch["tk"].array, "n": n, "d1": d[:, 0], "d2": d[:, 1], "short": pd.Series(short, dtype=object)})
             yield out[out["n"] > 0]
 
-    return rows.mapInPandas(chosen, "id bigint, tk bigint, n bigint, d1 bigint, d2 bigint, short array<bigint>")
+    return rows.mapInPandas(giving_back(chosen), "id bigint, tk bigint, n bigint, d1 bigint, d2 bigint, short array<bigint>")
 
 
 def _bit() -> Column:
@@ -193,7 +193,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int)
         pairs = pairs.join(reps.select(F.col("c").alias(node), F.col("i").alias(f"i_{name}"), F.col("tk").alias(f"tk_{name}")), node)
     for name in ("a", "b"):  # sets come last, so that each moves once
         pairs = pairs.join(sets.select(F.col("i").alias(f"i_{name}"), F.col("tk").alias(f"tk_{name}"), F.col("s").alias(name)), [f"i_{name}", f"tk_{name}"]).drop(f"i_{name}", f"tk_{name}")
-    return pairs.select("u", "v", "a", "b").mapInPandas(probe, "u bigint, v bigint")
+    return pairs.select("u", "v", "a", "b").mapInPandas(giving_back(probe), "u bigint, v bigint")
 
 
 def _shared_lists(classes: DataFrame, percent: int) -> DataFrame:
@@ -235,7 +235,7 @@ def _linked(rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
             some = batch[(marked[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1]
             yield pd.DataFrame({"i": some["i"].array, "tk": some["tk"].array, "s": pd.Series(list(shingle_sets(some["t"].tolist(), width)), dtype=object)})
 
-    asked = marked_rows.select("i", "tk", "t", _bit().alias("bit")).mapInPandas(whole, "i bigint, tk bigint, s array<bigint>").where(F.size("s") > 0)
+    asked = marked_rows.select("i", "tk", "t", _bit().alias("bit")).mapInPandas(giving_back(whole), "i bigint, tk bigint, s array<bigint>").where(F.size("s") > 0)
     with _bucketed(asked, "i", "tk") as sets:
         let_go(rows.sparkSession)
         stars = shared.where(F.col("c") != F.col("lead")).groupBy(F.col("c").alias("u"), F.col("lead").alias("v")).agg(F.count("*").alias("occurs"), F.max("n").alias("n"))
@@ -347,7 +347,7 @@ def _unlike(shared: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
             yield pd.DataFrame(out, columns=["u", "v"], dtype=np.int64)
         yield pd.DataFrame(_candidates(held, percent), columns=["u", "v"], dtype=np.int64)
 
-    return found.repartition("v", "part").sortWithinPartitions("v", "part").mapInPandas(merged, "u bigint, v bigint")
+    return found.repartition("v", "part").sortWithinPartitions("v", "part").mapInPandas(giving_back(merged), "u bigint, v bigint")
 
 
 def _candidates(rows: list, percent: int) -> list[tuple[int, int]]:

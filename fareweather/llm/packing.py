@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, once, table, text_or_empty
+from .common import cut, giving_back, once, table, text_or_empty
 from .words import Words, blocks
 
 CAPACITY = 2048
@@ -34,6 +34,8 @@ END_ID = 0
 REMEMBERED = 100_000
 #: Characters of a block of texts, about, whose distinct words are encoded once.
 BLOCK_CHARS = 5_000_000
+#: Characters of texts of a block, about, whose ids are in memory at a time.
+GATHERED_CHARS = 500_000
 VOCABULARY = "word_bpe_49k.json"
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -263,25 +265,29 @@ class WordTokens:
         """Ids of each text, in order."""
         words = Words(texts)
         flat, begins, lengths = self.ids(words.distinct)
-        every = gathered(flat, begins, lengths, words.codes)
-        ends = np.concatenate(([0], np.cumsum(lengths[words.codes])))[words.bounds]
-        for i in range(len(texts)):
-            yield every[ends[i]:ends[i + 1]]
+        for a, b in blocks(texts, GATHERED_CHARS):
+            first, last = words.bounds[a], words.bounds[b]
+            codes = words.codes[first:last]
+            every = gathered(flat, begins, lengths, codes)
+            ends = np.concatenate(([0], np.cumsum(lengths[codes])))[words.bounds[a:b + 1] - first]
+            for i in range(b - a):
+                yield every[ends[i]:ends[i + 1]]
 
 
 def _tokens(path: str) -> WordTokens:
     return once(("word tokens", path), lambda: WordTokens(path))
 
 
-def pieces(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids_crc32 (of its ids as little-endian 32-bit numbers)."""
+def pieces(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Per piece: doc_id, piece, start, length, ids_crc32 (of its ids as little-endian 32-bit numbers). Small blocks take less
+    memory and more time."""
     path = path or vocabulary_path()
 
     def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens = _tokens(path)
         for batch in batches:
             texts, ids = batch["t"].tolist(), batch["d"].tolist()
-            for a, b in blocks(texts, BLOCK_CHARS):
+            for a, b in blocks(texts, block_chars):
                 rows = []
                 for key, found in zip(ids[a:b], tokens.documents(texts[a:b])):
                     whole = np.append(found, np.uint32(END_ID)).astype("<u4")
@@ -293,7 +299,7 @@ def pieces(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", pat
                 yield out
 
     narrow = documents.select(F.col(doc_id).cast("long").alias("d"), text_or_empty(F.col(text)).alias("t"))
-    return narrow.mapInPandas(cut_up, PIECES)
+    return narrow.mapInPandas(giving_back(cut_up), PIECES)
 
 
 class OpenBins:
@@ -360,17 +366,17 @@ def pack(cut_up: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     dealt = cut_up.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(7)), F.lit(tasks)))
     ordered = dealt.repartition(tasks, "part").sortWithinPartitions("part", F.desc("length"), "doc_id", "piece", "ids_crc32")
-    return ordered.select("part", *columns).mapInPandas(place, f"{PIECES}, sequence_id bigint, offset bigint")
+    return ordered.select("part", *columns).mapInPandas(giving_back(place), f"{PIECES}, sequence_id bigint, offset bigint")
 
 
-def packed(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def packed(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null or empty text is one piece with the end id alone. Repeated rows are packed as often
     as they occur; a null id stays null. An empty table gives an empty result. Pieces are
     cut off from their lineage, so no text is tokenised twice.
     """
-    return pack(cut(pieces(documents, doc_id, text, path, capacity)), capacity)
+    return pack(cut(pieces(documents, doc_id, text, path, capacity, block_chars)), capacity)
 
 
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, table, text_or_empty
+from .common import give_back, held_out, table, text_or_empty
 from .words import Words, blocks, labelled_sample, sparse_sums
 
 #: At most so many labelled rows are learnt from.
@@ -180,7 +180,9 @@ def keep_good(documents: DataFrame, machine: Machine, text: str = "text") -> Dat
     """The rows whose text is predicted to be of label 1, in the table's own columns."""
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(_score(machine, texts.tolist()))
+        scores = pd.Series(_score(machine, texts.tolist()))
+        give_back()
+        return scores
 
     return documents.where(score(text_or_empty(F.col(text))) >= CUT)
 

@@ -2,18 +2,22 @@
 
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import compare
 import corpus_pipeline
 from fareweather import llm
-from fareweather.llm import chat, components, html_text, jaccard_join, mixing, multi_index, packing, quality_fm, secret_scan, toxicity, vector_dedup
+from fareweather.llm import chat, common, components, html_text, jaccard_join, mixing, multi_index, packing, quality_fm, secret_scan, toxicity, vector_dedup
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = "river stone lamp cloud table green house window paper street garden winter salt bread horse music seven light water north".split()
@@ -550,6 +554,49 @@ def test_open_bins():
         assert [f for f, b in enumerate(bins.bins) for _ in b] == sorted(before + [left] * bool(left))
 
 
+def test_workers_give_back_what_they_have_freed():
+    """A worker lives on after its task; what a block's texts took would count against its executor in later steps."""
+    code = """if True:
+        import re
+        import pyarrow as pa
+        from fareweather.llm import common
+
+        def held():
+            return int(re.search(r"Anonymous:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) >> 10
+
+        def work(batches):
+            for batch in batches:
+                texts = [str(i) * 200 for i in range(100_000)]
+                kept.append(texts[-1])  # lies behind the others
+                yield pa.array(texts).nbytes
+
+        kept = []
+        before = held()
+        assert all(n > 50_000_000 for n in common.giving_back(work)([1, 2]))
+        print(held() - before)
+    """
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(packing.__file__).parents[2], capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) < 40
+
+
+def test_small_batches(spark):
+    """Rows reach Python in batches of bounded bytes inside only, and results don't depend on them."""
+    docs = spark.range(0, 9000, 1, 1).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.repeat(F.lit("some words, "), 200), "id").alias("text"))
+
+    def rows(batches):
+        yield from (pd.DataFrame({"n": [len(b)]}) for b in batches)
+
+    assert len(docs.mapInPandas(rows, "n long").collect()) == 1
+    with pytest.raises(ValueError), common.small_batches(spark):
+        found = [r.n for r in docs.mapInPandas(rows, "n long").collect()]
+        small = sorted(map(tuple, packing.pieces(docs, block_chars=300_000).collect()))
+        raise ValueError
+    assert len(found) > 2 and sum(found) == 9000
+    assert len(docs.mapInPandas(rows, "n long").collect()) == 1
+    assert small == sorted(map(tuple, packing.pieces(docs).collect()))
+
+
 def test_full_task_is_packed_tight(spark):
     r = random.Random(3)
     lengths = [r.randrange(1030, 1600) if i % 3 == 0 else r.randrange(1, 700) for i in range(20_000)]
